@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.operators.joins import keyed
 from reelstat.operators.ordinals import BLOCK, running_total
+from reelstat.session import written
 
 # Fixed value: ids per request.
 CHUNK_SIZE = 50
@@ -31,15 +31,20 @@ def assemble_documents(
     item = F.struct(*fields).alias("_item")
 
     sizes = children.groupBy(key).agg(F.count("*").alias("_n"))
-    large = sizes.filter(F.col("_n") > max_items).select(
-        key, F.ceil(F.col("_n") / max_items).alias("_parts")
+    # Written first, so that the joins below are planned with the real size of this table: as a
+    # rule it has few rows or none, is broadcast, and the children are shuffled only once.
+    large = written(
+        sizes.filter(F.col("_n") > max_items).select(
+            key, F.ceil(F.col("_n") / max_items).alias("_parts")
+        ),
+        "large",
     )
 
-    ordinary = children.join(keyed(large, [key]), key, "left_anti").select(
+    ordinary = children.join(large, key, "left_anti").select(
         key, F.lit(0).cast("bigint").alias("_part"), item, F.lit(1).alias("_copies")
     )
     per_child = (
-        children.join(keyed(large, [key]), key)
+        children.join(large, key)
         .groupBy(key, "_parts", *fields)
         .agg(F.count("*").alias("_n"))
         .select(
@@ -66,7 +71,7 @@ def assemble_documents(
     )
     # One slot per document to come, so that the join below runs on (key, part): that is how the
     # arrays are already partitioned, and it keeps the parts of a hot key apart.
-    slots = parents.join(keyed(large, [key]), key, "left").withColumn(
+    slots = parents.join(large, key, "left").withColumn(
         "_part",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat.functions.times import relative_range, time_grain
-from reelstat.operators.joins import having_keys, keyed
+from reelstat.operators.joins import having_keys
 from reelstat.sinks.tables import replace_table
 
 # Row limits by use.
@@ -100,11 +100,8 @@ def row_level_filter(
     ``rules`` has a ``role`` column and the permitted values; ``columns`` tells which column of
     ``df`` each rule column applies to. A role without a rule sees nothing.
     """
-    allowed = keyed(
-        rules.filter(F.col("role") == role).select(
-            *[F.col(name).alias(f"_{name}") for name in columns.values()]
-        ),
-        [f"_{name}" for name in columns.values()],
+    allowed = rules.filter(F.col("role") == role).select(
+        *[F.col(name).alias(f"_{name}") for name in columns.values()]
     )
     condition = [F.col(column) == F.col(f"_{name}") for column, name in columns.items()]
     return df.join(allowed, condition, "left_semi")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reelstat.functions.names import derived_table
 from reelstat.operators.ranking import top_k, top_k_per
+from reelstat.session import written
 from reelstat.sinks.tables import replace_table
 
 
@@ -85,31 +86,25 @@ def channel_report(curated: DataFrame, catalog: str = "") -> DataFrame:
 def write_reports(curated: DataFrame, prefix: str = "") -> dict[str, str]:
     """Replaces the four report tables; returns their names by report.
 
-    The monthly table is written with the channel's largest audience next to the count, and both
-    channel reports are derived from it. So the curated rows are read twice (for months and for
-    titles) and not four times.
+    Rows are first reduced to one per channel and month, with the largest audience next to the
+    count. Three of the reports follow from those few rows, so the curated rows are read twice
+    (for months and for titles) and not four times.
     """
-    spark = curated.sparkSession
-    names = {
-        report: f"{prefix}{report}"
-        for report in ["channel_subscribers", "video_count", "video_trend", "most_viewed_videos"]
-    }
-    monthly = f"{prefix}channel_months"
-    replace_table(
+    months = written(
         curated.groupBy("channelName", "year", "month").agg(
             F.count("video_title").alias("monthlyVideosPublished"),
             F.max("subscribers").alias("subscribers"),
         ),
-        monthly,
+        "months",
     )
-    months = spark.table(monthly)
-    replace_table(months.drop("subscribers"), names["video_trend"])
-    replace_table(channel_subscribers(months), names["channel_subscribers"])
-    replace_table(
-        months.groupBy("channelName").agg(
+    frames = {
+        "channel_subscribers": channel_subscribers(months),
+        "video_count": months.groupBy("channelName").agg(
             F.sum("monthlyVideosPublished").alias("totalVideosPublished")
         ),
-        names["video_count"],
-    )
-    replace_table(most_viewed(curated), names["most_viewed_videos"])
-    return names
+        "video_trend": months.drop("subscribers"),
+        "most_viewed_videos": most_viewed(curated),
+    }
+    for report, frame in frames.items():
+        replace_table(frame, f"{prefix}{report}")
+    return {report: f"{prefix}{report}" for report in frames}

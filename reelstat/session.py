@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     # year() and month() follow the session zone, so it is never left to the machine.
@@ -83,6 +83,14 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written below the shared folder and read back: their lineage ends there and
+    their size is known to the planner."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fresh_database(spark: SparkSession) -> str:
     """A new database whose managed tables live below the shared folder; returns its name."""
     name = f"reelstat_{uuid.uuid4().hex}"

@@ -37,13 +37,14 @@ def create_curated(
 
 
 def clustered(curated: DataFrame) -> DataFrame:
-    """Rows of a partition brought together for writing.
+    """Rows of a partition brought together for writing; columns are taken by position.
 
     Rebalancing gives few files per partition and, unlike a repartition, splits a month that is
     much larger than the others over several tasks. Sorting by channel lets a reader of few
     channels skip most of each file.
     """
-    return curated.hint("rebalance", *schemas.PARTITION_FIELDS).sortWithinPartitions(
+    named = curated.toDF(*schemas.CURATED_FIELDS)
+    return named.hint("rebalance", *schemas.PARTITION_FIELDS).sortWithinPartitions(
         *schemas.PARTITION_FIELDS, "channelName"
     )
 

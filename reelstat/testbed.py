@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from reelstat import schemas
 from reelstat.functions.times import iso_text, published_since
 from reelstat.operators.documents import assemble_documents
-from reelstat.operators.joins import keyed
+from reelstat.operators.joins import match
 from reelstat.session import fresh_dir
 from reelstat.sinks.files import write_documents
 
@@ -37,7 +37,8 @@ def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("_videos"),
         F.sum(F.col("o_totalprice").cast("int")).alias("_views"),
     )
-    return table(spark, sf_dir, "customer").join(keyed(totals, ["c_custkey"]), "c_custkey", "left").select(
+    customers = table(spark, sf_dir, "customer")
+    return customers.join(totals, "c_custkey", "left").select(
         "c_custkey",
         F.col("c_name").alias("channelName"),
         whole_text("c_acctbal").alias("subscribers"),
@@ -99,7 +100,7 @@ def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     published = F.col("o_orderdate").cast("timestamp")
     return (
-        orders.join(keyed(owners, ["o_custkey"]), "o_custkey")
+        match(orders, owners, ["o_custkey"])
         .select(
             "channelName",
             "subscribers",

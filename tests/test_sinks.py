@@ -1,0 +1,186 @@
+"""Tables, document files and incremental ingestion."""
+
+import json
+import os
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from reelstat import schemas, sinks, sources, testbed
+from reelstat.plans import reports
+from reelstat.streaming import ingest_landing
+
+
+@pytest.fixture
+def curated(spark, sf_dir):
+    return testbed.curated(spark, sf_dir)
+
+
+def test_create_is_repeatable(spark, database):
+    for _ in range(2):
+        sinks.create_curated(spark, f"{database}.t")
+    assert spark.table(f"{database}.t").schema == schemas.curated()
+
+
+def test_insert_goes_by_position(spark, database, curated):
+    table = f"{database}.t"
+    sinks.create_curated(spark, table)
+    renamed = curated.toDF("a", "b", "c", "d", "e", "f", "year", "month")
+    sinks.append_curated(renamed, table)
+    assert spark.table(table).columns == schemas.CURATED_FIELDS
+    assert spark.table(table).count() == curated.count()
+
+
+def test_append_doubles_and_reload_does_not(spark, database, curated):
+    table, n = f"{database}.t", curated.count()
+    sinks.create_curated(spark, table)
+    sinks.append_curated(curated, table)
+    sinks.append_curated(curated, table)
+    assert spark.table(table).count() == 2 * n
+    sinks.reload_curated(curated, table)
+    assert spark.table(table).count() == n
+
+
+def test_dynamic_overwrite_keeps_other_partitions(spark, database, curated):
+    table, n = f"{database}.t", curated.count()
+    sinks.create_curated(spark, table)
+    sinks.append_curated(curated, table)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    sinks.overwrite_partitions(curated.filter("year = 1997"), table)
+    assert spark.table(table).count() == n
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_replace_changes_rows_and_schema(spark, database):
+    table = f"{database}.r"
+    sinks.replace_table(spark.range(5), table)
+    sinks.replace_table(spark.range(2).withColumn("x", F.lit(1)), table)
+    assert spark.table(table).count() == 2
+    assert spark.table(table).columns == ["id", "x"]
+
+
+def test_append_table_creates_then_appends(spark, database):
+    table = f"{database}.a"
+    sinks.append_table(spark.range(2), table)
+    sinks.append_table(spark.range(3), table)
+    assert spark.table(table).count() == 5
+
+
+def test_reload_of_a_missing_table_fails(spark, database, curated):
+    with pytest.raises(AnalysisException):
+        sinks.reload_curated(curated, f"{database}.nothing")
+
+
+def test_a_name_is_not_sql(spark, database):
+    with pytest.raises(AnalysisException):
+        sinks.create_curated(spark, f"{database}.t (x INT) USING parquet; --")
+
+
+def test_report_tables_equal_the_reports(spark, database, curated):
+    names = reports.write_reports(curated, f"{database}.")
+    for name, report in [
+        ("channel_subscribers", reports.channel_subscribers(curated)),
+        ("video_count", reports.video_count(curated)),
+        ("video_trend", reports.video_trend(curated)),
+        ("most_viewed_videos", reports.most_viewed(curated, ordered=False)),
+    ]:
+        stored = spark.table(names[name])
+        assert stored.schema.simpleString() == report.schema.simpleString()
+        assert stored.exceptAll(report).isEmpty() and report.exceptAll(stored).isEmpty()
+
+
+def test_documents_get_new_files_and_keep_null_fields(spark, sf_dir, folder):
+    path = folder("docs")
+    docs = testbed.documents(spark, sf_dir, recent=True)
+    sinks.write_documents(docs, path)
+    first = set(os.listdir(path))
+    sinks.write_documents(docs, path)
+    assert first < set(os.listdir(path))
+    assert sources.read_landing(spark, path).count() == 2 * docs.count()
+    line = next(p for p in Path(path).glob("part-*")).read_text().splitlines()[0]
+    assert set(json.loads(line)) == {*schemas.CHANNEL_FIELDS, "videos"}
+
+
+def test_documents_by_channel_are_read_by_path(spark, folder):
+    path = folder("docs")
+    docs = spark.createDataFrame(
+        [("The Daily", "1", "1", "1", "P", []), ("Other", "1", "1", "1", "P", [])], schemas.landing()
+    )
+    sinks.write_documents(docs, path, by_channel=True)
+    assert sorted(d for d in os.listdir(path) if d.startswith("channel")) == [
+        "channel=Other", "channel=The_Daily"
+    ]
+    one = sources.read_landing(spark, f"{path}/channel=The_Daily", with_source=True).collect()
+    assert [r.channelName for r in one] == ["The Daily"]
+    assert "channel=The_Daily" in one[0].source
+
+
+def test_channel_paths():
+    assert sources.channel_paths("s3a://landing/", ["The Daily", "b"]) == [
+        "s3a://landing/The_Daily/The_Daily_raw_data.json", "s3a://landing/b/b_raw_data.json"
+    ]
+
+
+def test_manifest_lists_files(spark, folder):
+    path = folder("docs")
+    sinks.write_documents(spark.createDataFrame([("a", "1", "1", "1", "P", [])], schemas.landing()), path)
+    rows = sources.landing_manifest(spark, path).filter(F.col("path").contains("part-")).collect()
+    assert len(rows) == 1 and rows[0].length > 0
+
+
+# ---------------------------------------------------------------- incremental
+
+
+def land_file(zone, name, channel, views):
+    os.makedirs(zone, exist_ok=True)
+    doc = {"channelName": channel, "subscribers": "1", "totalVideos": "1", "videos": [
+        {"title": "t", "publishedAt": "2024-01-02T03:04:05Z", "viewCount": v} for v in views]}
+    Path(zone, name).write_text(json.dumps(doc) + "\n")
+
+
+@pytest.fixture
+def zone(folder):
+    return {name: folder(name) for name in ["landing", "curated", "checkpoint", "archive"]}
+
+
+def run(spark, zone, archive=None, **more):
+    query = ingest_landing(spark, zone["landing"], zone["curated"], zone["checkpoint"], archive, **more)
+    query.awaitTermination()
+    return spark.read.schema(schemas.curated()).parquet(zone["curated"])
+
+
+def test_each_file_once(spark, zone):
+    land_file(zone["landing"], "1.json", "a", ["1", "2"])
+    assert run(spark, zone).count() == 2
+    assert run(spark, zone).count() == 2
+    land_file(zone["landing"], "2.json", "b", ["3"])
+    assert run(spark, zone).count() == 3
+
+
+def test_a_rewritten_path_is_not_read_again(spark, zone):
+    land_file(zone["landing"], "1.json", "a", ["1"])
+    run(spark, zone)
+    land_file(zone["landing"], "1.json", "a", ["1", "2", "3"])
+    assert run(spark, zone).count() == 1
+    land_file(zone["landing"], "1b.json", "a", ["1", "2", "3"])
+    assert run(spark, zone).count() == 4
+
+
+def test_small_batches_give_the_same_rows(spark, zone):
+    for i in range(5):
+        land_file(zone["landing"], f"{i}.json", f"c{i}", [str(i)])
+    rows = run(spark, zone, files_per_batch=2)
+    assert sorted(r.viewCount for r in rows.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_committed_files_move_to_the_archive(spark, zone):
+    for i in range(3):
+        land_file(zone["landing"], f"{i}.json", "a", ["1"])
+        rows = run(spark, zone, zone["archive"])
+    archived = [p.name for p in Path(zone["archive"]).rglob("*.json")]
+    left = [p.name for p in Path(zone["landing"]).glob("*.json")]
+    assert rows.count() == 3
+    assert sorted(archived + left) == ["0.json", "1.json", "2.json"]
+    assert "0.json" in archived
