@@ -273,6 +273,14 @@ def sink_append_legacy(spark, sf_dir):
     return without_zone(spark.table(table))
 
 
+@query(CUR + """
+SELECT "channelName", strftime("publishedAt", '%Y-%m') AS publish_month, count(*) AS "count"
+FROM cur GROUP BY 1, 2
+""")
+def trend_per_channel(spark, sf_dir):
+    return reports.trend_per_channel(testbed.curated(spark, sf_dir))
+
+
 @query(CUR + """
 SELECT "channelName" AS channel_name, CAST(max(subscribers) AS VARCHAR) AS subscribers,
        CAST(max("totalVideos") AS VARCHAR) AS total_videos,
@@ -354,6 +362,19 @@ def trend_by_month_key(spark, sf_dir):
     return reports.trend_by_month(videos, month_key(F.col("publishedAt")))
 
 
+@query(CUR + f"""
+SELECT * FROM cur WHERE "publishedAt" >= {RECENT.split(">= ")[1]}
+""")
+def curated_rolling_window(spark, sf_dir):
+    """The rolling window on the curated table, where it also prunes partitions."""
+    table = f"{fresh_database(spark)}.curated"
+    sinks.create_curated(spark, table)
+    sinks.append_curated(testbed.curated(spark, sf_dir), table)
+    return without_zone(
+        sources.curated_since(sources.read_curated(spark, table), testbed.AS_OF)
+    )
+
+
 @query(f"SELECT o_orderkey FROM orders WHERE {RECENT}")
 def rolling_window_filter(spark, sf_dir):
     orders = testbed.table(spark, sf_dir, "orders")

@@ -56,7 +56,9 @@ def _parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("ingest", help="files landed since the last run to curated rows")
     for name in ["landing", "curated", "checkpoint"]:
         job.add_argument(f"--{name}", required=True)
-    job.add_argument("--archive")
+    cleaning = job.add_mutually_exclusive_group()
+    cleaning.add_argument("--archive")
+    cleaning.add_argument("--delete", action="store_true")
     job.add_argument("--wide", action="store_true")
     return parser
 

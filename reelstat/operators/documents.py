@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelstat.operators.joins import match
 from reelstat.operators.ordinals import BLOCK, running_total
 from reelstat.session import written
 
@@ -27,6 +28,7 @@ def assemble_documents(
     told by a hash of the child, so they are the same after a retry; exact copies are counted
     before the shuffle and then dealt out in blocks.
     """
+    children = children.filter(F.col(key).isNotNull())
     fields = [name for name in children.columns if name != key]
     item = F.struct(*fields).alias("_item")
 
@@ -40,11 +42,11 @@ def assemble_documents(
         "large",
     )
 
-    ordinary = children.join(large, key, "left_anti").select(
+    ordinary = match(children, large, [key], "left_anti").select(
         key, F.lit(0).cast("bigint").alias("_part"), item, F.lit(1).alias("_copies")
     )
     per_child = (
-        children.join(large, key)
+        match(children, large, [key])
         .groupBy(key, "_parts", *fields)
         .agg(F.count("*").alias("_n"))
         .select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat.functions.times import relative_range, time_grain
-from reelstat.operators.joins import having_keys
+from reelstat.operators.joins import having_keys, match
 from reelstat.sinks.tables import replace_table
 
 # Row limits by use.
@@ -97,11 +97,11 @@ def row_level_filter(
 ) -> DataFrame:
     """The rows a role may see.
 
-    ``rules`` has a ``role`` column and the permitted values; ``columns`` tells which column of
-    ``df`` each rule column applies to. A role without a rule sees nothing.
+    ``rules`` has a ``role`` column and the permitted values; ``columns`` tells, by column of
+    ``df``, which rule column applies to it. A role without a rule sees nothing, and nobody sees
+    rows that have no value in such a column.
     """
     allowed = rules.filter(F.col("role") == role).select(
-        *[F.col(name).alias(f"_{name}") for name in columns.values()]
+        *[F.col(rule).alias(column) for column, rule in columns.items()]
     )
-    condition = [F.col(column) == F.col(f"_{name}") for column, name in columns.items()]
-    return df.join(allowed, condition, "left_semi")
+    return match(df, allowed.dropna(), list(columns), "left_semi")

@@ -6,13 +6,14 @@ so a channel that owns a third of the rows adds no more to it than any other.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions.names import derived_table
+from reelstat.functions.times import month_key
 from reelstat.operators.ranking import top_k, top_k_per
 from reelstat.session import written
-from reelstat.sinks.tables import replace_table
+from reelstat.sinks.tables import append_table, replace_table
 
 
 def channel_subscribers(curated: DataFrame) -> DataFrame:
@@ -44,12 +45,18 @@ def most_viewed(curated: DataFrame, ordered: bool = True) -> DataFrame:
     return views.orderBy(F.desc_nulls_last("totalViews"), "channelName", "video_title")
 
 
-def trend_by_month(curated: DataFrame, month_key, ordered: bool = True) -> DataFrame:
-    """Rows per month key over all channels; ``month_key`` is the column to group by."""
-    counts = curated.groupBy(month_key.alias("publish_month")).agg(F.count("*").alias("count"))
+def trend_by_month(rows: DataFrame, key: Column, ordered: bool = True) -> DataFrame:
+    """Rows per month key over all channels; ``key`` is the column to group by."""
+    counts = rows.groupBy(key.alias("publish_month")).agg(F.count("*").alias("count"))
     return counts.orderBy("publish_month") if ordered else counts
 
 
+def trend_per_channel(curated: DataFrame) -> DataFrame:
+    """Rows per channel and month key, counting untitled ones too."""
+    key = month_key(F.col("publishedAt").cast("string")).alias("publish_month")
+    return curated.groupBy("channelName", key).agg(F.count("*").alias("count"))
+
+
 def top_videos_per_channel(curated: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` most viewed rows of each channel, by number and not by text.
 
@@ -108,3 +115,19 @@ def write_reports(curated: DataFrame, prefix: str = "") -> dict[str, str]:
     for report, frame in frames.items():
         replace_table(frame, f"{prefix}{report}")
     return {report: f"{prefix}{report}" for report in frames}
+
+
+def append_channel_tables(curated: DataFrame, prefix: str = "", k: int = 5) -> dict[str, str]:
+    """Appends the per-channel trend, top videos and summary; returns the table names.
+
+    Each is one table with the channel as a column, so their number does not grow with the
+    channels.
+    """
+    frames = {
+        "trend_data": trend_per_channel(curated),
+        "most_viewed_videos": top_videos_per_channel(curated, k),
+        "report": channel_report(curated),
+    }
+    for kind, frame in frames.items():
+        append_table(frame, f"{prefix}{kind}")
+    return {kind: f"{prefix}{kind}" for kind in frames}

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Size of a shuffle read task, and of the files a rebalanced write leaves behind.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Unlike the default form, this one lets Parquet skip row groups by time.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
 }
 
@@ -67,10 +69,10 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may do without the setting; it gets a temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_dirs:

@@ -1,5 +1,6 @@
 """Readers for landing documents, raw responses, files and tables."""
 
+from reelstat.sources.curated import curated_since, read_curated
 from reelstat.sources.files import NA_STRINGS, load_file, read_csv_headerless
 from reelstat.sources.landing import (
     channel_paths, landing_manifest, of_channels, read_landing,
@@ -9,6 +10,7 @@ from reelstat.sources.responses import (
 )
 
 __all__ = [
-    "NA_STRINGS", "channel_paths", "channels_from_responses", "ids_from_playlist_pages",
-    "landing_manifest", "load_file", "of_channels", "read_csv_headerless", "read_landing", "videos_from_responses",
+    "NA_STRINGS", "channel_paths", "channels_from_responses", "curated_since",
+    "ids_from_playlist_pages", "landing_manifest", "load_file", "of_channels", "read_csv_headerless",
+    "read_curated", "read_landing", "videos_from_responses",
 ]

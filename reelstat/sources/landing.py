@@ -31,7 +31,7 @@ def read_landing(
 
 
 def channel_paths(root: str, names: list[str]) -> list[str]:
-    """Where the documents of the named channels lie below a landing root."""
+    """Paths of the named channels in a landing zone with one object per channel."""
     folders = [name.replace(" ", "_") for name in names]
     return [f"{root.rstrip('/')}/{folder}/{folder}{RAW_SUFFIX}" for folder in folders]
 

@@ -15,22 +15,26 @@ def ingest_landing(
     curated: str,
     checkpoint: str,
     archive: str | None = None,
+    delete: bool = False,
     files_per_batch: int = 10_000,
     wide: bool = False,
 ) -> StreamingQuery:
     """Curates the files that landed since the last run and stops.
 
     The checkpoint remembers files by path and the file sink commits each batch once, so a run
-    that was cut short goes on without losing or repeating rows. With ``archive``, files are moved
-    there once a later batch shows that theirs is committed; nothing is removed before its rows
-    are safe. All three folders must be reachable by every executor.
+    that was cut short goes on without losing or repeating rows. Files are moved to ``archive``,
+    or removed with ``delete``, when a batch after theirs is planned: nothing goes before its rows
+    are safe, and the files of the last batch stay until the next run finds new ones. The folders
+    must be reachable by every executor.
     """
     reader = (
         spark.readStream.schema(schemas.landing_for_curate())
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
     )
-    if archive:
+    if delete:
+        reader = reader.option("cleanSource", "delete")
+    elif archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return (
         curate(reader.json(landing), wide)

@@ -34,3 +34,19 @@ def sql_rows(con, text):
     result = con.execute(text)
     names = [column[0] for column in result.description]
     return sorted(names), _rows(names, result.fetchall())
+
+
+# Spark type by DuckDB type.
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
+def spark_types(df):
+    return dict(df.dtypes)
+
+
+def sql_types(con, text):
+    result = con.execute(text)
+    return {column[0]: TYPES.get(str(column[1]), str(column[1])) for column in result.description}

@@ -16,7 +16,9 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, sf_dir, name):
-    columns, rows = compare.spark_rows(QUERIES[name](spark, sf_dir))
+    frame = QUERIES[name](spark, sf_dir)
+    assert compare.spark_types(frame) == compare.sql_types(con, ORACLES[name])
+    columns, rows = compare.spark_rows(frame)
     want_columns, want_rows = compare.sql_rows(con, ORACLES[name])
     assert columns == want_columns
     assert len(rows) == len(want_rows) > 0

@@ -56,6 +56,26 @@ def test_rolling_window_is_pushed_for_both_timestamp_types(spark, sf_dir, stored
         assert f"GreaterThanOrEqual({name},2000-08-01" in text
 
 
+def test_rolling_window_prunes_partitions(stored):
+    text = plan(sources.curated_since(stored, testbed.AS_OF))
+    assert "PartitionFilters: [((year" in text and "> 2000)" in text
+    assert "GreaterThanOrEqual(publishedAt,2000-08-01" in text
+
+
+def test_written_times_let_parquet_skip(spark, stored):
+    path = stored.select(F.input_file_name()).limit(1).collect()[0][0].removeprefix("file://")
+    import pyarrow.parquet as pq
+
+    column = pq.ParquetFile(path).metadata.row_group(0).column(4)
+    assert column.path_in_schema == "publishedAt" and column.is_stats_set
+
+
+def test_without_hot_channels_children_are_shuffled_once(spark, sf_dir):
+    text = final_plan(testbed.documents(spark, sf_dir)).split("Initial Plan")[0]
+    assert text.count("/orders.parquet") == 2
+    assert "LeftAnti" not in text and "Generate explode(sequence(0, FLOOR" not in text
+
+
 def test_relative_filter_is_pushed(spark, sf_dir):
     from datetime import datetime
 
@@ -143,6 +163,13 @@ def test_curated_rows_split_a_hot_channel(spark, sf_dir, hot, split_early, monke
     assert "SortMergeJoin(skew=true)" in final_plan(testbed.curated(spark, sf_dir))
 
 
+def test_documents_split_a_hot_channel(spark, sf_dir, hot, split_early):
+    parents = testbed.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    text = final_plan(documents_of(hot, parents, 100)).split("Initial Plan")[0]
+    on_children = [line for line in text.splitlines() if "SortMergeJoin" in line and "coalesce" in line]
+    assert len(on_children) == 2 and all("skew=true" in line for line in on_children)
+
+
 def test_keys_are_broadcast_when_few(hot, conf):
     cells = hot.groupBy("o_custkey").count().filter("count > 15")
     assert "BroadcastHashJoin" in final_plan(having_keys(hot, cells, ["o_custkey"]))

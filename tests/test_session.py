@@ -26,6 +26,7 @@ class Cluster:
     class sparkContext:
         master = "spark://host:7077"
         applicationId = "app"
+        getCheckpointDir = staticmethod(lambda: None)
 
 
 def test_a_cluster_must_name_its_folder():
@@ -35,13 +36,35 @@ def test_a_cluster_must_name_its_folder():
 
 def test_a_local_master_gets_a_folder():
     class Local(Cluster):
-        class sparkContext:
+        class sparkContext(Cluster.sparkContext):
             master = "local[2]"
             applicationId = "local-test"
 
     assert session.shared_dir(Local) == session.shared_dir(Local)
 
 
+def test_a_folder_set_on_the_context_is_used():
+    class Prepared(Cluster):
+        class sparkContext(Cluster.sparkContext):
+            getCheckpointDir = staticmethod(lambda: "hdfs://name/checkpoints/")
+
+    assert session.shared_dir(Prepared) == "hdfs://name/checkpoints"
+
+
+def test_tables_of_other_catalogs_are_told_by_name(spark, conf):
+    from reelstat.sinks.tables import _in_session_catalog
+
+    conf(spark__sql__catalog__lake="org.example.Catalog")
+    for name, inside in [("t", True), ("db.t", True), ("spark_catalog.db.t", True),
+                         ("lake.t", False), ("lake.db.t", False)]:
+        assert _in_session_catalog(spark, name) == inside
+
+
+def test_written_rows_have_a_known_size(spark):
+    rows = session.written(spark.range(10).filter("id > 100"), "none")
+    assert rows.count() == 0 and rows.columns == ["id"]
+
+
 def test_store_and_catalog_settings():
     store = session.s3a_conf("http://store:9000", "key", "secret", ssl=False)
     assert store["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"

@@ -91,6 +91,35 @@ def test_report_tables_equal_the_reports(spark, database, curated):
         assert stored.exceptAll(report).isEmpty() and report.exceptAll(stored).isEmpty()
 
 
+def test_channel_tables_are_appended(spark, database, curated):
+    for _ in range(2):
+        names = reports.append_channel_tables(curated, f"{database}.")
+    assert spark.table(names["report"]).count() == 2 * reports.channel_report(curated).count()
+    top = spark.table(names["most_viewed_videos"])
+    assert top.count() == 2 * reports.top_videos_per_channel(curated).count()
+    trend = spark.table(names["trend_data"])
+    assert trend.agg(F.sum("count")).collect()[0][0] == 2 * curated.count()
+
+
+def test_rows_without_a_month_are_kept(spark, database, curated):
+    table = f"{database}.t"
+    sinks.create_curated(spark, table)
+    undated = curated.limit(10).select(
+        *[
+            F.lit(None).cast(f.dataType).alias(f.name)
+            if f.name in ("publishedAt", "year", "month") else f.name
+            for f in curated.schema
+        ]
+    )
+    sinks.append_curated(undated, table)
+    sinks.append_curated(curated, table)
+    stored = sources.read_curated(spark, table)
+    assert stored.filter("year IS NULL AND month IS NULL").count() == 10
+    sinks.overwrite_partitions(undated, table)
+    assert stored.filter("year IS NULL AND month IS NULL").count() == 10
+    assert spark.table(table).count() == curated.count() + 10
+
+
 def test_documents_get_new_files_and_keep_null_fields(spark, sf_dir, folder):
     path = folder("docs")
     docs = testbed.documents(spark, sf_dir, recent=True)
@@ -145,8 +174,8 @@ def zone(folder):
     return {name: folder(name) for name in ["landing", "curated", "checkpoint", "archive"]}
 
 
-def run(spark, zone, archive=None, **more):
-    query = ingest_landing(spark, zone["landing"], zone["curated"], zone["checkpoint"], archive, **more)
+def run(spark, zone, **more):
+    query = ingest_landing(spark, zone["landing"], zone["curated"], zone["checkpoint"], **more)
     query.awaitTermination()
     return spark.read.schema(schemas.curated()).parquet(zone["curated"])
 
@@ -178,9 +207,18 @@ def test_small_batches_give_the_same_rows(spark, zone):
 def test_committed_files_move_to_the_archive(spark, zone):
     for i in range(3):
         land_file(zone["landing"], f"{i}.json", "a", ["1"])
-        rows = run(spark, zone, zone["archive"])
+        rows = run(spark, zone, archive=zone["archive"])
     archived = [p.name for p in Path(zone["archive"]).rglob("*.json")]
     left = [p.name for p in Path(zone["landing"]).glob("*.json")]
     assert rows.count() == 3
     assert sorted(archived + left) == ["0.json", "1.json", "2.json"]
     assert "0.json" in archived
+
+
+def test_committed_files_can_be_deleted(spark, zone):
+    for i in range(3):
+        land_file(zone["landing"], f"{i}.json", "a", ["1"])
+        rows = run(spark, zone, delete=True)
+    left = [p.name for p in Path(zone["landing"]).glob("*.json")]
+    assert rows.count() == 3
+    assert "0.json" not in left and set(left) <= {"1.json", "2.json"}
