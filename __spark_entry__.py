@@ -150,7 +150,7 @@ def incremental_landing(spark, sf_dir):
     zone, curated, checkpoint, archive = (
         fresh_dir(spark, name) for name in ["drop", "curated", "progress", "archive"]
     )
-    docs = testbed.documents(spark, sf_dir)
+    docs = landed(spark, sf_dir)
     for keep in [lambda video: ~since_of(video), since_of]:
         sinks.write_documents(docs.withColumn("videos", F.filter("videos", keep)), zone)
         ingest_landing(spark, zone, curated, checkpoint, archive).awaitTermination()
@@ -598,6 +598,21 @@ def video_trend(spark, sf_dir):
     return reports.video_trend(testbed.curated(spark, sf_dir))
 
 
+@query(CUR + """
+SELECT "channelName", "year", "month", count(video_title) AS "monthlyVideosPublished",
+       max("viewCount") AS "maxViews"
+FROM cur GROUP BY 1, 2, 3
+""")
+def report_by_view(spark, sf_dir):
+    """A report in SQL, over a temporary view of the curated rows."""
+    testbed.curated(spark, sf_dir).createOrReplaceTempView("video_data")
+    return spark.sql("""
+        SELECT channelName, year, month, count(video_title) AS monthlyVideosPublished,
+               max(viewCount) AS maxViews
+        FROM video_data GROUP BY channelName, year, month
+    """)
+
+
 MOST_VIEWED = CUR + """
 SELECT "channelName", video_title, max("viewCount") AS "totalViews" FROM cur GROUP BY 1, 2
 ORDER BY "totalViews" DESC NULLS LAST, "channelName", video_title

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from reelstat import schemas, sinks, sources
 from reelstat.plans.curate import curate
 from reelstat.plans.reports import write_reports
-from reelstat.session import build_session
+from reelstat.session import build_session, sized_conf
 from reelstat.streaming import ingest_landing
 
 
@@ -40,6 +40,8 @@ def run_report(spark: SparkSession, table: str, prefix: str = "") -> dict[str, s
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="reelstat.jobs")
     parser.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE")
+    parser.add_argument("--input-gb", type=float, help="size of the input, to set partitions by")
+    parser.add_argument("--cores", type=int, default=200, help="cores of the cluster")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("curate", help="landing documents to the curated table")
@@ -66,6 +68,9 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     options = vars(_parser().parse_args(argv))
     conf = dict(pair.split("=", 1) for pair in options.pop("conf"))
+    input_gb, cores = options.pop("input_gb"), options.pop("cores")
+    if input_gb:
+        conf = {**sized_conf(int(input_gb * 1e9), cores), **conf}
     job = options.pop("job")
     spark = build_session(f"reelstat-{job}", conf=conf)
     if job == "curate":

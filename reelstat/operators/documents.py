@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.operators.joins import match
-from reelstat.operators.ordinals import BLOCK, running_total
+from reelstat.operators.ordinals import running_total
 from reelstat.session import written
 
 # Fixed value: ids per request.
 CHUNK_SIZE = 50
 
+# Pages of a key that one task puts in order; they carry their ids along.
+PAGE_BLOCK = 1 << 14
+
 
 def assemble_documents(
     parents: DataFrame,
@@ -88,7 +91,7 @@ def flatten_pages(
     page: str,
     ids: str,
     out: str = "videoId",
-    block: int = BLOCK,
+    block: int = PAGE_BLOCK,
 ) -> DataFrame:
     """The ids of all pages of a key, one row each, with their position in the whole list.
 

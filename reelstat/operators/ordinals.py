@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows of a key that one task puts in order. With two levels, the last one then has at most
+# 2 ** 23 rows per key even if the order column spreads over all 64-bit integers.
 BLOCK = 1 << 20
 
 

@@ -71,8 +71,11 @@ def time_shift(
     )
     shifted = series.withColumn("_earlier", shift)
     condition = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
-    condition.append(F.col("_earlier") == F.col("_then"))
-    return shifted.join(past, condition, "left").select(*series.columns, "prev")
+    # Null-safe here too: a plain comparison would filter NULLs on one side only, and the series
+    # would be computed twice instead of its shuffle being used for both sides.
+    condition.append(F.col("_earlier").eqNullSafe(F.col("_then")))
+    prev = F.when(F.col("_earlier").isNotNull(), F.col("prev"))
+    return shifted.join(past, condition, "left").select(*series.columns, prev.alias("prev"))
 
 
 def ctas_limited(query: DataFrame, table: str, requested: int | None = None) -> None:

@@ -32,6 +32,21 @@ def build_session(
     return builder.getOrCreate()
 
 
+def sized_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Partition settings for a job that reads about ``input_bytes``.
+
+    Scan tasks grow from 128 MB to 1 GB so that their number stays manageable. Shuffles start
+    with partitions of about 256 MB of input, which adaptive execution then merges to what the
+    shuffled data really needs; it cannot make too few partitions of an aggregation smaller.
+    """
+    scan = min(max(input_bytes // 100_000, 128 << 20), 1 << 30)
+    shuffle = min(max(input_bytes // (256 << 20), cores), 50_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.shuffle.partitions": str(shuffle),
+    }
+
+
 def s3a_conf(
     endpoint: str, access_key: str, secret_key: str, ssl: bool = True, path_style: bool = True
 ) -> dict[str, str]:

@@ -107,6 +107,13 @@ def test_total_is_left_out_where_it_is_not_used(spark, sf_dir):
     assert plan(reports.video_count(testbed.curated(spark, sf_dir))).count("FileScan") == 2
 
 
+def test_a_series_and_its_past_are_computed_once(stored):
+    series = stored.groupBy("channelName", "year").agg(F.count("*").alias("n"))
+    shifted = explore.time_shift(series, "year", "n", F.col("year") - 1, ["channelName"])
+    text = final_plan(shifted).split("Initial Plan")[0]
+    assert text.count("FileScan") == 1 and "ReusedExchange" in text
+
+
 def test_csv_keeps_to_the_columns_asked_for(spark, folder):
     path = folder()
     spark.sql("SELECT 1 AS a, 2 AS b").write.csv(path, header=True)

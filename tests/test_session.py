@@ -65,6 +65,15 @@ def test_written_rows_have_a_known_size(spark):
     assert rows.count() == 0 and rows.columns == ["id"]
 
 
+@pytest.mark.parametrize("size, scan, shuffle", [
+    (10**9, 128 << 20, 8), (10**12, 128 << 20, 3725), (100 * 10**12, 10**9, 50_000),
+])
+def test_partitions_follow_the_input(size, scan, shuffle):
+    assert session.sized_conf(size, 8) == {
+        "spark.sql.files.maxPartitionBytes": str(scan), "spark.sql.shuffle.partitions": str(shuffle),
+    }
+
+
 def test_store_and_catalog_settings():
     store = session.s3a_conf("http://store:9000", "key", "secret", ssl=False)
     assert store["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
