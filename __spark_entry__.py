@@ -480,7 +480,9 @@ def json_extract_videos(spark, sf_dir):
             iso_text(F.col("o_orderdate")).alias("publishedAt"),
         ).alias("snippet"),
         F.struct(
-            F.when(F.col("o_orderstatus") != "P", testbed.whole_text("o_totalprice")).alias("viewCount")
+            F.when(F.col("o_orderstatus") != "P", testbed.whole_text("o_totalprice")).alias(
+                "viewCount"
+            )
         ).alias("statistics"),
         F.struct(F.when(F.col("o_orderstatus") != "O", F.lit("PT1M")).alias("duration")).alias(
             "contentDetails"
@@ -780,7 +782,8 @@ def row_level_filter(spark, sf_dir):
     rules = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("r_name").alias("role"), F.col("n_nationkey").alias("nation")
     )
-    customers = testbed.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    customers = testbed.table(spark, sf_dir, "customer")
+    customers = customers.select("c_custkey", "c_name", "c_nationkey")
     return explore.row_level_filter(customers, rules, "ASIA", {"c_nationkey": "nation"})
 
 

@@ -7,6 +7,6 @@ from reelstat.functions.times import (
 )
 
 __all__ = [
-    "anchored", "count_of", "derived_table", "instant", "instant_of", "iso_text", "month_key", "object_key",
-    "or_default", "published_since", "relative_range", "safe_name", "time_grain",
+    "anchored", "count_of", "derived_table", "instant", "instant_of", "iso_text", "month_key",
+    "object_key", "or_default", "published_since", "relative_range", "safe_name", "time_grain",
 ]

@@ -39,7 +39,9 @@ def most_viewed(curated: DataFrame, ordered: bool = True) -> DataFrame:
     Name and title settle ties; they also keep the many rows of one count from all being sorted
     in the same task.
     """
-    views = curated.groupBy("channelName", "video_title").agg(F.max("viewCount").alias("totalViews"))
+    views = curated.groupBy("channelName", "video_title").agg(
+        F.max("viewCount").alias("totalViews")
+    )
     if not ordered:
         return views
     return views.orderBy(F.desc_nulls_last("totalViews"), "channelName", "video_title")

@@ -11,6 +11,6 @@ from reelstat.sources.responses import (
 
 __all__ = [
     "NA_STRINGS", "channel_paths", "channels_from_responses", "curated_since",
-    "ids_from_playlist_pages", "landing_manifest", "load_file", "of_channels", "read_csv_headerless",
-    "read_curated", "read_landing", "videos_from_responses",
+    "ids_from_playlist_pages", "landing_manifest", "load_file", "of_channels",
+    "read_csv_headerless", "read_curated", "read_landing", "videos_from_responses",
 ]

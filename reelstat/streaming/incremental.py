@@ -27,6 +27,8 @@ def ingest_landing(
     are safe, and the files of the last batch stay until the next run finds new ones. The folders
     must be reachable by every executor.
     """
+    if archive and f"{archive.rstrip('/')}/".startswith(f"{landing.rstrip('/')}/"):
+        raise ValueError("the archive would be read as part of the landing zone")
     reader = (
         spark.readStream.schema(schemas.landing_for_curate())
         .option("recursiveFileLookup", "true")

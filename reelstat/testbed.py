@@ -91,7 +91,9 @@ def landing(spark: SparkSession, sf_dir: str, recent: bool = False) -> str:
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated rows straight from the tables, without the detour over documents."""
     orders = table(spark, sf_dir, "orders")
-    totals = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("_videos"))
+    totals = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count("*").alias("_videos")
+    )
     owners = table(spark, sf_dir, "customer").join(totals, "c_custkey", "left").select(
         F.col("c_custkey").alias("o_custkey"),
         F.col("c_name").alias("channelName"),

@@ -222,3 +222,8 @@ def test_committed_files_can_be_deleted(spark, zone):
     left = [p.name for p in Path(zone["landing"]).glob("*.json")]
     assert rows.count() == 3
     assert "0.json" not in left and set(left) <= {"1.json", "2.json"}
+
+
+def test_the_archive_must_lie_elsewhere(spark, zone):
+    with pytest.raises(ValueError):
+        run(spark, zone, archive=zone["landing"] + "/done")
