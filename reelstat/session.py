@@ -97,7 +97,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/reelstat/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -111,6 +111,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def fresh_database(spark: SparkSession) -> str:
     """A new database whose managed tables live below the shared folder; returns its name."""
     name = f"reelstat_{uuid.uuid4().hex}"
-    location = f"{shared_dir(spark)}/{name}".replace("'", r"\'")
+    location = f"{shared_dir(spark)}/reelstat/{name}".replace("'", r"\'")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{location}'")
     return name

@@ -38,8 +38,11 @@ def ingest_landing(
         reader = reader.option("cleanSource", "delete")
     elif archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    rows = curate(reader.json(landing), wide)
     return (
-        curate(reader.json(landing), wide)
+        # Few files per month and batch instead of one per month and task; a month that is much
+        # larger than the others is split again.
+        rows.hint("rebalance", *schemas.PARTITION_FIELDS)
         .writeStream.format("parquet")
         .partitionBy(*schemas.PARTITION_FIELDS)
         .option("checkpointLocation", checkpoint)

@@ -224,6 +224,30 @@ def test_committed_files_can_be_deleted(spark, zone):
     assert "0.json" not in left and set(left) <= {"1.json", "2.json"}
 
 
+def files_of(rows):
+    return rows.select(F.input_file_name()).distinct().count()
+
+
+def test_months_are_not_scattered_over_tasks(spark, sf_dir, zone, conf):
+    conf(spark__sql__files__maxPartitionBytes="200k", spark__sql__files__openCostInBytes="1k")
+    sinks.write_documents(testbed.documents(spark, sf_dir), zone["landing"])
+    rows = run(spark, zone)
+    assert files_of(rows) <= 2 * rows.select("year", "month").distinct().count()
+
+
+def test_a_hot_month_is_split_while_ingesting(spark, sf_dir, zone, conf):
+    conf(
+        spark__sql__files__maxPartitionBytes="200k", spark__sql__files__openCostInBytes="1k",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20k",
+    )
+    late = F.transform("videos", lambda v: v.withField("publishedAt", F.lit("2024-01-02T03:04:05Z")))
+    docs = testbed.documents(spark, sf_dir)
+    sinks.write_documents(docs.withColumn("videos", late), zone["landing"])
+    rows = run(spark, zone)
+    assert rows.select("year", "month").distinct().count() == 1
+    assert files_of(rows) > 2
+
+
 def test_the_archive_must_lie_elsewhere(spark, zone):
     with pytest.raises(ValueError):
         run(spark, zone, archive=zone["landing"] + "/done")
