@@ -46,17 +46,21 @@ WITH cur AS (
 RECENT = "o_orderdate >= TIMESTAMP '2001-08-01' - INTERVAL 365 DAY"
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    """Registers a query under its function's name, with its SQL if there is one."""
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query with its SQL, if there is one.
+
+    It goes by its function's name, unless that would hide an imported one and ``name`` is given.
+    """
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return function(spark, sf_dir)
 
-        _QUERIES[function.__name__] = run
+        key = name or function.__name__
+        _QUERIES[key] = run
         if oracle:
-            _ORACLES[function.__name__] = oracle
+            _ORACLES[key] = oracle
         return run
 
     return register
@@ -292,15 +296,19 @@ def channel_report(spark, sf_dir):
     return reports.channel_report(testbed.curated(spark, sf_dir))
 
 
-@query()
+@query(CUR + """
+SELECT * FROM cur ORDER BY "channelName", "publishedAt", video_title, "viewCount" LIMIT 20
+""")
 def preview_rows(spark, sf_dir):
-    return testbed.curated(spark, sf_dir).limit(20)
+    rows = testbed.curated(spark, sf_dir)
+    order = ["channelName", "publishedAt", "video_title", "viewCount"]
+    return without_zone(explore.limited(rows.orderBy(*order), 20))
 
 
 # ---------------------------------------------------------------- projections and functions
 
 
-@query(CUR + "SELECT * FROM cur")
+@query(CUR + "SELECT * FROM cur", name="curate")
 def curate_documents(spark, sf_dir):
     docs = landed(spark, sf_dir, schemas.landing_for_curate())
     return without_zone(curate(docs))
@@ -309,7 +317,7 @@ def curate_documents(spark, sf_dir):
 @query(f"""
 SELECT c_name AS "channelName", count(*) AS n
 FROM customer JOIN orders ON c_custkey = o_custkey WHERE {RECENT} GROUP BY 1
-""")
+""", name="explode_videos")
 def explode_videos_inner(spark, sf_dir):
     docs = landed(spark, sf_dir, schemas.landing(["channelName"], ["videoId"]), recent=True)
     return explode_videos(docs).groupBy("channelName").agg(F.count("*").alias("n"))
@@ -511,7 +519,7 @@ SELECT c_custkey,
        replace(c_mktsegment, ' ', '_') || '/' || replace(c_name, ' ', '_') || '_raw_data.json'
          AS object_key
 FROM customer
-""")
+""", name="object_key")
 def object_key_names(spark, sf_dir):
     key = object_key(F.col("c_mktsegment"), F.col("c_name"))
     return testbed.table(spark, sf_dir, "customer").select("c_custkey", key.alias("object_key"))
@@ -541,7 +549,7 @@ FROM orders
 """
 
 
-@query(LISTED)
+@query(LISTED, name="flatten_pages")
 def flatten_id_pages(spark, sf_dir):
     pages = order_pages(spark, sf_dir, F.col("o_orderkey"))
     return flatten_pages(pages, "channelName", "page", "items")
@@ -568,7 +576,7 @@ def json_extract_pages(spark, sf_dir):
 SELECT "channelName", position // 50 AS chunk,
        string_agg(CAST("videoId" AS VARCHAR), ',' ORDER BY "videoId") AS ids
 FROM ({LISTED}) GROUP BY 1, 2
-""")
+""", name="chunk_ids")
 def chunk_id_list(spark, sf_dir):
     orders = testbed.table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("channelName"), F.col("o_orderkey").alias("videoId")
@@ -660,9 +668,15 @@ def row_limited_query(spark, sf_dir):
     return explore.limited(events.orderBy("event_id"), explore.EDITOR_ROWS)
 
 
-@query()
+@query("SELECT least(count(*), 1000) AS n, least(count(*), 1000) AS n_known FROM events")
 def sample_rows(spark, sf_dir):
-    return explore.sample_rows(testbed.table(spark, sf_dir, "events"))
+    """Which rows a sample holds is open; counted are all of them and those found in the table."""
+    events = testbed.table(spark, sf_dir, "events")
+    sample = explore.sample_rows(events.select("event_id"))
+    known = events.select("event_id", F.lit(1).alias("known"))
+    return sample.join(known, "event_id", "left").agg(
+        F.count("*").alias("n"), F.count("known").alias("n_known")
+    )
 
 
 @query("SELECT DISTINCT event_type FROM events ORDER BY 1 LIMIT 10000")
@@ -791,7 +805,7 @@ def row_level_filter(spark, sf_dir):
 SELECT c_name AS "channelName", CAST(o_orderkey AS VARCHAR) AS "videos_videoId",
        o_orderpriority AS videos_title
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND {RECENT}
-""")
+""", name="expand_nested")
 def expand_nested_columns(spark, sf_dir):
     docs = landed(
         spark, sf_dir, schemas.landing(["channelName"], ["videoId", "title"]), recent=True
@@ -801,17 +815,6 @@ def expand_nested_columns(spark, sf_dir):
 
 # ---------------------------------------------------------------- contract
 
-# Names of the survey for queries whose function would hide an imported one.
-_RENAMED = {
-    "curate_documents": "curate",
-    "explode_videos_inner": "explode_videos",
-    "object_key_names": "object_key",
-    "flatten_id_pages": "flatten_pages",
-    "chunk_id_list": "chunk_ids",
-    "expand_nested_columns": "expand_nested",
-}
-
-
 def entry(spark: SparkSession) -> DataFrame:
     """From landing documents to the most viewed videos, on the smallest data."""
     return landing_to_most_viewed(spark, "/root/testdata/sf0.001")
@@ -819,9 +822,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
-    return {_RENAMED.get(name, name): run for name, run in _QUERIES.items()}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {_RENAMED.get(name, name): text for name, text in _ORACLES.items()}
+    return dict(_ORACLES)

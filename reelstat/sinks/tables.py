@@ -67,7 +67,10 @@ def overwrite_partitions(curated: DataFrame, table: str) -> None:
 
 
 def reload_curated(curated: DataFrame, table: str) -> None:
-    """Empties the table and inserts the rows, which must not be read from the same table."""
+    """Empties the table and inserts the rows, which must not be read from the same table.
+
+    The two steps are separate commits: a reader can meet the empty table.
+    """
     curated.sparkSession.sql("TRUNCATE TABLE IDENTIFIER(:name)", args={"name": table})
     append_curated(curated, table)
 
