@@ -1,11 +1,13 @@
 """Table sinks.
 
 Tables are Parquet tables of the session catalog; a name in another catalog uses that catalog's
-own format. Names are passed as parameters, never pasted into SQL.
+own format.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstat import schemas
@@ -88,10 +90,21 @@ def append_table(df: DataFrame, table: str) -> None:
 def replace_table(df: DataFrame, table: str) -> None:
     """Puts the rows in place of the table, creating it on first use.
 
-    In the session catalog the old table is dropped before the new one is written, so a reader
-    can meet a gap; catalogs with atomic replacement do not have it.
+    In the session catalog the rows are first written to a table beside it, which then takes its
+    name: a job that fails leaves the old table as it was, and the rows may come from the table
+    itself. A reader can meet a gap between the two metadata steps; catalogs with atomic
+    replacement do not have it.
     """
-    if _in_session_catalog(df.sparkSession, table):
-        df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    else:
+    spark = df.sparkSession
+    if not _in_session_catalog(spark, table):
         df.writeTo(table).createOrReplace()
+        return
+    beside = f"{table}_{uuid.uuid4().hex}"
+    try:
+        df.write.format("parquet").saveAsTable(beside)
+    except Exception:
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": beside})
+        raise
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": table})
+    new_name = ".".join(f"`{part}`" for part in table.split("."))
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) RENAME TO {new_name}", args={"name": beside})

@@ -61,6 +61,33 @@ def test_replace_changes_rows_and_schema(spark, database):
     assert spark.table(table).columns == ["id", "x"]
 
 
+def test_a_failed_replacement_leaves_the_old_table(spark, database):
+    table = f"{database}.r"
+    sinks.replace_table(spark.range(5), table)
+    broken = spark.range(3).select(F.when(F.col("id") > 1, F.raise_error(F.lit("no"))).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_table(broken, table)
+    assert spark.table(table).count() == 5
+    assert [t.name for t in spark.catalog.listTables(database)] == ["r"]
+
+
+def test_a_table_can_be_replaced_from_itself(spark, database):
+    table = f"{database}.r"
+    sinks.replace_table(spark.range(5), table)
+    sinks.replace_table(spark.table(table).filter("id > 2"), table)
+    assert spark.table(table).count() == 2
+
+
+def test_tables_of_the_current_database_are_replaced(spark, database):
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        sinks.replace_table(spark.range(1), "plain")
+        sinks.replace_table(spark.range(2), "plain")
+        assert spark.table("plain").count() == 2
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+
+
 def test_append_table_creates_then_appends(spark, database):
     table = f"{database}.a"
     sinks.append_table(spark.range(2), table)
