@@ -6,13 +6,18 @@ write do so below the folder that ``spark.checkpoint.dir`` names, never in the d
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The package lies next to this file, which may be loaded from anywhere.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from reelstat import schemas, sinks, sources, testbed
 from reelstat.functions import (
     count_of, instant_of, iso_text, month_key, object_key, or_default, published_since, safe_name,

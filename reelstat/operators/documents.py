@@ -29,7 +29,7 @@ def assemble_documents(
     gets several documents of about that size, each with the parent's fields: exploding them
     gives the same rows as one document would, and no task has to hold a whole hot key. Parts are
     told by a hash of the child, so they are the same after a retry; exact copies are counted
-    before the shuffle and then dealt out in blocks.
+    before the shuffle and then dealt out in blocks, one part after the other.
     """
     children = children.filter(F.col(key).isNotNull())
     fields = [name for name in children.columns if name != key]
@@ -59,9 +59,10 @@ def assemble_documents(
             ).alias("_b"),
         )
     )
+    parts = F.col("_parts")
     split = per_child.select(
         key,
-        F.pmod(F.xxhash64("_item", "_b"), F.col("_parts")).alias("_part"),
+        F.pmod(F.pmod(F.xxhash64("_item"), parts) + F.col("_b"), parts).alias("_part"),
         "_item",
         F.least(F.lit(max_items), F.col("_n") - F.col("_b") * max_items)
         .cast("int")
