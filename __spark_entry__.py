@@ -235,7 +235,8 @@ JOIN (SELECT "channelName", count(video_title) AS "totalVideosPublished" FROM cu
 JOIN (SELECT "channelName", count(*) AS n_months
       FROM (SELECT DISTINCT "channelName", "year", "month" FROM cur) GROUP BY 1) t
   USING ("channelName")
-JOIN (SELECT "channelName", count(DISTINCT video_title) AS n_titles FROM cur GROUP BY 1) v
+JOIN (SELECT "channelName", count(*) AS n_titles
+      FROM (SELECT DISTINCT "channelName", video_title FROM cur) GROUP BY 1) v
   USING ("channelName")
 """)
 def report_tables(spark, sf_dir):
@@ -269,7 +270,8 @@ def sink_truncate_reload(spark, sf_dir):
 TOP_PER_CHANNEL = CUR + """
 SELECT "channelName", video_title, "viewCount", "publishedAt",
        CAST(row_number() OVER (PARTITION BY "channelName"
-            ORDER BY "viewCount" DESC, video_title, "publishedAt") AS INTEGER) AS rank
+            ORDER BY "viewCount" DESC NULLS LAST, video_title NULLS FIRST,
+                     "publishedAt" NULLS FIRST) AS INTEGER) AS rank
 FROM cur QUALIFY rank <= 5
 """
 

@@ -24,7 +24,7 @@ def test_curate_then_report(spark, zone, database):
     jobs.main(["curate", "--landing", zone, "--table", table, "--mode", "reload"])
     assert spark.table(table).count() == n
     jobs.main(["report", "--table", table, "--prefix", f"{database}.daily_"])
-    assert {t.name for t in spark.catalog.listTables(database)} == {
+    assert {t.name for t in spark.catalog.listTables(database) if not t.isTemporary} == {
         "curated", "daily_channel_subscribers", "daily_video_count", "daily_video_trend",
         "daily_most_viewed_videos",
     }
