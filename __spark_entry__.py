@@ -820,6 +820,21 @@ def expand_nested_columns(spark, sf_dir):
     return expand_nested(docs)
 
 
+# ---------------------------------------------------------------- training data
+
+try:
+    import corpus_pipeline
+    from reelstat.llm.queries import ORACLES as LLM_ORACLES
+    from reelstat.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:  # the subpackage has been taken out
+    pass
+else:
+    _QUERIES.update(LLM_QUERIES)
+    _ORACLES.update(LLM_ORACLES)
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 # ---------------------------------------------------------------- contract
 
 def entry(spark: SparkSession) -> DataFrame:
