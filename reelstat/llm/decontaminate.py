@@ -31,7 +31,7 @@ MASKS = ("111101111", "1110111011", "11011011011", "110010101101")
 #: Bytes of benchmark text that one block holds about.
 BLOCK_BYTES = 16 << 20
 
-_PUNCTUATION = bytes(
+PUNCTUATION = bytes(
     x + 32 if 65 <= x <= 90 else 32 if x < 128 and not chr(x).isalnum() else x for x in range(256)
 )
 _FILTER_BITS = 22
@@ -48,7 +48,7 @@ class Overlap:
 
 def tokens_of(data: bytes) -> np.ndarray:
     """Hashes of a text's tokens: lower case in ASCII, punctuation taken as space."""
-    return words_of(data.translate(_PUNCTUATION))[2]
+    return words_of(data.translate(PUNCTUATION))[2]
 
 
 def seeds_of(tokens: np.ndarray, mask: str, salt: int) -> np.ndarray:

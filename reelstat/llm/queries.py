@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import decontaminate, jaccard, mixing, quality, shards
+from reelstat.llm import decontaminate, jaccard, lm, mixing, quality, shards, toxicity
 from reelstat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,17 @@ def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+        held_out=toxicity.held_out_fold(),
+    )
+
+
+def op9_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"), held_out=lm.held_out_fold())
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
 
@@ -98,6 +109,8 @@ QUERIES: dict[str, Query] = {
     "op5_line_rules": op5_line_rules,
     "op6_decontaminate": op6_decontaminate,
     "op7_histogram_shards": op7_histogram_shards,
+    "op8_toxicity": op8_toxicity,
+    "op9_hmm_scores": op9_hmm_scores,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
