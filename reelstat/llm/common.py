@@ -6,6 +6,7 @@ UTF-8 character, so words of bytes are words of characters.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -115,3 +116,42 @@ def windows_of(words: np.ndarray, n: int) -> np.ndarray:
 
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+def span_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes from each start to its end."""
+    codes = np.frombuffer(data, dtype=np.uint8)
+    powers, inverses = _powers(len(codes))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[codes] * powers[: len(codes)])))
+    hashes = (sums[ends] - sums[starts]) * inverses[starts]
+    return mix(hashes + (ends - starts).astype(np.uint64))
+
+
+def gram_hashes(data: bytes, length: int) -> np.ndarray:
+    """Hashes of all runs of ``length`` bytes, by doubling."""
+    codes = np.frombuffer(data, dtype=np.uint8)
+    last = len(codes) - length + 1
+    if last < 1:
+        return np.zeros(0, dtype=np.uint64)
+    found, done = np.zeros(last, dtype=np.uint64), 0
+    grams, size, step = _BYTE[codes], 1, BASE
+    while True:
+        if length & size:
+            # The runs of this size that follow those already taken.
+            found = found * step + grams[done : done + last]
+            done += size
+        if done == length:
+            return mix(found)
+        grams = grams[:-size] * step + grams[size:]
+        size, step = 2 * size, np.uint64(int(step) ** 2 % (1 << 64))
+
+
+def forget(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes the files of tables that ``written`` made, and lets Spark drop the shuffle files that
+    nothing refers to any more."""
+    jvm = spark._jvm
+    for folder in {path.rpartition("/")[0] for df in tables for path in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()

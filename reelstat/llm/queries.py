@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import decontaminate, jaccard, lm, mixing, quality, shards, toxicity
+from reelstat.llm import decontaminate, jaccard, lm, mixing, quality, repeats, shards, toxicity
 from reelstat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -106,6 +111,7 @@ FROM docs d JOIN scaled p ON d.s = p.source AND d.l = p.lang AND d.topic = p.top
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op5_line_rules": op5_line_rules,
     "op6_decontaminate": op6_decontaminate,
     "op7_histogram_shards": op7_histogram_shards,
