@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import decontaminate, jaccard, lm, mixing, quality, repeats, shards, toxicity
+from reelstat.llm import (
+    decontaminate, html_text, jaccard, lm, mixing, quality, repeats, shards, surrogates, toxicity,
+)
 from reelstat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +24,21 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.anonymize(docs, key=b"reelstat")
+
+
 def op5_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -111,7 +123,9 @@ FROM docs d JOIN scaled p ON d.s = p.source AND d.l = p.lang AND d.topic = p.top
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_html_text": op2_html_text,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_pii_surrogates": op4_pii_surrogates,
     "op5_line_rules": op5_line_rules,
     "op6_decontaminate": op6_decontaminate,
     "op7_histogram_shards": op7_histogram_shards,
