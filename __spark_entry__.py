@@ -22,12 +22,13 @@ from reelstat import schemas, sinks, sources, testbed
 from reelstat.functions import (
     count_of, instant_of, iso_text, month_key, object_key, or_default, published_since, safe_name,
 )
+from reelstat.operators import assemble_documents as assemble_documents_of
 from reelstat.operators import (
     chunk_ids, expand_nested, explode_videos, flatten_pages, positions,
 )
 from reelstat.plans import explore, reports
 from reelstat.plans.curate import curate
-from reelstat.session import fresh_database, fresh_dir
+from reelstat.session import fresh_database, fresh_dir, written
 from reelstat.streaming import ingest_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,9 +84,9 @@ def without_zone(df: DataFrame) -> DataFrame:
 
 
 def landed(
-    spark: SparkSession, sf_dir: str, schema: T.StructType | None = None, recent: bool = False
+    spark: SparkSession, sf_dir: str, schema: T.StructType | None = None, silent: bool = False
 ) -> DataFrame:
-    return sources.read_landing(spark, testbed.landing(spark, sf_dir, recent), schema)
+    return sources.read_landing(spark, testbed.landing(spark, sf_dir, silent), schema)
 
 
 # ---------------------------------------------------------------- sources
@@ -112,12 +113,14 @@ def scan_json_landing(spark, sf_dir):
     return document_summary(landed(spark, sf_dir))
 
 
-@query(f"""
-SELECT c_name AS "channelName", count(o_orderkey) + count(*) FILTER (WHERE {RECENT}) AS n
+@query("""
+SELECT c_name AS "channelName", 2 * count(o_orderkey) AS n
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name
+UNION ALL SELECT s_name, 0 FROM supplier
 """)
 def scan_multi_source(spark, sf_dir):
-    paths = [testbed.landing(spark, sf_dir), testbed.landing(spark, sf_dir, recent=True)]
+    """Two landing zones in one read; the second also has channels without videos."""
+    paths = [testbed.landing(spark, sf_dir), testbed.landing(spark, sf_dir, silent=True)]
     docs = sources.read_landing(spark, paths, schemas.landing(["channelName"], ["videoId"]))
     return docs.groupBy("channelName").agg(F.sum(F.size("videos")).alias("n"))
 
@@ -148,22 +151,75 @@ def scan_channel_subset(spark, sf_dir):
     return chosen.groupBy("channelName").agg(F.sum(F.size("videos")).alias("n_videos"))
 
 
-@query()
-def landing_manifest(spark, sf_dir):
-    return without_zone(sources.landing_manifest(spark, testbed.landing(spark, sf_dir)))
+@query("""
+SELECT n_name AS "channelName", count(o_orderkey) AS n_videos, max(o_orderkey) AS last_video
+FROM nation JOIN customer ON n_nationkey = c_nationkey JOIN orders ON c_custkey = o_custkey
+WHERE n_nationkey IN (3, 7) GROUP BY 1
+""")
+def scan_channel_paths(spark, sf_dir):
+    """Nations as channels, landed by channel twice; two of them are read by their paths."""
+    tables = {name: testbed.table(spark, sf_dir, name) for name in ["nation", "customer", "orders"]}
+    parents = tables["nation"].select("n_nationkey", F.col("n_name").alias("channelName"))
+    children = tables["orders"].join(tables["customer"], F.col("o_custkey") == F.col("c_custkey"))
+    docs = assemble_documents_of(
+        parents, children.select(F.col("c_nationkey").alias("n_nationkey"), F.col("o_orderkey").alias("id")),
+        "n_nationkey", max_items=1_000,
+    )
+    zone = fresh_dir(spark, "by-channel")
+    for _ in range(2):
+        sinks.write_documents(docs, zone, by_channel=True)
+    names = [r[0] for r in parents.filter("n_nationkey IN (3, 7)").select("channelName").collect()]
+    schema = T.StructType.fromDDL("channelName STRING, videos ARRAY<STRUCT<id: BIGINT>>")
+    chosen = sources.read_landing(spark, sources.channel_paths(zone, names), schema)
+    return chosen.groupBy("channelName").agg(
+        F.sum(F.size("videos")).alias("n_videos"), F.max(F.array_max("videos.id")).alias("last_video")
+    )
 
 
-@query(CUR + "SELECT * FROM cur")
-def incremental_landing(spark, sf_dir):
-    """Two runs, each after a new drop: first the older videos, then those of the last year."""
-    zone, curated, checkpoint, archive = (
-        fresh_dir(spark, name) for name in ["drop", "curated", "progress", "archive"]
+@query("SELECT count(*) AS n_documents, CAST(0 AS BIGINT) AS n_without_size FROM customer")
+def landing_manifest(spark, sf_dir):
+    """Documents in the files that the manifest lists, all of which must have a size."""
+    zone = testbed.landing(spark, sf_dir)
+    plain = lambda path: F.regexp_replace(path, "^file:/+", "file:/")
+    listed = sources.landing_manifest(spark, zone).select(plain(F.col("path")).alias("path"), "length")
+    docs = sources.read_landing(spark, zone, schemas.landing(["channelName"], []), with_source=True)
+    counts = docs.groupBy(plain(F.col("source")).alias("path")).agg(F.count("*").alias("n"))
+    return listed.join(counts, "path").agg(
+        F.sum("n").alias("n_documents"), F.sum((F.col("length") <= 0).cast("int")).alias("n_without_size")
     )
+
+
+def ingested(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Two runs, each after a new drop: first the older videos, then those of the last year.
+    Returns the table, the landing zone and the archive."""
+    zone, checkpoint, archive = (fresh_dir(spark, name) for name in ["drop", "progress", "archive"])
+    table = f"{fresh_database(spark)}.curated"
     docs = landed(spark, sf_dir)
     for keep in [lambda video: ~since_of(video), since_of]:
         sinks.write_documents(docs.withColumn("videos", F.filter("videos", keep)), zone)
-        ingest_landing(spark, zone, curated, checkpoint, archive).awaitTermination()
-    return without_zone(spark.read.schema(schemas.curated()).parquet(curated))
+        ingest_landing(spark, zone, table, checkpoint, archive)
+    return table, zone, archive
+
+
+@query(CUR + """SELECT * FROM cur UNION ALL SELECT * FROM cur WHERE "year" = 1997""")
+def incremental_landing(spark, sf_dir):
+    """The table after two runs, and rows appended by another writer."""
+    table, _, _ = ingested(spark, sf_dir)
+    sinks.append_curated(testbed.curated(spark, sf_dir).filter(F.col("year") == 1997), table)
+    return without_zone(spark.table(table))
+
+
+@query("SELECT CAST(0 AS BIGINT) AS n_left, 2 * count(*) AS n_archived FROM customer")
+def incremental_cleanup(spark, sf_dir):
+    """Documents that two runs leave in the landing zone, and those they put into the archive."""
+    _, zone, archive = ingested(spark, sf_dir)
+    schema = schemas.landing(["channelName"], [])
+    left, put = (sources.read_landing(spark, path, schema) for path in (zone, archive))
+    both = left.select(F.lit(True).alias("left")).unionAll(put.select(F.lit(False)))
+    return both.agg(
+        F.count(F.when(F.col("left"), 1)).alias("n_left"),
+        F.count(F.when(~F.col("left"), 1)).alias("n_archived"),
+    )
 
 
 def since_of(video: Column) -> Column:
@@ -228,15 +284,19 @@ def sink_replace_report(spark, sf_dir):
 
 
 @query(CUR + """
-SELECT s."channelName", s."totalSubscribers", c."totalVideosPublished", t.n_months, v.n_titles
+SELECT s."channelName", s."totalSubscribers", c."totalVideosPublished", t.n_months, t.n_in_months,
+       t.by_month, v.n_titles, v.views
 FROM (SELECT "channelName", max(subscribers) AS "totalSubscribers" FROM cur GROUP BY 1) s
 JOIN (SELECT "channelName", count(video_title) AS "totalVideosPublished" FROM cur GROUP BY 1) c
   USING ("channelName")
-JOIN (SELECT "channelName", count(*) AS n_months
-      FROM (SELECT DISTINCT "channelName", "year", "month" FROM cur) GROUP BY 1) t
+JOIN (SELECT "channelName", count(*) AS n_months, CAST(sum(n) AS BIGINT) AS n_in_months,
+             CAST(sum(n * ("year" * 12 + "month")) AS BIGINT) AS by_month
+      FROM (SELECT "channelName", "year", "month", count(video_title) AS n FROM cur GROUP BY 1, 2, 3)
+      GROUP BY 1) t
   USING ("channelName")
-JOIN (SELECT "channelName", count(*) AS n_titles
-      FROM (SELECT DISTINCT "channelName", video_title FROM cur) GROUP BY 1) v
+JOIN (SELECT "channelName", count(*) AS n_titles, CAST(sum("maxViews") AS BIGINT) AS views
+      FROM (SELECT "channelName", video_title, max("viewCount") AS "maxViews" FROM cur GROUP BY 1, 2)
+      GROUP BY 1) v
   USING ("channelName")
 """)
 def report_tables(spark, sf_dir):
@@ -245,15 +305,19 @@ def report_tables(spark, sf_dir):
     sinks.create_curated(spark, f"{database}.curated")
     sinks.append_curated(testbed.curated(spark, sf_dir), f"{database}.curated")
     names = reports.write_reports(spark.table(f"{database}.curated"), f"{database}.")
-    per_channel = {
-        name: spark.table(names[name]).groupBy("channelName").agg(F.count("*").alias(column))
-        for name, column in [("video_trend", "n_months"), ("most_viewed_videos", "n_titles")]
-    }
+    count = F.col("monthlyVideosPublished")
+    trend = spark.table(names["video_trend"]).groupBy("channelName").agg(
+        F.count("*").alias("n_months"), F.sum(count).alias("n_in_months"),
+        F.sum(count * (F.col("year") * 12 + F.col("month"))).alias("by_month"),
+    )
+    titles = spark.table(names["most_viewed_videos"]).groupBy("channelName").agg(
+        F.count("*").alias("n_titles"), F.sum("totalViews").alias("views")
+    )
     return (
         spark.table(names["channel_subscribers"])
         .join(spark.table(names["video_count"]), "channelName")
-        .join(per_channel["video_trend"], "channelName")
-        .join(per_channel["most_viewed_videos"], "channelName")
+        .join(trend, "channelName")
+        .join(titles, "channelName")
     )
 
 
@@ -284,6 +348,33 @@ def sink_append_legacy(spark, sf_dir):
     return without_zone(spark.table(table))
 
 
+@query(CUR + """
+SELECT "channelName", m.n_months, m.n_videos, t.n_top, t.views, max(subscribers) AS subscribers
+FROM cur
+JOIN (SELECT "channelName", count(*) AS n_months, CAST(sum(n) AS BIGINT) AS n_videos
+      FROM (SELECT "channelName", strftime("publishedAt", '%Y-%m') AS k, count(*) AS n
+            FROM cur GROUP BY 1, 2) GROUP BY 1) m USING ("channelName")
+JOIN (SELECT "channelName", count(*) AS n_top, CAST(sum("viewCount") AS BIGINT) AS views
+      FROM (SELECT "channelName", "viewCount" FROM cur QUALIFY row_number() OVER (
+            PARTITION BY "channelName" ORDER BY "viewCount" DESC NULLS LAST, video_title NULLS FIRST,
+            "publishedAt" NULLS FIRST) <= 5) GROUP BY 1) t USING ("channelName")
+GROUP BY 1, 2, 3, 4, 5
+""")
+def legacy_tables(spark, sf_dir):
+    """The three tables of the former job, written and read side by side."""
+    names = reports.append_channel_tables(testbed.curated(spark, sf_dir), f"{fresh_database(spark)}.")
+    months = spark.table(names["trend_data"]).groupBy("channelName").agg(
+        F.count("*").alias("n_months"), F.sum("count").alias("n_videos")
+    )
+    top = spark.table(names["most_viewed_videos"]).groupBy("channelName").agg(
+        F.count("*").alias("n_top"), F.sum("viewCount").alias("views")
+    )
+    summary = spark.table(names["report"]).select(
+        F.col("channel_name").alias("channelName"), F.col("subscribers").cast("int").alias("subscribers")
+    )
+    return months.join(top, "channelName").join(summary, "channelName")
+
+
 @query(CUR + """
 SELECT "channelName", strftime("publishedAt", '%Y-%m') AS publish_month, count(*) AS "count"
 FROM cur GROUP BY 1, 2
@@ -321,12 +412,13 @@ def curate_documents(spark, sf_dir):
     return without_zone(curate(docs))
 
 
-@query(f"""
+@query("""
 SELECT c_name AS "channelName", count(*) AS n
-FROM customer JOIN orders ON c_custkey = o_custkey WHERE {RECENT} GROUP BY 1
+FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1
 """, name="explode_videos")
 def explode_videos_inner(spark, sf_dir):
-    docs = landed(spark, sf_dir, schemas.landing(["channelName"], ["videoId"]), recent=True)
+    """Channels without videos are in the documents and give no row."""
+    docs = landed(spark, sf_dir, schemas.landing(["channelName"], ["videoId"]), silent=True)
     return explode_videos(docs).groupBy("channelName").agg(F.count("*").alias("n"))
 
 
@@ -396,6 +488,28 @@ def rolling_window_filter(spark, sf_dir):
     return orders.filter(published_since(F.col("o_orderdate"), testbed.AS_OF)).select("o_orderkey")
 
 
+@query("""
+SELECT o_orderkey, o_orderdate >= TIMESTAMP '2000-07-31 16:00:00' AS by_text,
+       o_orderdate >= TIMESTAMP '2000-07-31 16:00:00' AS by_time
+FROM orders
+""")
+def rolling_window_zones(spark, sf_dir):
+    """API text and timestamps against the same cutoff, in a session that is not in UTC."""
+    text = testbed.videos(spark, sf_dir).select(
+        F.col("videoId").cast("bigint").alias("o_orderkey"), "publishedAt"
+    )
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Singapore")
+    try:
+        out = text.select(
+            "o_orderkey",
+            published_since(F.col("publishedAt"), testbed.AS_OF, iso=True).alias("by_text"),
+            published_since(instant_of(F.col("publishedAt")), testbed.AS_OF).alias("by_time"),
+        )
+        return written(out, "zones")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def props_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event properties as JSON text in which the key is missing for events of type error."""
     events = testbed.table(spark, sf_dir, "events")
@@ -556,6 +670,19 @@ FROM orders
 """
 
 
+@query("""
+SELECT c_name AS "channelName", part, parts, CAST(least(4, n - 4 * part) AS INTEGER) AS n_videos
+FROM (SELECT c_name, n, greatest(1, CAST(ceil(n / 4.0) AS BIGINT)) AS parts,
+             unnest(range(greatest(1, CAST(ceil(n / 4.0) AS BIGINT)))) AS part
+      FROM (SELECT c_name, count(o_orderkey) AS n
+            FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name))
+""")
+def assemble_documents_in_parts(spark, sf_dir):
+    """Documents of four videos at most."""
+    docs = testbed.documents(spark, sf_dir, max_items=4)
+    return docs.select("channelName", "part", "parts", F.size("videos").alias("n_videos"))
+
+
 @query(LISTED, name="flatten_pages")
 def flatten_id_pages(spark, sf_dir):
     pages = order_pages(spark, sf_dir, F.col("o_orderkey"))
@@ -688,7 +815,16 @@ def sample_rows(spark, sf_dir):
 
 @query("SELECT DISTINCT event_type FROM events ORDER BY 1 LIMIT 10000")
 def filter_values(spark, sf_dir):
-    return explore.filter_values(testbed.table(spark, sf_dir, "events"), "event_type")
+    events = testbed.table(spark, sf_dir, "events")
+    return explore.filter_values(events, "event_type", explore.FILTER_SEARCH_ROWS)
+
+
+@query("""
+SELECT DISTINCT c_name FROM customer WHERE contains(lower(c_name), '#00000001') ORDER BY 1 LIMIT 1000
+""")
+def filter_values_search(spark, sf_dir):
+    customers = testbed.table(spark, sf_dir, "customer")
+    return explore.filter_values(customers, "c_name", explore.FILTER_ROWS, search="#00000001")
 
 
 NOON = datetime(2024, 1, 30, 12)
@@ -724,9 +860,26 @@ def time_grain(spark, sf_dir):
     return grain_counts(spark, sf_dir, "hour")
 
 
-@query("SELECT time_bucket(INTERVAL 2 SECOND, ts) AS bucket, count(*) AS n FROM events GROUP BY 1")
+@query("""
+SELECT time_bucket(INTERVAL 2 SECOND, CASE WHEN event_id % 7 <> 0 THEN ts END) AS bucket, count(*) AS n
+FROM events GROUP BY 1
+""")
 def time_grain_custom(spark, sf_dir):
-    return grain_counts(spark, sf_dir, "2 seconds")
+    """Rows without a time make a bucket of their own."""
+    events = testbed.table(spark, sf_dir, "events")
+    some = events.withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    return without_zone(explore.by_time_grain(some, "ts", "2 seconds", [F.count("*").alias("n")]))
+
+
+@query("""
+SELECT time_bucket(INTERVAL 2 MONTH, o_orderdate, TIMESTAMP '1970-01-01') AS bucket, count(*) AS n
+FROM orders GROUP BY 1
+""")
+def time_grain_months(spark, sf_dir):
+    orders = testbed.table(spark, sf_dir, "orders")
+    return without_zone(
+        explore.by_time_grain(orders, "o_orderdate", "2 months", [F.count("*").alias("n")])
+    )
 
 
 @query(CUR + """
@@ -744,7 +897,7 @@ def time_shift(spark, sf_dir):
 def ctas_limited(spark, sf_dir):
     table = f"{fresh_database(spark)}.result"
     orders = testbed.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    explore.ctas_limited(orders.orderBy("o_orderkey"), table)
+    explore.ctas_limited(orders.orderBy("o_orderkey"), table, explore.EDITOR_ROWS)
     return spark.table(table)
 
 
@@ -763,12 +916,23 @@ def csv_with_na(spark, sf_dir):
     )
 
 
-@query("SELECT * FROM customer")
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN ''
+                    ELSE ' "' || text || '", he said' END AS text, lang
+FROM documents
+""")
 def csv_export(spark, sf_dir):
+    """Text with quotes, separators, line breaks and outer spaces, empty text and NULL: out and in."""
     path = fresh_dir(spark, "export")
-    customers = testbed.table(spark, sf_dir, "customer")
-    sinks.write_csv(customers, path)
-    return spark.read.schema(customers.schema).csv(path, header=True)
+    quoted = F.concat(F.lit(' "'), "text", F.lit('", he said'))
+    text = F.when(F.col("doc_id") % 7 == 0, "").otherwise(quoted)
+    rows = testbed.table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 5 != 0, text).alias("text"), "lang"
+    )
+    sinks.write_csv(rows, path)
+    return sources.load_file(
+        spark, path, "csv", "doc_id BIGINT, text STRING, lang STRING", na=[], multiline=True
+    )
 
 
 @query("""
@@ -808,14 +972,15 @@ def row_level_filter(spark, sf_dir):
     return explore.row_level_filter(customers, rules, "ASIA", {"c_nationkey": "nation"})
 
 
-@query(f"""
+@query("""
 SELECT c_name AS "channelName", CAST(o_orderkey AS VARCHAR) AS "videos_videoId",
        o_orderpriority AS videos_title
-FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND {RECENT}
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey
+UNION ALL SELECT s_name, NULL, NULL FROM supplier
 """, name="expand_nested")
 def expand_nested_columns(spark, sf_dir):
     docs = landed(
-        spark, sf_dir, schemas.landing(["channelName"], ["videoId", "title"]), recent=True
+        spark, sf_dir, schemas.landing(["channelName"], ["videoId", "title"]), silent=True
     )
     return expand_nested(docs)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the format the API writes instants in.
@@ -31,14 +31,21 @@ def month_key(iso: Column) -> Column:
     return F.substring(iso, 1, 7)
 
 
+def utc_text(column: Column) -> Column:
+    """A point in time as API text, whatever the session zone is now."""
+    session = SparkSession.active()
+    zone = session.conf.get("spark.sql.session.timeZone")
+    return iso_text(F.to_utc_timestamp(column.cast("timestamp"), F.lit(zone)))
+
+
 def published_since(column: Column, as_of: datetime, days: int = 365, iso: bool = False) -> Column:
     """True for the ``days`` days up to ``as_of``; the border instant is kept.
 
     ``as_of`` is a parameter so that a rerun gives the same rows. With ``iso`` the column holds
-    API text and is compared as text, which needs no parsing.
+    API text, which is in UTC, and is compared as text, which needs no parsing.
     """
     cutoff = instant(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
-    return column >= (iso_text(cutoff) if iso else cutoff)
+    return column >= (utc_text(cutoff) if iso else cutoff)
 
 
 def anchored(as_of: datetime, anchor: str) -> datetime:
@@ -58,12 +65,27 @@ def relative_range(
     return (column >= first) & (column < instant(anchored(as_of, end)))
 
 
+UNITS = ["second", "minute", "hour", "day", "week", "month", "quarter", "year"]
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
+
+
 def time_grain(column: Column, grain: str) -> Column:
-    """Start of the bucket a timestamp falls in.
+    """Start of the bucket a timestamp falls in; NULL for NULL.
 
-    ``grain`` is a unit known to ``date_trunc`` (``hour``, ``month``, …) or an interval of fixed
-    length such as ``2 seconds``.
+    ``grain`` is one of ``UNITS`` or a number of them, such as ``2 seconds`` or ``3 months``.
+    Numbered buckets are counted from the start of 1970.
     """
-    if grain.split()[0].isdigit():
-        return F.window(column, grain)["start"]
-    return F.date_trunc(grain, column)
+    number, _, unit = grain.strip().lower().rpartition(" ")
+    unit = unit.removesuffix("s")
+    if unit not in UNITS or number and not (number.strip().isdigit() and int(number)):
+        raise ValueError(f"unknown grain {grain!r}; units are {', '.join(UNITS)}")
+    if not number:
+        return F.date_trunc(unit, column)
+    if unit in MONTHS:
+        step = int(number) * MONTHS[unit]
+        month = F.date_trunc("month", column)
+        passed = F.pmod((F.year(column) - 1970) * 12 + F.month(column) - 1, F.lit(step))
+        return month - F.make_ym_interval(F.lit(0), passed)
+    # A window drops rows without a time, so they get one that is taken away again.
+    known = F.coalesce(column, F.expr("TIMESTAMP_NTZ'1970-01-01'"))
+    return F.when(column.isNotNull(), F.window(known, f"{int(number)} {unit}")["start"])

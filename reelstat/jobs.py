@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from reelstat import schemas, sinks, sources
 from reelstat.plans.curate import curate
 from reelstat.plans.reports import write_reports
-from reelstat.session import build_session, sized_conf
+from reelstat.session import build_session, clear_scratch, sized_conf
 from reelstat.streaming import ingest_landing
 
 
@@ -55,8 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--table", required=True)
     job.add_argument("--prefix", default="")
 
-    job = jobs.add_parser("ingest", help="files landed since the last run to curated rows")
-    for name in ["landing", "curated", "checkpoint"]:
+    job = jobs.add_parser("ingest", help="files landed since the last run to the curated table")
+    for name in ["landing", "table", "checkpoint"]:
         job.add_argument(f"--{name}", required=True)
     cleaning = job.add_mutually_exclusive_group()
     cleaning.add_argument("--archive")
@@ -78,8 +78,9 @@ def main(argv: list[str] | None = None) -> None:
     elif job == "report":
         run_report(spark, **options)
     else:
-        ingest_landing(spark, **options).awaitTermination()
+        ingest_landing(spark, **options)
 
 
 if __name__ == "__main__":
     main()
+    clear_scratch(SparkSession.active())

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from reelstat.operators.joins import match
 from reelstat.operators.ordinals import running_total
-from reelstat.session import written
 
 # Fixed value: ids per request.
 CHUNK_SIZE = 50
 
+# Children are dealt out in the order of a 64-bit hash, cut into so many runs at most.
+CHILD_RUNS = 1 << 20
+
 # Pages of a key that one task puts in order; they carry their ids along.
 PAGE_BLOCK = 1 << 14
 
@@ -23,67 +25,52 @@ def assemble_documents(
     array: str = "videos",
     max_items: int = 10_000,
 ) -> DataFrame:
-    """One document per parent with its children as an array of structs, sorted by their fields.
+    """Documents of a parent with its children as an array of structs, sorted by their fields.
 
-    A parent without children gets an empty array. A parent with more than ``max_items`` children
-    gets several documents of about that size, each with the parent's fields: exploding them
-    gives the same rows as one document would, and no task has to hold a whole hot key. Parts are
-    told by a hash of the child, so they are the same after a retry; exact copies are counted
-    before the shuffle and then dealt out in blocks, one part after the other.
+    Every document has ``part``, counted from 0, and ``parts``, the number of its parent's documents:
+    as many as ``max_items`` children each need, and one with an empty array for a parent without
+    children. So no task has to hold a whole hot key, and the rows look the same at any size. All
+    parts but the last hold ``max_items`` children; which children follows from a hash of them, so it
+    is the same after a retry. Exact copies are counted before the shuffle.
     """
     children = children.filter(F.col(key).isNotNull())
     fields = [name for name in children.columns if name != key]
-    item = F.struct(*fields).alias("_item")
-
-    sizes = children.groupBy(key).agg(F.count("*").alias("_n"))
-    # Written first, so that the joins below are planned with the real size of this table: as a
-    # rule it has few rows or none, is broadcast, and the children are shuffled only once.
-    large = written(
-        sizes.filter(F.col("_n") > max_items).select(
-            key, F.ceil(F.col("_n") / max_items).alias("_parts")
-        ),
-        "large",
-    )
-
-    ordinary = match(children, large, [key], "left_anti").select(
-        key, F.lit(0).cast("bigint").alias("_part"), item, F.lit(1).alias("_copies")
-    )
-    per_child = (
-        match(children, large, [key])
-        .groupBy(key, "_parts", *fields)
-        .agg(F.count("*").alias("_n"))
-        .select(
-            key, "_parts", item, "_n",
-            F.explode(
-                F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / max_items))
-            ).alias("_b"),
-        )
+    per_child = children.groupBy(key, *fields).agg(F.count("*").alias("_n"))
+    hashed = per_child.withColumn("_hash", F.xxhash64(*fields))
+    placed = running_total(
+        hashed, [key], "_hash", "_n", "_before", block=(1 << 64) // CHILD_RUNS, levels=1
     )
-    parts = F.col("_parts")
-    split = per_child.select(
-        key,
-        F.pmod(F.pmod(F.xxhash64("_item"), parts) + F.col("_b"), parts).alias("_part"),
-        "_item",
-        F.least(F.lit(max_items), F.col("_n") - F.col("_b") * max_items)
-        .cast("int")
-        .alias("_copies"),
+    first, last = F.col("_before"), F.col("_before") + F.col("_n") - 1
+    size = F.lit(max_items).cast("bigint")
+    pieces = placed.select(
+        key, F.struct(*fields).alias("_item"), first.alias("_first"), last.alias("_last"),
+        F.explode(F.sequence(F.floor(first / size), F.floor(last / size))).alias("part"),
     )
-
-    copies = F.flatten(F.collect_list(F.array_repeat("_item", F.col("_copies"))))
+    start, end = F.col("part") * size, (F.col("part") + 1) * size - 1
+    copies = F.least("_last", end) - F.greatest("_first", start) + 1
     arrays = (
-        ordinary.unionByName(split)
-        .groupBy(key, "_part")
-        .agg(F.sort_array(copies).alias(array))
+        pieces.withColumn("_copies", copies.cast("int"))
+        .groupBy(key, "part")
+        .agg(
+            F.sort_array(
+                F.flatten(F.collect_list(F.array_repeat("_item", F.col("_copies"))))
+            ).alias(array)
+        )
     )
     # One slot per document to come, so that the join below runs on (key, part): that is how the
     # arrays are already partitioned, and it keeps the parts of a hot key apart.
-    slots = parents.join(large, key, "left").withColumn(
-        "_part",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)),
+    sizes = per_child.groupBy(key).agg(F.sum("_n").alias("_n"))
+    slots = match(parents, sizes, [key], "left").withColumn(
+        "parts", F.greatest(F.ceil(F.coalesce("_n", F.lit(0)) / size), F.lit(1)).cast("bigint")
     )
-    joined = slots.join(arrays, [key, "_part"], "left")
+    slots = slots.withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    )
+    joined = slots.join(arrays, [key, "part"], "left")
     empty = F.array().cast(joined.schema[array].dataType)
-    return joined.select(*parents.columns, F.coalesce(array, empty).alias(array))
+    return joined.select(
+        *parents.columns, "part", "parts", F.coalesce(array, empty).alias(array)
+    )
 
 
 def flatten_pages(

@@ -17,7 +17,8 @@ def expand_nested(df: DataFrame, sep: str = "_") -> DataFrame:
     """Every array to rows and every struct to columns, named ``outer<sep>inner``.
 
     A row whose array is empty or NULL stays, with NULLs. Two arrays side by side would multiply
-    each other's rows, so a second array at the same level is refused.
+    each other's rows, so a second array at the same level is refused, and so are names that would
+    occur twice.
     """
     while True:
         fields = df.schema.fields
@@ -40,3 +41,6 @@ def expand_nested(df: DataFrame, sep: str = "_") -> DataFrame:
             else:
                 columns.append(column)
         df = df.select(*columns)
+        twice = {name for name in df.columns if df.columns.count(name) > 1}
+        if twice:
+            raise ValueError(f"names would occur twice: {sorted(twice)}")

@@ -21,9 +21,20 @@ FILTER_SEARCH_ROWS = 10_000
 FILTER_ROWS = 1_000
 
 
-def limited(df: DataFrame, requested: int | None = None, default: int = CHART_ROWS) -> DataFrame:
-    """A query's rows up to the number asked for, and never more than ``MAX_ROWS``."""
-    return df.limit(min(default if requested is None else requested, MAX_ROWS))
+def allowed(requested: int, most: int = MAX_ROWS) -> int:
+    """A number of rows that a caller may ask for; a larger one is an error, not a shorter result."""
+    if not 0 <= requested <= most:
+        raise ValueError(f"{requested} rows asked for; at most {most} are given")
+    return requested
+
+
+def limited(df: DataFrame, requested: int) -> DataFrame:
+    """A query's rows up to the number asked for: ``CHART_ROWS`` for a chart, ``DISPLAY_ROWS`` for
+    a table on the screen, ``MAX_ROWS`` at most.
+
+    Meant to be collected, which reads as few partitions as give the rows.
+    """
+    return df.limit(allowed(requested))
 
 
 def sample_rows(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
@@ -31,9 +42,18 @@ def sample_rows(df: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
     return df.limit(n)
 
 
-def filter_values(df: DataFrame, column: str, n: int = FILTER_SEARCH_ROWS) -> DataFrame:
-    """Distinct values to choose a filter from, in order."""
-    return df.select(column).distinct().orderBy(column).limit(n)
+def filter_values(
+    df: DataFrame, column: str, requested: int, search: str | None = None
+) -> DataFrame:
+    """Distinct values to choose a filter from, in order: the first ``requested``.
+
+    A list that is opened takes ``FILTER_ROWS``. With ``search`` only values that contain the text
+    are listed, up to ``FILTER_SEARCH_ROWS``.
+    """
+    values = df.select(column).distinct()
+    if search is not None:
+        values = values.filter(F.contains(F.lower(F.col(column).cast("string")), F.lit(search.lower())))
+    return values.orderBy(column).limit(allowed(requested, FILTER_SEARCH_ROWS))
 
 
 def relative_time_filter(
@@ -78,9 +98,14 @@ def time_shift(
     return shifted.join(past, condition, "left").select(*series.columns, prev.alias("prev"))
 
 
-def ctas_limited(query: DataFrame, table: str, requested: int | None = None) -> None:
-    """Saves a query's result as a table, with the row limit applied."""
-    replace_table(limited(query, requested, EDITOR_ROWS), table)
+def ctas_limited(query: DataFrame, table: str, requested: int) -> None:
+    """Saves a query's first rows as a table: ``EDITOR_ROWS`` from an editor, ``MAX_ROWS`` at most.
+
+    The rows are taken on the driver, which reads partitions until it has them, and no task gets
+    the rows of all others.
+    """
+    rows = query.take(allowed(requested))
+    replace_table(query.sparkSession.createDataFrame(rows, query.schema), table)
 
 
 def drill_to_detail(detail: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reelstat.functions.names import derived_table
 from reelstat.functions.times import month_key
 from reelstat.operators.ranking import top_k, top_k_per
-from reelstat.session import written
+from reelstat.session import removed, written
 from reelstat.sinks.tables import append_table, replace_table
 
 
@@ -112,10 +112,12 @@ def write_reports(curated: DataFrame, prefix: str = "") -> dict[str, str]:
             F.sum("monthlyVideosPublished").alias("totalVideosPublished")
         ),
         "video_trend": months.drop("subscribers"),
-        "most_viewed_videos": most_viewed(curated),
+        # Tables have no order; readers order the few rows they show.
+        "most_viewed_videos": most_viewed(curated, ordered=False),
     }
     for report, frame in frames.items():
         replace_table(frame, f"{prefix}{report}")
+    removed(months)
     return {report: f"{prefix}{report}" for report in frames}
 
 

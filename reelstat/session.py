@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,15 +34,18 @@ def build_session(
     return builder.getOrCreate()
 
 
-def sized_conf(input_bytes: int, cores: int) -> dict[str, str]:
+def sized_conf(
+    input_bytes: int, cores: int, largest_scan: int = 1 << 30, per_shuffle: int = 256 << 20
+) -> dict[str, str]:
     """Partition settings for a job that reads about ``input_bytes``.
 
-    Scan tasks grow from 128 MB to 1 GB so that their number stays manageable. Shuffles start
-    with partitions of about 256 MB of input, which adaptive execution then merges to what the
-    shuffled data really needs; it cannot make too few partitions of an aggregation smaller.
+    Scan tasks grow from 128 MB to ``largest_scan`` so that their number stays manageable. Shuffles
+    start with one partition for ``per_shuffle`` bytes of input, which adaptive execution then
+    merges to what the shuffled data really needs; it cannot make too few partitions of an
+    aggregation smaller.
     """
-    scan = min(max(input_bytes // 100_000, 128 << 20), 1 << 30)
-    shuffle = min(max(input_bytes // (256 << 20), cores), 50_000)
+    scan = min(max(input_bytes // 100_000, 128 << 20), largest_scan)
+    shuffle = max(input_bytes // per_shuffle, cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(scan),
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -91,13 +96,36 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="reelstat-")
+        _local_dirs[context.applicationId] = made = tempfile.mkdtemp(prefix="reelstat-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
     return _local_dirs[context.applicationId]
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/reelstat/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """Where this application keeps what it writes for itself."""
+    return f"{shared_dir(spark)}/reelstat/{spark.sparkContext.applicationId}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder wherever it is, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def removed(df: DataFrame) -> None:
+    """Deletes the files of a table that ``written`` made; nothing may read it any more."""
+    for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:
+        delete_path(df.sparkSession, folder)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all that this application has written for itself."""
+    delete_path(spark, scratch_dir(spark))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -111,6 +139,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def fresh_database(spark: SparkSession) -> str:
     """A new database whose managed tables live below the shared folder; returns its name."""
     name = f"reelstat_{uuid.uuid4().hex}"
-    location = f"{shared_dir(spark)}/reelstat/{name}".replace("'", r"\'")
+    location = f"{scratch_dir(spark)}/{name}".replace("'", r"\'")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{location}'")
     return name

@@ -12,17 +12,25 @@ def write_documents(docs: DataFrame, path: str, by_channel: bool = False) -> Non
     """Lands documents as JSON lines, in new files on every call.
 
     New names matter: an incremental reader tells files by their path. With ``by_channel`` each
-    channel has its folder, which suits a small registry of channels.
+    channel has its folder (``sources.channel_paths`` names it), which suits a small registry of
+    channels, and a rerun replaces the documents of the channels that it writes.
     """
-    if by_channel:
-        # Rebalancing brings a channel together but splits one that is too large for a task.
-        docs = docs.withColumn("channel", safe_name(F.col("channelName"))).hint(
-            "rebalance", "channel"
-        )
-    writer = docs.write.mode("append").option("ignoreNullFields", "false")
-    (writer.partitionBy("channel") if by_channel else writer).json(path)
+    if not by_channel:
+        docs.write.mode("append").option("ignoreNullFields", "false").json(path)
+        return
+    # Rebalancing brings a channel together but splits one that is too large for a task.
+    keyed = docs.withColumn("channel", safe_name(F.col("channelName"))).hint("rebalance", "channel")
+    writer = keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("ignoreNullFields", "false").partitionBy("channel").json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Exports rows as UTF-8 CSV with a header, one file per task."""
-    df.write.mode("overwrite").csv(path, header=True, encoding="UTF-8")
+    """Exports rows as UTF-8 CSV with a header, one file per task.
+
+    Quotes within quoted values are doubled. An empty string is written as ``""``, a NULL as
+    nothing, and no space is trimmed.
+    """
+    df.write.mode("overwrite").csv(
+        path, header=True, encoding="UTF-8", escape='"', nullValue="", emptyValue='""',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )

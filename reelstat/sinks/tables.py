@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstat import schemas
+from reelstat.session import delete_path
 
 SESSION_CATALOG = "spark_catalog"
 OVERWRITE_CONF = "spark.sql.sources.partitionOverwriteMode"
@@ -56,6 +57,43 @@ def append_curated(curated: DataFrame, table: str) -> None:
     clustered(curated).write.insertInto(table)
 
 
+def add_files(rows: DataFrame, table: str, staged: str, mark: str) -> None:
+    """Adds rows to a Parquet table of the session catalog in files whose names begin with ``mark``.
+
+    The rows are written to the folder ``staged`` first. Files that an earlier attempt with the same
+    mark has added go before the new ones come, so the step can be repeated.
+    """
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").partitionBy(*schemas.PARTITION_FIELDS).parquet(staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = path(staged), path(_location(spark, table))
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    source = system.makeQualified(source)
+    found, listing = [], system.listFiles(source, True)
+    while listing.hasNext():
+        file = listing.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.append(file)
+    folders = {}
+    for file in found:
+        relative = source.toUri().relativize(file.getParent().toUri()).getPath().strip("/")
+        folders.setdefault(relative, []).append(file)
+    for relative, files in folders.items():
+        folder = path(target, relative) if relative else target
+        system.mkdirs(folder)
+        for old in system.listStatus(folder):
+            if old.getPath().getName().startswith(mark):
+                system.delete(old.getPath(), False)
+        for number, file in enumerate(sorted(files, key=lambda x: x.getName())):
+            new = path(folder, f"{mark}-{number:05d}.parquet")
+            if not system.rename(file, new):
+                raise OSError(f"{file} could not be moved to {new}")
+    if found:
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    delete_path(spark, staged)
+
+
 def overwrite_partitions(curated: DataFrame, table: str) -> None:
     """Replaces the partitions that occur in the rows and keeps the others."""
     conf = curated.sparkSession.conf
@@ -90,21 +128,47 @@ def append_table(df: DataFrame, table: str) -> None:
 def replace_table(df: DataFrame, table: str) -> None:
     """Puts the rows in place of the table, creating it on first use.
 
-    In the session catalog the rows are first written to a table beside it, which then takes its
-    name: a job that fails leaves the old table as it was, and the rows may come from the table
-    itself. A reader can meet a gap between the two metadata steps; catalogs with atomic
-    replacement do not have it.
+    In the session catalog every version has a folder of its own. The rows are written to a new one
+    first, then a single statement points the table to it, then the old folder goes: a job that
+    fails at any time leaves either the old rows or the new ones, no file is moved, and the rows may
+    come from the table itself. Only where the columns change, the table is dropped and made anew,
+    and a reader can meet a gap. Catalogs with atomic replacement are used as such.
     """
     spark = df.sparkSession
     if not _in_session_catalog(spark, table):
         df.writeTo(table).createOrReplace()
         return
-    beside = f"{table}_{uuid.uuid4().hex}"
+    if not spark.catalog.tableExists(table):
+        df.write.format("parquet").saveAsTable(table)
+        return
+    old = _location(spark, table)
+    new = f"{old.rpartition('/')[0]}/{table.rpartition('.')[2]}-{uuid.uuid4().hex}"
     try:
-        df.write.format("parquet").saveAsTable(beside)
+        df.write.parquet(new)
+        _switch(spark, df, table, new)
     except Exception:
-        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": beside})
+        if _location(spark, table) != new:
+            delete_path(spark, new)
         raise
-    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": table})
-    new_name = ".".join(f"`{part}`" for part in table.split("."))
-    spark.sql(f"ALTER TABLE IDENTIFIER(:name) RENAME TO {new_name}", args={"name": beside})
+    delete_path(spark, old)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql("DESCRIBE EXTENDED IDENTIFIER(:name)", args={"name": table}).collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location").rstrip("/")
+
+
+def _switch(spark: SparkSession, df: DataFrame, table: str, location: str) -> None:
+    """Points a table to other files."""
+    place = location.replace("'", r"\'")
+    name = ".".join(f"`{part}`" for part in table.split("."))
+    same = [(f.name, f.dataType) for f in spark.table(table).schema] == [
+        (f.name, f.dataType) for f in df.schema
+    ]
+    if same:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    else:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{place}'")
+    spark.catalog.refreshTable(table)

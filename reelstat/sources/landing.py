@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelstat import schemas
-from reelstat.functions.names import RAW_SUFFIX
+
+
+# Characters that Spark escapes in the names of partition folders.
+_ESCAPED = "\"#%'*/:=?\\{[]^"
 
 
 def read_landing(
@@ -31,9 +34,17 @@ def read_landing(
 
 
 def channel_paths(root: str, names: list[str]) -> list[str]:
-    """Paths of the named channels in a landing zone with one object per channel."""
-    folders = [name.replace(" ", "_") for name in names]
-    return [f"{root.rstrip('/')}/{folder}/{folder}{RAW_SUFFIX}" for folder in folders]
+    """Folders of the named channels in a landing zone that is written by channel. Only these are
+    listed and read."""
+    folders = [_escaped(name.replace(" ", "_")) for name in names]
+    return [f"{root.rstrip('/')}/channel={folder}" for folder in folders]
+
+
+def _escaped(value: str) -> str:
+    """A value as Spark writes it into the name of a partition's folder."""
+    return "".join(
+        f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 or ord(c) == 127 else c for c in value
+    )
 
 
 def of_channels(df: DataFrame, names: list[str], column: str = "channelName") -> DataFrame:

@@ -1,51 +1,91 @@
-"""Landing zone to curated rows, each landed file once."""
+"""Landing zone to the curated table, each landed file once."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reelstat import schemas
 from reelstat.plans.curate import curate
+from reelstat.session import delete_path
+from reelstat.sinks.tables import add_files, clustered, create_curated
 
 
 def ingest_landing(
     spark: SparkSession,
     landing: str,
-    curated: str,
+    table: str,
     checkpoint: str,
     archive: str | None = None,
     delete: bool = False,
     files_per_batch: int = 10_000,
     wide: bool = False,
 ) -> StreamingQuery:
-    """Curates the files that landed since the last run and stops.
+    """Curates the files that landed since the last run into the table; returns when that is done.
+
+    The checkpoint remembers files by path. Each batch is written beside the table first and its
+    files then take names that tell checkpoint and batch, so a batch that is repeated after a
+    failure replaces what it had added and no row is lost or doubled. Other writers may add to the
+    table meanwhile.
 
-    The checkpoint remembers files by path and the file sink commits each batch once, so a run
-    that was cut short goes on without losing or repeating rows. Files are moved to ``archive``,
-    or removed with ``delete``, when a batch after theirs is planned: nothing goes before its rows
-    are safe, and the files of the last batch stay until the next run finds new ones. The folders
-    must be reachable by every executor.
+    Files are moved to ``archive``, or removed with ``delete``, once all batches of the run are
+    committed; files that land meanwhile stay for the next run. The folders must be reachable by
+    every executor, and the table must be a Parquet table of the session catalog.
     """
     if archive and f"{archive.rstrip('/')}/".startswith(f"{landing.rstrip('/')}/"):
         raise ValueError("the archive would be read as part of the landing zone")
-    reader = (
+    create_curated(spark, table, wide)
+    checkpoint = checkpoint.rstrip("/")
+    consumed = f"{checkpoint}/consumed"
+    mark = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def add(batch: DataFrame, number: int) -> None:
+        files = batch.select(F.col("_file").alias("value")).distinct()
+        files.write.mode("overwrite").text(f"{consumed}/{number}")
+        rows = clustered(curate(batch.drop("_file"), wide))
+        add_files(rows, table, f"{checkpoint}/staged/{number}", f"{mark}-{number:010d}")
+
+    docs = (
         spark.readStream.schema(schemas.landing_for_curate())
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
+        .json(landing)
+        .withColumn("_file", F.col("_metadata.file_path"))
     )
-    if delete:
-        reader = reader.option("cleanSource", "delete")
-    elif archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    rows = curate(reader.json(landing), wide)
-    return (
-        # Few files per month and batch instead of one per month and task; a month that is much
-        # larger than the others is split again.
-        rows.hint("rebalance", *schemas.PARTITION_FIELDS)
-        .writeStream.format("parquet")
-        .partitionBy(*schemas.PARTITION_FIELDS)
+    query = (
+        docs.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(curated)
+        .start()
     )
+    query.awaitTermination()
+    # Batches run in a session of their own, with its own list of the table's files.
+    spark.catalog.refreshTable(table)
+    if archive or delete:
+        _put_away(spark, consumed, landing, archive)
+    return query
+
+
+def _put_away(spark: SparkSession, consumed: str, landing: str, archive: str | None) -> None:
+    """Moves or deletes the files of committed batches, then forgets them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    here = path(consumed)
+    if not here.getFileSystem(conf).exists(here):
+        return
+    root = path(landing)
+    root = root.getFileSystem(conf).makeQualified(root).toUri().getPath().rstrip("/")
+    for row in spark.read.option("recursiveFileLookup", "true").text(consumed).toLocalIterator():
+        file = path(jvm.java.net.URI(row["value"]))
+        system = file.getFileSystem(conf)
+        if archive and system.exists(file):
+            target = path(f"{archive.rstrip('/')}/{file.toUri().getPath().removeprefix(root).lstrip('/')}")
+            system.mkdirs(target.getParent())
+            if not system.rename(file, target):
+                raise OSError(f"{file} could not be moved to {target}")
+        elif system.exists(file):
+            system.delete(file, False)
+    delete_path(spark, consumed)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat import schemas
-from reelstat.functions.times import iso_text, published_since
+from reelstat.functions.times import iso_text
 from reelstat.operators.documents import assemble_documents
 from reelstat.operators.joins import match
 from reelstat.session import fresh_dir
@@ -66,24 +66,38 @@ def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str, recent: bool = False) -> DataFrame:
-    """Landing documents; with ``recent`` only videos of the last 365 days, so that the channels
-    without any have an empty array."""
+def silent_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as channels that have published nothing."""
+    return table(spark, sf_dir, "supplier").select(
+        (-1 - F.col("s_suppkey")).alias("c_custkey"),
+        F.col("s_name").alias("channelName"),
+        whole_text("s_acctbal").alias("subscribers"),
+        F.lit("0").alias("views"),
+        F.lit("0").alias("totalVideos"),
+        F.concat(F.lit("PL"), -1 - F.col("s_suppkey")).alias("playlistId"),
+    )
+
+
+def documents(
+    spark: SparkSession, sf_dir: str, silent: bool = False, max_items: int = 10_000
+) -> DataFrame:
+    """Landing documents; with ``silent`` also those of channels whose array is empty."""
+    parents = channels(spark, sf_dir)
+    if silent:
+        parents = parents.unionByName(silent_channels(spark, sf_dir))
     children = videos(spark, sf_dir)
-    if recent:
-        children = children.filter(published_since(F.col("publishedAt"), AS_OF, iso=True))
-    return assemble_documents(channels(spark, sf_dir), children, "c_custkey").drop("c_custkey")
+    return assemble_documents(parents, children, "c_custkey", max_items=max_items).drop("c_custkey")
 
 
 _landed: dict[tuple[str, str, bool], str] = {}
 
 
-def landing(spark: SparkSession, sf_dir: str, recent: bool = False) -> str:
+def landing(spark: SparkSession, sf_dir: str, silent: bool = False) -> str:
     """Folder with the landing documents of a data folder; written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, recent)
+    key = (spark.sparkContext.applicationId, sf_dir, silent)
     if key not in _landed:
         path = fresh_dir(spark, "landing")
-        write_documents(documents(spark, sf_dir, recent), path)
+        write_documents(documents(spark, sf_dir, silent), path)
         _landed[key] = path
     return _landed[key]
 

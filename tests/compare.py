@@ -39,7 +39,7 @@ def sql_rows(con, text):
 # Spark type by DuckDB type.
 TYPES = {
     "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
-    "TIMESTAMP": "timestamp_ntz",
+    "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean",
 }
 
 

@@ -2,13 +2,13 @@
 
 import pytest
 
-from reelstat import jobs, schemas, sinks, testbed
+from reelstat import jobs, schemas, sinks, sources, testbed
 
 
 @pytest.fixture
 def zone(spark, sf_dir, folder):
     path = folder("landing")
-    sinks.write_documents(testbed.documents(spark, sf_dir, recent=True), path)
+    sinks.write_documents(testbed.documents(spark, sf_dir, silent=True), path)
     return path
 
 
@@ -36,17 +36,21 @@ def test_several_landing_paths_and_wide_counts(spark, zone, database):
     assert dict(spark.table(table).dtypes)["viewCount"] == "bigint"
 
 
-def test_ingest(spark, zone, folder):
-    curated = folder("curated")
-    arguments = ["ingest", "--landing", zone, "--curated", curated, "--checkpoint", folder("checkpoint")]
-    jobs.main(arguments)
-    n = spark.read.parquet(curated).count()
+def test_ingest_then_report(spark, zone, folder, database):
+    table = f"{database}.curated"
+    arguments = ["ingest", "--landing", zone, "--table", table, "--checkpoint", folder("checkpoint")]
     jobs.main(arguments)
-    assert spark.read.parquet(curated).count() == n > 0
+    n = spark.table(table).count()
+    jobs.main([*arguments, "--delete"])
+    assert spark.table(table).count() == n > 0
+    jobs.main(["report", "--table", table, "--prefix", f"{database}.daily_"])
+    titled = spark.table(f"{database}.daily_video_count").agg({"totalVideosPublished": "sum"}).first()[0]
+    assert titled == n
+    assert sources.read_landing(spark, zone).count() == 0
 
 
-def test_settings_are_passed(spark, zone, folder):
+def test_settings_are_passed(spark, zone, folder, database):
     jobs.main(["--conf", "spark.sql.files.maxPartitionBytes=64m", "ingest", "--landing", zone,
-               "--curated", folder("a"), "--checkpoint", folder("b")])
+               "--table", f"{database}.a", "--checkpoint", folder("b")])
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
     spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -173,8 +173,25 @@ def test_curated_rows_split_a_hot_channel(spark, sf_dir, hot, split_early, monke
 def test_documents_split_a_hot_channel(spark, sf_dir, hot, split_early):
     parents = testbed.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     text = final_plan(documents_of(hot, parents, 100)).split("Initial Plan")[0]
-    on_children = [line for line in text.splitlines() if "SortMergeJoin" in line and "coalesce" in line]
-    assert len(on_children) == 2 and all("skew=true" in line for line in on_children)
+    # Children meet by run of hashes, then by part; only grouped rows are windowed or joined by key.
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert any("_block1" in line for line in windows)
+    assert any("collect_list" in line and "part" in line for line in text.splitlines())
+    assert "SortMergeJoin(skew=false)" not in text and "LeftAnti" not in text
+
+
+def test_documents_need_no_job_to_be_planned(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr("reelstat.session.written", None)
+    calls = []
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.parquet", lambda *_: calls.append(1))
+    testbed.documents(spark, sf_dir)
+    assert not calls
+
+
+def test_reports_are_written_without_a_sort(spark, stored):
+    from reelstat.plans import reports
+
+    assert "rangepartitioning" not in plan(reports.most_viewed(stored, ordered=False))
 
 
 def test_keys_are_broadcast_when_few(hot, conf):
@@ -213,11 +230,13 @@ def documents_of(hot, parents, max_items):
 def test_hot_channel_is_split_into_documents(spark, sf_dir, hot):
     parents = testbed.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     docs = documents_of(hot, parents, 100).cache()
-    sizes = docs.select("c_custkey", F.size("videos").alias("n")).collect()
+    sizes = docs.select("c_custkey", "part", "parts", F.size("videos").alias("n")).collect()
     n_hot = hot.filter("o_custkey = 0").count()
     of_hot = [r.n for r in sizes if r.c_custkey == 0]
     assert len(of_hot) == -(-n_hot // 100)
-    assert sum(of_hot) == n_hot and max(of_hot) < 200
+    assert sum(of_hot) == n_hot and max(of_hot) == 100
+    assert sorted(r.part for r in sizes if r.c_custkey == 0) == list(range(len(of_hot)))
+    assert {r.parts for r in sizes if r.c_custkey == 0} == {len(of_hot)}
     assert len({r.c_custkey for r in sizes}) == parents.count()
     exploded = docs.select("c_custkey", F.explode("videos.videoId").alias("id"))
     want = hot.select("o_custkey", F.col("o_orderkey").cast("string"))

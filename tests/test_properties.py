@@ -70,6 +70,9 @@ def test_documents_hold_every_child_once(spark, children, max_items):
     assert Counter(d.key for d in docs) == {
         k: max(1, -(-total[k] // max_items)) for k in ("hot", "a", "none")
     }
+    for d in docs:
+        assert d.parts == max(1, -(-total[d.key] // max_items)) and 0 <= d.part < d.parts
+        assert len(d["items"]) == min(max_items, total[d.key] - d.part * max_items)
     assert all([tuple(i) for i in d["items"]] == sorted(tuple(i) for i in d["items"]) for d in docs)
 
 

@@ -66,7 +66,7 @@ def test_written_rows_have_a_known_size(spark):
 
 
 @pytest.mark.parametrize("size, scan, shuffle", [
-    (10**9, 128 << 20, 8), (10**12, 128 << 20, 3725), (100 * 10**12, 10**9, 50_000),
+    (10**9, 128 << 20, 8), (10**12, 128 << 20, 3725), (100 * 10**12, 10**9, 372_529),
 ])
 def test_partitions_follow_the_input(size, scan, shuffle):
     assert session.sized_conf(size, 8) == {
@@ -74,6 +74,22 @@ def test_partitions_follow_the_input(size, scan, shuffle):
     }
 
 
+def test_partition_sizes_are_parameters():
+    assert session.sized_conf(10**12, 8, largest_scan=64 << 20, per_shuffle=1 << 30) == {
+        "spark.sql.files.maxPartitionBytes": str(64 << 20), "spark.sql.shuffle.partitions": "931",
+    }
+
+
+def test_scratch_can_be_cleared(spark):
+    kept = session.shared_dir(spark) + "/other"
+    spark.range(1).write.parquet(kept)
+    rows = session.written(spark.range(5), "rows")
+    session.removed(rows)
+    with pytest.raises(Exception, match="(?i)not.exist|no such file"):
+        rows.collect()
+    assert spark.read.parquet(kept).count() == 1
+
+
 def test_store_and_catalog_settings():
     store = session.s3a_conf("http://store:9000", "key", "secret", ssl=False)
     assert store["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"

@@ -71,6 +71,24 @@ def test_a_failed_replacement_leaves_the_old_table(spark, database):
     assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["r"]
 
 
+def test_a_failure_between_the_steps_leaves_the_old_table(spark, database, monkeypatch):
+    table = f"{database}.r"
+    sinks.replace_table(spark.range(5), table)
+    sinks.replace_table(spark.range(6), table)
+    folders = lambda: spark.sql(f"DESCRIBE DATABASE {database}").filter(
+        "info_name = 'Location'").first().info_value.removeprefix("file:")
+    before = sorted(os.listdir(folders()))
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr("reelstat.sinks.tables._switch", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        sinks.replace_table(spark.range(9), table)
+    assert spark.table(table).count() == 6
+    assert sorted(os.listdir(folders())) == before
+
+
 def test_a_table_can_be_replaced_from_itself(spark, database):
     table = f"{database}.r"
     sinks.replace_table(spark.range(5), table)
@@ -149,14 +167,14 @@ def test_rows_without_a_month_are_kept(spark, database, curated):
 
 def test_documents_get_new_files_and_keep_null_fields(spark, sf_dir, folder):
     path = folder("docs")
-    docs = testbed.documents(spark, sf_dir, recent=True)
+    docs = testbed.documents(spark, sf_dir, silent=True)
     sinks.write_documents(docs, path)
     first = set(os.listdir(path))
     sinks.write_documents(docs, path)
     assert first < set(os.listdir(path))
     assert sources.read_landing(spark, path).count() == 2 * docs.count()
     line = next(p for p in Path(path).glob("part-*")).read_text().splitlines()[0]
-    assert set(json.loads(line)) == {*schemas.CHANNEL_FIELDS, "videos"}
+    assert set(json.loads(line)) == {*schemas.CHANNEL_FIELDS, "part", "parts", "videos"}
 
 
 def test_documents_by_channel_are_read_by_path(spark, folder):
@@ -175,10 +193,23 @@ def test_documents_by_channel_are_read_by_path(spark, folder):
 
 def test_channel_paths():
     assert sources.channel_paths("s3a://landing/", ["The Daily", "b"]) == [
-        "s3a://landing/The_Daily/The_Daily_raw_data.json", "s3a://landing/b/b_raw_data.json"
+        "s3a://landing/channel=The_Daily", "s3a://landing/channel=b"
     ]
 
 
+def test_a_rerun_replaces_the_documents_of_its_channels(spark, folder):
+    path = folder("docs")
+    names = ["The Daily", "a/b: 50% {x}", "Other"]
+    docs = spark.createDataFrame([(n, "1", "1", "1", "P", []) for n in names], schemas.landing())
+    sinks.write_documents(docs, path, by_channel=True)
+    first = {p.name for p in Path(path).rglob("part-*")}
+    sinks.write_documents(docs.filter("channelName <> 'Other'"), path, by_channel=True)
+    assert sources.read_landing(spark, path).count() == 3
+    assert len({p.name for p in Path(path).rglob("part-*")} & first) == 1
+    chosen = sources.read_landing(spark, sources.channel_paths(path, names[:2]))
+    assert sorted(r.channelName for r in chosen.collect()) == sorted(names[:2])
+
+
 def test_manifest_lists_files(spark, folder):
     path = folder("docs")
     sinks.write_documents(spark.createDataFrame([("a", "1", "1", "1", "P", [])], schemas.landing()), path)
@@ -197,14 +228,14 @@ def land_file(zone, name, channel, views):
 
 
 @pytest.fixture
-def zone(folder):
-    return {name: folder(name) for name in ["landing", "curated", "checkpoint", "archive"]}
+def zone(folder, database):
+    paths = {name: folder(name) for name in ["landing", "checkpoint", "archive"]}
+    return paths | {"table": f"{database}.curated"}
 
 
 def run(spark, zone, **more):
-    query = ingest_landing(spark, zone["landing"], zone["curated"], zone["checkpoint"], **more)
-    query.awaitTermination()
-    return spark.read.schema(schemas.curated()).parquet(zone["curated"])
+    ingest_landing(spark, zone["landing"], zone["table"], zone["checkpoint"], **more)
+    return spark.table(zone["table"])
 
 
 def test_each_file_once(spark, zone):
@@ -235,20 +266,44 @@ def test_committed_files_move_to_the_archive(spark, zone):
     for i in range(3):
         land_file(zone["landing"], f"{i}.json", "a", ["1"])
         rows = run(spark, zone, archive=zone["archive"])
-    archived = [p.name for p in Path(zone["archive"]).rglob("*.json")]
-    left = [p.name for p in Path(zone["landing"]).glob("*.json")]
     assert rows.count() == 3
-    assert sorted(archived + left) == ["0.json", "1.json", "2.json"]
-    assert "0.json" in archived
+    assert sorted(p.name for p in Path(zone["archive"]).rglob("*.json")) == ["0.json", "1.json", "2.json"]
+    assert not list(Path(zone["landing"]).rglob("*.json"))
+
+
+def test_nested_files_keep_their_place_in_the_archive(spark, zone):
+    land_file(zone["landing"] + "/a b/c", "1.json", "a", ["1"])
+    run(spark, zone, archive=zone["archive"])
+    assert Path(zone["archive"], "a b", "c", "1.json").exists()
+
+
+def test_a_repeated_batch_replaces_what_it_had_added(spark, zone):
+    land_file(zone["landing"], "1.json", "a", ["1", "2"])
+    land_file(zone["landing"], "2.json", "b", [None])
+    assert run(spark, zone).count() == 3
+    sinks.append_curated(spark.table(zone["table"]).filter("channelName = 'a'"), zone["table"])
+    assert spark.table(zone["table"]).count() == 5
+    for kind in ("commits", "offsets"):  # as if the run had died before its commit
+        for file in Path(zone["checkpoint"], kind).glob("*0*"):
+            if kind == "commits":
+                file.unlink()
+    assert run(spark, zone).count() == 5
+
+
+def test_rows_without_a_date_are_added(spark, zone):
+    os.makedirs(zone["landing"])
+    doc = {"channelName": "a", "subscribers": "1", "totalVideos": "1", "videos": [
+        {"title": "t", "publishedAt": "never", "viewCount": "1"}]}
+    Path(zone["landing"], "1.json").write_text(json.dumps(doc) + "\n")
+    assert [(r.year, r.viewCount) for r in run(spark, zone).collect()] == [(None, 1)]
 
 
 def test_committed_files_can_be_deleted(spark, zone):
     for i in range(3):
         land_file(zone["landing"], f"{i}.json", "a", ["1"])
         rows = run(spark, zone, delete=True)
-    left = [p.name for p in Path(zone["landing"]).glob("*.json")]
     assert rows.count() == 3
-    assert "0.json" not in left and set(left) <= {"1.json", "2.json"}
+    assert not list(Path(zone["landing"]).rglob("*.json"))
 
 
 def files_of(rows):
