@@ -334,20 +334,39 @@ class Repeats:
         return self.copies().unionAll(small).unionAll(many)
 
     def groups(self) -> DataFrame:
-        """(length, group, doc_id, start) of the maximal repeats among distinct stretches; the
-        group's name is the hash of its first occurrence. Buckets beyond ``Limits.bucket`` are left
-        to ``covers``."""
+        """(length, group, doc_id, start): the maximal repeats with all their occurrences.
+
+        Stretches that several places have in full are a group as well. Buckets beyond
+        ``Limits.bucket`` are left to ``covers``.
+        """
+        length = self.length
 
         def listed(bucket: Bucket) -> Iterator[tuple]:
             for depth, places in bucket.groups():
-                doc, text, start = min(places, key=lambda x: (x[0], x[2], x[1]))
-                name = hash((doc, text, start, depth))
+                name = hash((depth, *min(places)))
                 for doc, text, start in places:
-                    yield depth, name, doc, start
+                    yield depth, name, doc, text, start
 
-        return self._buckets(
+        found = self._buckets(
             written(self._stretches(), "repeat-stretches"), listed,
-            "length long, group long, doc_id long, start long",
+            "length long, group long, doc long, text long, place long",
+        )
+        # Each occurrence stands for those in equal stretches.
+        owners = self.kinds.select(
+            "anchor", "stretch", F.col("first.doc").alias("doc"), F.col("first.text").alias("text"),
+            F.col("first.start").alias("begin"), F.col("first.n").alias("n"),
+        )
+        inside = (F.col("place") >= F.col("begin")) & (F.col("place") < F.col("begin") + F.col("n"))
+        owned = found.join(owners, ["doc", "text"]).filter(inside).select(
+            "length", "group", "anchor", "stretch", (F.col("place") - F.col("begin")).alias("offset")
+        )
+        whole = self.kinds.filter("times > 1").select(
+            (F.col("first.n") + length - 1).alias("length"), F.xxhash64("anchor", "stretch").alias("group"),
+            "anchor", "stretch", F.lit(0).cast("long").alias("offset"),
+        )
+        return owned.unionAll(whole).join(self.shared, ["anchor", "stretch"]).select(
+            "length", "group", F.col("doc").alias("doc_id"),
+            (F.col("start") + F.col("offset")).alias("start"),
         )
 
 

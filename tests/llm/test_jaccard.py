@@ -1,0 +1,108 @@
+import random
+
+import pytest
+
+from reelstat.llm import jaccard
+from reelstat.llm.components import components
+
+
+def brute(texts, n, percent):
+    """Components by comparing all pairs."""
+    sets = {}
+    for i, text in texts.items():
+        lowered = "".join(c.lower() if c.isascii() else c for c in text or "")
+        words = lowered.split()
+        sets[i] = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} or (
+            {tuple(words)} if words else set()
+        )
+    parent = {i: i for i in texts}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in sorted(sets):
+        for j in sorted(sets):
+            both = len(sets[i] & sets[j])
+            total = len(sets[i] | sets[j])
+            if i < j and both and 100 * both >= percent * total:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return {i: (len(sets[i]), root(i)) for i in texts}
+
+
+def variants(seed, groups, copies, length):
+    """Texts of which many are changed copies of others."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(groups):
+        base = rng.choices(vocabulary, k=rng.randint(*length))
+        for _ in range(rng.randint(1, copies)):
+            other = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 40))):
+                other[rng.randrange(len(other))] = rng.choice(vocabulary)
+            texts.append(" ".join(other))
+    rng.shuffle(texts)
+    return dict(enumerate(texts))
+
+
+@pytest.mark.parametrize(
+    ("n", "percent", "length"), [(4, 85, (3, 60)), (5, 80, (20, 200)), (1, 60, (4, 30))]
+)
+def test_components_equal_brute_force(frame, n, percent, length):
+    texts = variants(n, 25, 12, length)
+    table = frame("doc_id long, text string", list(texts.items()))
+    found = jaccard.jaccard_components(table, n=n, percent=percent).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == brute(texts, n, percent)
+
+
+def test_two_steps_reach_members_that_are_far_from_the_smallest(frame):
+    # A chain: neighbours are linked, the ends are not.
+    words = [f"w{i}" for i in range(60)]
+    texts = {i: " ".join(words[i : i + 40]) for i in range(0, 16)}
+    table = frame("doc_id long, text string", list(texts.items()))
+    found = jaccard.jaccard_components(table, n=4, percent=85).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == brute(texts, 4, 85)
+
+
+def test_prefix_filter_loses_no_partner():
+    for size in range(1, 200):
+        for percent in (60, 80, 85):
+            least = -(-percent * size // 100)
+            assert jaccard.prefix_length(size, percent) == size - least + 1
+
+
+def test_edges(frame):
+    rows = [
+        (0, "Same text here now ok", "x"), (0, "Same text here now ok", "x"), (1, "SAME text here now ok", "y"),
+        (2, None, "z"), (3, "", "z"), (4, "  \n", "z"), (None, "same text here now ok", "z"),
+        (5, "one two", "z"), (6, "One TWO", "z"), (7, "one", "z"), (8, "ä b c d", "z"), (9, "Ä b c d", "z"),
+    ]
+    table = frame("doc_id long, text string, key string", rows)
+    found = sorted(
+        ((r[0], r[1], r[2]) for r in jaccard.jaccard_components(table).collect()),
+        key=lambda x: (x[0] is None, x),
+    )
+    assert found == [
+        (0, 2, 0), (0, 2, 0), (1, 2, 0), (2, 0, 2), (3, 0, 3), (4, 0, 4), (5, 1, 5), (6, 1, 5),
+        (7, 1, 7), (8, 1, 8), (9, 1, 9), (None, 2, None),
+    ]
+    assert jaccard.jaccard_components(table.limit(0)).count() == 0
+    kept = jaccard.drop_near_duplicates(table)
+    assert kept.columns == table.columns
+    assert sorted(r[0] for r in kept.collect() if r[0] is not None) == [0, 0, 2, 3, 4, 5, 7, 8, 9]
+
+
+def test_large_group_of_copies(frame):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(i, text if i % 3 else f"{text} x{i}") for i in range(900)]
+    found = jaccard.jaccard_components(frame("doc_id long, text string", rows)).collect()
+    assert {r[2] for r in found} == {0}
+
+
+def test_star_contraction_of_a_chain(frame):
+    links = frame("a long, b long", [(i, i + 1) for i in range(40)] + [(100, 101), (100, 100)])
+    found = {r[0]: r[1] for r in components(links).collect()}
+    assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
