@@ -252,10 +252,7 @@ def sink_append_curated(spark, sf_dir):
 
 @query(CUR + 'SELECT * FROM cur WHERE "year" = 1997')
 def partition_prune(spark, sf_dir):
-    table = f"{fresh_database(spark)}.curated"
-    sinks.create_curated(spark, table)
-    sinks.append_curated(testbed.curated(spark, sf_dir), table)
-    return without_zone(spark.table(table).filter(F.col("year") == 1997))
+    return without_zone(testbed.stored(spark, sf_dir).filter(F.col("year") == 1997))
 
 
 @query(CUR + """
@@ -380,7 +377,7 @@ SELECT "channelName", strftime("publishedAt", '%Y-%m') AS publish_month, count(*
 FROM cur GROUP BY 1, 2
 """)
 def trend_per_channel(spark, sf_dir):
-    return reports.trend_per_channel(testbed.curated(spark, sf_dir))
+    return reports.trend_per_channel(testbed.stored(spark, sf_dir))
 
 
 @query(CUR + """
@@ -391,14 +388,14 @@ SELECT "channelName" AS channel_name, CAST(max(subscribers) AS VARCHAR) AS subsc
 FROM cur GROUP BY "channelName"
 """)
 def channel_report(spark, sf_dir):
-    return reports.channel_report(testbed.curated(spark, sf_dir))
+    return reports.channel_report(testbed.stored(spark, sf_dir))
 
 
 @query(CUR + """
 SELECT * FROM cur ORDER BY "channelName", "publishedAt", video_title, "viewCount" LIMIT 20
 """)
 def preview_rows(spark, sf_dir):
-    rows = testbed.curated(spark, sf_dir)
+    rows = testbed.stored(spark, sf_dir)
     order = ["channelName", "publishedAt", "video_title", "viewCount"]
     return without_zone(explore.limited(rows.orderBy(*order), 20))
 
@@ -724,14 +721,14 @@ def chunk_id_list(spark, sf_dir):
 
 @query(CUR + 'SELECT "channelName", max(subscribers) AS "totalSubscribers" FROM cur GROUP BY 1')
 def channel_subscribers(spark, sf_dir):
-    return reports.channel_subscribers(testbed.curated(spark, sf_dir))
+    return reports.channel_subscribers(testbed.stored(spark, sf_dir))
 
 
 @query(CUR + """
 SELECT "channelName", count(video_title) AS "totalVideosPublished" FROM cur GROUP BY 1
 """)
 def video_count(spark, sf_dir):
-    return reports.video_count(testbed.curated(spark, sf_dir))
+    return reports.video_count(testbed.stored(spark, sf_dir))
 
 
 @query(CUR + """
@@ -739,7 +736,7 @@ SELECT "channelName", "year", "month", count(video_title) AS "monthlyVideosPubli
 FROM cur GROUP BY 1, 2, 3
 """)
 def video_trend(spark, sf_dir):
-    return reports.video_trend(testbed.curated(spark, sf_dir))
+    return reports.video_trend(testbed.stored(spark, sf_dir))
 
 
 @query(CUR + """
@@ -749,7 +746,7 @@ FROM cur GROUP BY 1, 2, 3
 """)
 def report_by_view(spark, sf_dir):
     """A report in SQL, over a temporary view of the curated rows."""
-    testbed.curated(spark, sf_dir).createOrReplaceTempView("video_data")
+    testbed.stored(spark, sf_dir).createOrReplaceTempView("video_data")
     return spark.sql("""
         SELECT channelName, year, month, count(video_title) AS monthlyVideosPublished,
                max(viewCount) AS maxViews
@@ -765,7 +762,7 @@ ORDER BY "totalViews" DESC NULLS LAST, "channelName", video_title
 
 @query(MOST_VIEWED)
 def most_viewed(spark, sf_dir):
-    return reports.most_viewed(testbed.curated(spark, sf_dir))
+    return reports.most_viewed(testbed.stored(spark, sf_dir))
 
 
 @query(MOST_VIEWED)
@@ -782,7 +779,7 @@ def landing_to_most_viewed(spark, sf_dir):
 
 @query(TOP_PER_CHANNEL)
 def top_k_per_channel(spark, sf_dir):
-    return without_zone(reports.top_videos_per_channel(testbed.curated(spark, sf_dir)))
+    return without_zone(reports.top_videos_per_channel(testbed.stored(spark, sf_dir)))
 
 
 @query(CUR + """
@@ -790,7 +787,7 @@ SELECT "channelName", video_title, "viewCount", "publishedAt" FROM cur
 ORDER BY "viewCount" DESC NULLS LAST, "channelName", video_title, "publishedAt" LIMIT 5
 """)
 def top_k_global(spark, sf_dir):
-    return without_zone(reports.top_videos(testbed.curated(spark, sf_dir)))
+    return without_zone(reports.top_videos(testbed.stored(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- exploration

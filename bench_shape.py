@@ -12,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from reelstat import jobs, schemas, sinks, testbed
 from reelstat.operators import assemble_documents
 from reelstat.plans import reports
 from reelstat.plans.curate import curate
-from reelstat.session import build_session, fresh_database, fresh_dir
+from reelstat.session import build_session, clear_scratch, fresh_database, fresh_dir
 
 
 def land(spark, sf_dir: str) -> str:
@@ -73,6 +74,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="reelstat-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -95,6 +97,7 @@ def main() -> None:
         print(f"{name}: {seconds[name]:.2f} s", file=sys.stderr)
     assert totals["loop"] == totals["one_job"]
     print(json.dumps({"metric": "day_time", "unit": "sec", **seconds, "channels": len(folders)}))
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -16,6 +16,7 @@ from reelstat.operators.documents import assemble_documents
 from reelstat.operators.joins import match
 from reelstat.session import fresh_dir
 from reelstat.sinks.files import write_documents
+from reelstat.sinks.tables import clustered
 
 # The instant up to which the rolling window of the landing documents reaches.
 AS_OF = datetime(2001, 8, 1)
@@ -102,6 +103,19 @@ def landing(spark: SparkSession, sf_dir: str, silent: bool = False) -> str:
     return _landed[key]
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated rows as files by year and month; written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        path = fresh_dir(spark, "stored")
+        clustered(curated(spark, sf_dir)).write.partitionBy(*schemas.PARTITION_FIELDS).parquet(path)
+        _stored[key] = path
+    return spark.read.schema(schemas.curated()).parquet(_stored[key])
+
+
 def curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated rows straight from the tables, without the detour over documents."""
     orders = table(spark, sf_dir, "orders")
