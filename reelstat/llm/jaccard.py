@@ -1,16 +1,19 @@
 """Jaccard join of documents on word n-grams, by prefix filtering with the rarest n-grams first.
 
 Two texts whose sets overlap enough share an n-gram within the first few of each set, in any order
-that all documents agree on. The order here takes a fixed share of all n-grams first (chosen by hash,
-a little more than a prefix needs, so that the others need not be counted), rare ones before frequent
-ones; a short text whose prefix is longer goes on with the others by hash. Candidates meet in the
-buckets of their prefix n-grams, pass length, positional and suffix filters, and are verified once a
-pair on their whole sets.
+that all documents agree on. That is used twice:
+
+1. A fixed share of all n-grams, chosen by hash, comes first in the order and is counted over the
+   whole corpus. A text that has more such n-grams of its own alone than a prefix holds has no
+   partner; most texts end here.
+2. The whole sets of the others are counted among themselves, and the rarest n-grams of each make its
+   prefix. Candidates meet in the buckets of these n-grams, pass length, positional and suffix
+   filters, and are verified once a pair on their whole sets.
 
 Equal sets form one class from the start. Links are found in two steps, neither of which makes all
-pairs of a group: first every member of a bucket is compared with the bucket's smallest set; then,
-in buckets that still hold several components, members outside the largest one are compared with
-members of other components. A pair that is never compared lies within one component already.
+pairs of a group: first every member of a bucket is compared with the bucket's most connected set;
+then, in buckets that still hold several components, members outside the largest one are compared
+with members of other components. A pair that is never compared lies within one component already.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked
 with nothing; a text with fewer than n words is one n-gram; rows with a null id have a null component
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelstat.llm.common import map_arrow, mix, signed, text_bytes, windows_of, words_of
+from reelstat.llm.common import forget, map_arrow, mix, signed, text_bytes, windows_of, words_of
 from reelstat.llm.components import components
 from reelstat.session import written
 
@@ -54,66 +57,97 @@ def prefix_length(size: int, percent: int) -> int:
     return size - (percent * size + 99) // 100 + 1
 
 
+def _prefix(size: Column, percent: int) -> Column:
+    return (size - F.floor((percent * size + 99) / 100) + 1).cast("long")
+
+
 def sketches(docs: DataFrame, id_column: str, text_column: str, n: int, percent: int) -> DataFrame:
-    """For each row its id, the size and key of its set, the n-grams that are counted, those that
-    complete the prefix, and the sizes of the set's cells."""
+    """For each row its id, the size and key of its set, and the n-grams that are counted first."""
     # A quarter more than the longest prefixes need.
     limit = np.uint64(int((100 - percent) * 1.25 / 100 * 2**64))
 
     def rows(batch: pa.RecordBatch) -> dict:
-        sizes, keys, first, rest, cells = [], [], [], [], []
+        sizes, keys, first = [], [], []
         for value in batch.column(1):
             found = shingles_of(value.as_py(), n)
-            order = found * np.uint64(0xD6E8FEB86659FD93)
-            early = order < limit
-            missing = prefix_length(len(found), percent) - int(early.sum())
-            late = found[~early][np.argsort(order[~early])[: max(0, missing)]] if len(found) else found
             sizes.append(len(found))
             keys.append(set_key(found) if len(found) else None)
-            first.append(signed(found[early]))
-            rest.append(signed(late))
-            cells.append(np.bincount((found >> np.uint64(60)).view(np.int64), minlength=CELLS))
-        longs = pa.list_(pa.int64())
+            first.append(signed(found[found * np.uint64(0xD6E8FEB86659FD93) < limit]))
         return {
             "doc_id": batch.column(0), "n": pa.array(sizes, pa.int64()),
-            "key": pa.array(keys, pa.int64()), "first": pa.array(first, longs),
-            "rest": pa.array(rest, longs), "cells": pa.array(cells, longs),
+            "key": pa.array(keys, pa.int64()), "first": pa.array(first, pa.list_(pa.int64())),
         }
 
     kind = docs.schema[id_column].dataType.simpleString()
     slim = docs.select(F.col(id_column).alias("doc_id"), text_bytes(text_column).alias("data"))
-    return map_arrow(
-        slim, rows,
-        f"doc_id {kind}, n long, key long, first array<long>, rest array<long>, cells array<long>",
+    return map_arrow(slim, rows, f"doc_id {kind}, n long, key long, first array<long>")
+
+
+def suspects(classes: DataFrame, percent: int) -> DataFrame:
+    """(key, rep) of the classes (key, doc_id, n, first) that may have a partner."""
+    grams = classes.select("key", F.explode("first").alias("shingle"))
+    shared = grams.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1")
+    known = grams.join(shared, "shingle").groupBy("key").agg(F.count("*").alias("n_shared"))
+    sizes = classes.select("key", "doc_id", "n", F.size("first").alias("n_first"))
+    alone = F.col("n_first") - F.coalesce("n_shared", F.lit(0))
+    return sizes.join(known, "key", "left").filter(alone < _prefix(F.col("n"), percent)).select(
+        "key", F.col("doc_id").alias("rep")
     )
 
 
+def whole_sets(
+    docs: DataFrame, wanted: DataFrame, id_column: str, text_column: str, n: int
+) -> DataFrame:
+    """(key, doc_id, n, own, cells): the sets of the classes ``wanted`` (key, rep), in full, and the
+    sizes of their parts by hash."""
+    kind = docs.schema[id_column].dataType.simpleString()
+    texts = docs.select(F.col(id_column).alias("rep"), text_bytes(text_column).alias("data"))
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        keep, sets, cells = [], [], []
+        for i, (key, value) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2))):
+            found = shingles_of(value.as_py(), n)
+            if len(found) and set_key(found) == key:
+                keep.append(i)
+                sets.append(signed(found))
+                cells.append(np.bincount((found >> np.uint64(60)).view(np.int64), minlength=CELLS))
+        at = pa.array(keep, pa.int64())
+        return {
+            "key": batch.column(0).take(at), "doc_id": batch.column(1).take(at),
+            "n": pa.array([len(x) for x in sets], pa.int64()),
+            "own": pa.array(sets, pa.list_(pa.int64())), "cells": pa.array(cells, pa.list_(pa.int64())),
+        }
+
+    joined = texts.join(wanted, "rep").select("key", "rep", "data")
+    return map_arrow(
+        joined, rows, f"key long, doc_id {kind}, n long, own array<long>, cells array<long>"
+    ).dropDuplicates(["key"])
+
+
 def needed(left: Column, right: Column, percent: int) -> Column:
     """The smallest overlap of two sets of these sizes that reaches the similarity."""
     return F.ceil(percent * (left + right) / F.lit(100 + percent))
 
 
-def prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(shingle, key, n, place): the prefix of each set, without n-grams of one set only."""
-    grams = classes.select("key", F.explode("first").alias("shingle"))
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(shingle, key, n, place, shared): the prefix of each set (key, n, own) without n-grams of one
+    set only, and how many of the set's n-grams other sets have."""
+    grams = sets.select("key", F.explode("own").alias("shingle"))
     shared = grams.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1")
-    found = grams.join(shared, "shingle")
-    sizes = classes.select("key", "n", F.size("first").alias("n_first"))
+    # Another name for the n-gram makes the next step deal by set, whatever the join dealt by.
+    found = grams.join(shared, "shingle").select(
+        "key", "sets", F.bitwise_not("shingle").alias("gram")
+    ).join(sets.select("key", "n"), "key")
     own = Window.partitionBy("key")
     found = found.withColumns({
-        "rank": F.row_number().over(own.orderBy("sets", "shingle")) - 1,
-        "n_shared": F.count("*").over(own),
-    }).join(sizes, "key")
+        "rank": F.row_number().over(own.orderBy("sets", "gram")) - 1,
+        "shared": F.count("*").over(own),
+    })
     # N-grams that no other set has come first and are left out.
-    place = F.col("rank") + F.col("n_first") - F.col("n_shared")
-    length = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1
-    early = found.withColumn("place", place).filter(F.col("place") < length)
-    late = classes.filter(F.size("rest") > 0).select(
-        "key", "n", F.size("first").alias("n_first"), F.posexplode("rest").alias("at", "shingle")
-    )
-    return early.select("shingle", "key", "n", F.col("place").cast("long").alias("place")).unionAll(
-        late.select("shingle", "key", "n", (F.col("at") + F.col("n_first")).cast("long"))
-    )
+    place = (F.col("rank") + F.col("n") - F.col("shared")).cast("long")
+    return found.withColumn("place", place).filter(
+        F.col("place") < _prefix(F.col("n"), percent)
+    ).select(F.bitwise_not("gram").alias("shingle"), "key", "n", "place", "shared")
 
 
 def _possible(percent: int) -> Column:
@@ -146,28 +180,8 @@ def _suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
     return joined.filter(bound >= needed(F.col("nx"), F.col("ny"), percent)).select("x", "y")
 
 
-def _verified(
-    pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str, text_column: str, n: int,
-    percent: int,
-) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) that are similar enough, by their whole sets."""
-    used = pairs.select(F.col("x").alias("key")).unionAll(pairs.select("y")).distinct()
-    used = used.join(classes.select("key", F.col("doc_id").alias("rep")), "key")
-    texts = docs.select(F.col(id_column).alias("rep"), text_bytes(text_column).alias("data"))
-
-    def rows(batch: pa.RecordBatch) -> dict:
-        keys, sets = [], []
-        for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-            found = shingles_of(value.as_py(), n)
-            if len(found) and set_key(found) == key:
-                keys.append(key)
-                sets.append(signed(found))
-        return {"key": pa.array(keys, pa.int64()), "own": pa.array(sets, pa.list_(pa.int64()))}
-
-    sets = written(
-        map_arrow(texts.join(used, "rep").select("key", "data"), rows, "key long, own array<long>"),
-        "jaccard-sets",
-    )
     side = lambda a: sets.select(F.col("key").alias(a), F.col("own").alias(f"s{a}"))
     joined = pairs.join(side("x"), "x").join(side("y"), "y")
     same = F.size(F.array_intersect("sx", "sy"))
@@ -188,23 +202,25 @@ def jaccard_components(
 ) -> DataFrame:
     """One row for each row of ``docs``: (id, n_shingles, component_id), where the component is the
     smallest id that links of at least ``percent`` / 100 similarity reach."""
+    spark = docs.sparkSession
     found = written(sketches(docs, id_column, text_column, n, percent), "jaccard-sketches")
     named = found.filter("doc_id IS NOT NULL AND key IS NOT NULL")
     classes = written(
         named.groupBy("key").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
-            F.first("first").alias("first"), F.first("rest").alias("rest"),
-            F.first("cells").alias("cells"),
+            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("first").alias("first")
         ),
         "jaccard-classes",
     )
-    slim = classes.select("key", "doc_id", "n", "cells")
-    prefix = written(prefixes(classes, percent), "jaccard-prefixes")
-
-
-    # Each set against the smallest set of its bucket.
+    wanted = written(suspects(classes, percent), "jaccard-suspects")
+    forget(spark)
+    sets = written(whole_sets(docs, wanted, id_column, text_column, n), "jaccard-sets")
+    slim = sets.select("key", "doc_id", "n", "cells")
+    prefix = written(prefixes(sets, percent), "jaccard-prefixes")
+    forget(spark)
+
+    # Each set against the one of its bucket that shares the most.
     hubs = prefix.groupBy("shingle").agg(
-        F.min(F.struct("n", "key", "place")).alias("hub"), F.count("*").alias("members")
+        F.max(F.struct("shared", "n", "key", "place")).alias("hub"), F.count("*").alias("members")
     ).filter("members > 1").select(
         "shingle", F.col("hub.n").alias("m"), F.col("hub.key").alias("other"),
         F.col("hub.place").alias("other_place"),
@@ -213,8 +229,7 @@ def jaccard_components(
         _suffix_filtered(_pairs(prefix.join(hubs, "shingle"), percent), slim, percent),
         "jaccard-pairs",
     )
-    options = (slim, docs, id_column, text_column, n, percent)
-    links = written(_named(_verified(first, *options), slim), "jaccard-links")
+    links = written(_named(_verified(first, sets, percent), slim), "jaccard-links")
     groups = written(components(links), "jaccard-components")
 
     # What is still apart although it shares a bucket.
@@ -235,10 +250,10 @@ def jaccard_components(
     second = _pairs(apart, percent).join(first, ["x", "y"], "left_anti")
     second = written(_suffix_filtered(second, slim, percent), "jaccard-pairs")
     if not second.isEmpty():
-        more = written(_named(_verified(second, *options), slim), "jaccard-links")
+        more = written(_named(_verified(second, sets, percent), slim), "jaccard-links")
         groups = written(components(links.unionAll(more)), "jaccard-components")
 
-    component = slim.select("key", F.col("doc_id").alias("rep")).join(
+    component = classes.select("key", F.col("doc_id").alias("rep")).join(
         groups, F.col("rep") == F.col("node"), "left"
     ).select("key", F.coalesce("component", "rep").alias("component_id"))
     out = found.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
