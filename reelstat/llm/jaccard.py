@@ -151,23 +151,49 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _possible(percent: int) -> Column:
-    """Length and positional filter on a pair that meets at one n-gram."""
+    """Length filter on a pair. N-grams that no other set has can't be part of an overlap either."""
     low, high = F.least("n", "m"), F.greatest("n", "m")
+    bound = F.least("shared", "other_shared")
+    return (100 * low >= percent * high) & (bound >= needed(F.col("n"), F.col("m"), percent))
+
+
+def _met_once(joined: DataFrame, percent: int) -> DataFrame:
+    """Pairs by a positional filter at each n-gram where they meet, however many those are."""
     bound = (
         F.least("place", "other_place") + 1
         + F.least(F.col("n") - F.col("place") - 1, F.col("m") - F.col("other_place") - 1)
     )
-    return (100 * low >= percent * high) & (bound >= needed(F.col("n"), F.col("m"), percent))
-
-
-def _pairs(joined: DataFrame, percent: int) -> DataFrame:
     return (
         joined.filter((F.col("key") != F.col("other")) & _possible(percent))
+        .filter(bound >= needed(F.col("n"), F.col("m"), percent))
         .select(F.least("key", "other").alias("x"), F.greatest("key", "other").alias("y"))
         .distinct()
     )
 
 
+def _met_everywhere(joined: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose rows are all the n-grams that their prefixes share, one row each: besides these
+    they can share no more than what follows the last of them in either set."""
+    first = F.col("key") < F.col("other")
+    side = lambda a, b, x, y: [
+        F.when(first, F.col(a)).otherwise(F.col(b)).alias(x),
+        F.when(first, F.col(b)).otherwise(F.col(a)).alias(y),
+    ]
+    met = (
+        joined.filter(_possible(percent))
+        .select(
+            *side("key", "other", "x", "y"), *side("n", "m", "nx", "ny"),
+            *side("place", "other_place", "px", "py"),
+        )
+        .groupBy("x", "y", "nx", "ny")
+        .agg(F.count("*").alias("same"), F.max("px").alias("px"), F.max("py").alias("py"))
+    )
+    rest = F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1)
+    return met.filter(
+        F.col("same") + rest >= needed(F.col("nx"), F.col("ny"), percent)
+    ).select("x", "y")
+
+
 def _suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sets, cut into cells by hash, can overlap enough."""
     side = lambda a: classes.select(
@@ -223,10 +249,10 @@ def jaccard_components(
         F.max(F.struct("shared", "n", "key", "place")).alias("hub"), F.count("*").alias("members")
     ).filter("members > 1").select(
         "shingle", F.col("hub.n").alias("m"), F.col("hub.key").alias("other"),
-        F.col("hub.place").alias("other_place"),
+        F.col("hub.place").alias("other_place"), F.col("hub.shared").alias("other_shared"),
     )
     first = written(
-        _suffix_filtered(_pairs(prefix.join(hubs, "shingle"), percent), slim, percent),
+        _suffix_filtered(_met_once(prefix.join(hubs, "shingle"), percent), slim, percent),
         "jaccard-pairs",
     )
     links = written(_named(_verified(first, sets, percent), slim), "jaccard-links")
@@ -244,10 +270,15 @@ def jaccard_components(
     open_members = members.join(largest, "shingle")
     outside = open_members.filter(F.col("component") != F.col("most")).select(
         "shingle", F.col("key").alias("other"), F.col("n").alias("m"),
-        F.col("place").alias("other_place"), F.col("component").alias("other_component"),
+        F.col("place").alias("other_place"), F.col("shared").alias("other_shared"),
+        F.col("component").alias("other_component"), "most",
+    )
+    # Two members outside the largest component meet twice; one of the rows is enough.
+    once = (F.col("component") == F.col("most")) | (F.col("key") < F.col("other"))
+    apart = members.join(outside, "shingle").filter(
+        (F.col("component") != F.col("other_component")) & once
     )
-    apart = members.join(outside, "shingle").filter(F.col("component") != F.col("other_component"))
-    second = _pairs(apart, percent).join(first, ["x", "y"], "left_anti")
+    second = _met_everywhere(apart, percent).join(first, ["x", "y"], "left_anti")
     second = written(_suffix_filtered(second, slim, percent), "jaccard-pairs")
     if not second.isEmpty():
         more = written(_named(_verified(second, sets, percent), slim), "jaccard-links")
