@@ -34,6 +34,10 @@ from reelstat.llm.common import forget, map_arrow, mix, signed, text_bytes, wind
 from reelstat.llm.components import components
 from reelstat.session import written
 
+#: How many times the longest prefix is counted first. Texts of which more than this share is found
+#: elsewhere by chance go on to the second part, so a larger number keeps that part small.
+COUNTED = 1.8
+
 #: Cells into which the suffix filter divides the sets.
 CELLS = 16
 
@@ -63,8 +67,7 @@ def _prefix(size: Column, percent: int) -> Column:
 
 def sketches(docs: DataFrame, id_column: str, text_column: str, n: int, percent: int) -> DataFrame:
     """For each row its id, the size and key of its set, and the n-grams that are counted first."""
-    # A quarter more than the longest prefixes need.
-    limit = np.uint64(int((100 - percent) * 1.25 / 100 * 2**64))
+    limit = np.uint64(int((100 - percent) * COUNTED / 100 * 2**64))
 
     def rows(batch: pa.RecordBatch) -> dict:
         sizes, keys, first = [], [], []
@@ -86,13 +89,15 @@ def sketches(docs: DataFrame, id_column: str, text_column: str, n: int, percent:
 def suspects(classes: DataFrame, percent: int) -> DataFrame:
     """(key, rep) of the classes (key, doc_id, n, first) that may have a partner."""
     grams = classes.select("key", F.explode("first").alias("shingle"))
-    shared = grams.groupBy("shingle").agg(F.count("*").alias("sets")).filter("sets > 1")
-    known = grams.join(shared, "shingle").groupBy("key").agg(F.count("*").alias("n_shared"))
-    sizes = classes.select("key", "doc_id", "n", F.size("first").alias("n_first"))
-    alone = F.col("n_first") - F.coalesce("n_shared", F.lit(0))
-    return sizes.join(known, "key", "left").filter(alone < _prefix(F.col("n"), percent)).select(
-        "key", F.col("doc_id").alias("rep")
+    # An n-gram of one set only tells that set by itself, so no join is needed.
+    alone = (
+        grams.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("key").alias("key"))
+        .filter("sets = 1").groupBy("key").agg(F.count("*").alias("alone"))
     )
+    sizes = classes.select("key", F.col("doc_id").alias("rep"), "n")
+    return sizes.join(alone, "key", "left").filter(
+        F.coalesce("alone", F.lit(0)) < _prefix(F.col("n"), percent)
+    ).select("key", "rep")
 
 
 def whole_sets(
@@ -157,43 +162,18 @@ def _possible(percent: int) -> Column:
     return (100 * low >= percent * high) & (bound >= needed(F.col("n"), F.col("m"), percent))
 
 
-def _met_once(joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs by a positional filter at each n-gram where they meet, however many those are."""
-    bound = (
-        F.least("place", "other_place") + 1
-        + F.least(F.col("n") - F.col("place") - 1, F.col("m") - F.col("other_place") - 1)
-    )
+def _pairs(joined: DataFrame, before: Column, percent: int) -> DataFrame:
+    """Pairs by a positional filter at the n-grams where they meet: besides the ``before`` n-grams
+    that they may share earlier, they share no more than follows in either set."""
+    rest = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("other_place"))
     return (
         joined.filter((F.col("key") != F.col("other")) & _possible(percent))
-        .filter(bound >= needed(F.col("n"), F.col("m"), percent))
+        .filter(before + rest >= needed(F.col("n"), F.col("m"), percent))
         .select(F.least("key", "other").alias("x"), F.greatest("key", "other").alias("y"))
         .distinct()
     )
 
 
-def _met_everywhere(joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose rows are all the n-grams that their prefixes share, one row each: besides these
-    they can share no more than what follows the last of them in either set."""
-    first = F.col("key") < F.col("other")
-    side = lambda a, b, x, y: [
-        F.when(first, F.col(a)).otherwise(F.col(b)).alias(x),
-        F.when(first, F.col(b)).otherwise(F.col(a)).alias(y),
-    ]
-    met = (
-        joined.filter(_possible(percent))
-        .select(
-            *side("key", "other", "x", "y"), *side("n", "m", "nx", "ny"),
-            *side("place", "other_place", "px", "py"),
-        )
-        .groupBy("x", "y", "nx", "ny")
-        .agg(F.count("*").alias("same"), F.max("px").alias("px"), F.max("py").alias("py"))
-    )
-    rest = F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1)
-    return met.filter(
-        F.col("same") + rest >= needed(F.col("nx"), F.col("ny"), percent)
-    ).select("x", "y")
-
-
 def _suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sets, cut into cells by hash, can overlap enough."""
     side = lambda a: classes.select(
@@ -230,6 +210,7 @@ def jaccard_components(
     smallest id that links of at least ``percent`` / 100 similarity reach."""
     spark = docs.sparkSession
     found = written(sketches(docs, id_column, text_column, n, percent), "jaccard-sketches")
+    rows = written(found.select("doc_id", "n", "key"), "jaccard-rows")
     named = found.filter("doc_id IS NOT NULL AND key IS NOT NULL")
     classes = written(
         named.groupBy("key").agg(
@@ -237,8 +218,10 @@ def jaccard_components(
         ),
         "jaccard-classes",
     )
+    forget(spark, found)
+    names = written(classes.select("key", F.col("doc_id").alias("rep")), "jaccard-names")
     wanted = written(suspects(classes, percent), "jaccard-suspects")
-    forget(spark)
+    forget(spark, classes)
     sets = written(whole_sets(docs, wanted, id_column, text_column, n), "jaccard-sets")
     slim = sets.select("key", "doc_id", "n", "cells")
     prefix = written(prefixes(sets, percent), "jaccard-prefixes")
@@ -252,7 +235,7 @@ def jaccard_components(
         F.col("hub.place").alias("other_place"), F.col("hub.shared").alias("other_shared"),
     )
     first = written(
-        _suffix_filtered(_met_once(prefix.join(hubs, "shingle"), percent), slim, percent),
+        _suffix_filtered(_pairs(prefix.join(hubs, "shingle"), F.least("place", "other_place"), percent), slim, percent),
         "jaccard-pairs",
     )
     links = written(_named(_verified(first, sets, percent), slim), "jaccard-links")
@@ -278,16 +261,18 @@ def jaccard_components(
     apart = members.join(outside, "shingle").filter(
         (F.col("component") != F.col("other_component")) & once
     )
-    second = _met_everywhere(apart, percent).join(first, ["x", "y"], "left_anti")
+    # Here a pair meets at all n-grams of both prefixes, so also at the first that they share.
+    second = _pairs(apart, F.lit(0), percent).join(first, ["x", "y"], "left_anti")
     second = written(_suffix_filtered(second, slim, percent), "jaccard-pairs")
     if not second.isEmpty():
         more = written(_named(_verified(second, sets, percent), slim), "jaccard-links")
         groups = written(components(links.unionAll(more)), "jaccard-components")
 
-    component = classes.select("key", F.col("doc_id").alias("rep")).join(
+    forget(spark, sets, prefix, members, first, second)
+    component = names.join(
         groups, F.col("rep") == F.col("node"), "left"
     ).select("key", F.coalesce("component", "rep").alias("component_id"))
-    out = found.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
+    out = rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
     out = out.join(component, "key", "left")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
