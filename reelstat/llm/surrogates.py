@@ -13,7 +13,8 @@ keeps surrogates apart from each other and from every original.
 
 Defined results: a null or empty text stays as it is and has no entity; rows with a null id are
 rewritten like others; equal rows get equal results; an empty table gives an empty one; where matches
-overlap the first, then the longer one counts; columns other than id and text are passed through
+overlap the first, then the longer one counts; of an assignment (``token = "..."``) the value alone is
+replaced, as the type that it has as a whole or else as a secret; columns other than id and text are passed through
 untouched by ``anonymize`` and not read by ``surrogates``.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -60,12 +62,24 @@ ENDINGS = {
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "secret": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{20,}|\bsk-[A-Za-z0-9_-]{16,}"
-              r"|\bxox[abprs]-[A-Za-z0-9-]{10,}|\bAIza[A-Za-z0-9_-]{30,}",
+              r"|\bxox[abprs]-[A-Za-z0-9-]{10,}|\bAIza[A-Za-z0-9_-]{30,}"
+              r"|\beyJ[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]{4,}){1,2}",
+    "keyed": r"(?P<word>(?:(?<![A-Za-z])(?i:(?:api|auth|access|client|private|secret|signing)[_-]?)?"
+             r"(?i:token|key|secret|passw(?:or)?d|passphrase|pwd)|(?<=[a-z])(?:Token|Key|Secret|Password)))"
+             r"[\"']?\s{0,3}(?P<sign>=>|:=|[=:](?!=))\s{0,3}"
+             r"(?:\"(?P<double>[^\"\s]{4,})\"|'(?P<single>[^'\s]{4,})'"
+             r"|(?P<bare>[^\s\"'`,;&<>()\[\]{}]{3,}[^\s\"'`,;&<>()\[\]{}.!?:]))",
+    "long": r"(?<![\w+/=-])(?=[0-9a-fA-F]*\d)(?=\d*[a-fA-F])[0-9a-fA-F]{32,}(?![\w+/])"
+            r"|(?<![\w+/=.:%&?#@-])[A-Za-z0-9+/_-]{40,}={0,2}(?![\w+/])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
+    "ipv6": r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:]|\.\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)"
+             r"|(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?[1-9]|0[1-9])"
+             r"(?:(?: \d\d){4}(?! ?\d)|(?:\.\d\d){4}(?!\.?\d)|(?:-\d\d){4}(?!-?\d))"
+             r"|(?<![\w+])0\d{2,4}[ /-]\d{6,8}(?![\d-])"
              r"|(?<![\w+])\+\d{8,14}(?!\d)",
     "name": r"\b(?P<title>" + "|".join(x for v in TITLES.values() for x in v) + r")\b\.?\s(?P<titled>"
             + _WORD + r"(?:\s" + _WORD + r")?)|\b(?P<given>" + "|".join(x for v in GIVEN.values() for x in v)
@@ -73,7 +87,10 @@ PATTERNS = {
 }
 _FIRST = {k: r"(?=[\d(+])" for k in ("ip", "card", "ssn", "phone")}
 _DIGIT, _IBAN, _LETTERS = re.compile(r"\d"), re.compile(r"[A-Z]{2}\d\d"), re.compile(r"[^\W\d_]+")
-_SECRETS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "AIza")
+_SECRETS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "AIza", "eyJ")
+_KEYS = ("token", "key", "secret", "passw", "passphrase", "pwd")
+_HEX = re.compile(r"[0-9a-fA-F]{32,}")
+_PAIRS = re.compile(r"(?:[ .-]\d\d){4}$")
 _NAME_WORDS = frozenset(x for v in [*TITLES.values(), *GIVEN.values()] for x in v) | {"г", "н", "жа"}
 
 
@@ -90,8 +107,12 @@ def _pattern(kinds: tuple[str, ...]) -> re.Pattern:
 def _possible(text: str) -> tuple[str, ...]:
     """The types that a text can hold at all, by marks that are quickly looked for."""
     digit = _DIGIT.search(text) is not None
+    lowered = text.lower() if "=" in text or ":" in text else ""
     marks = {
         "email": "@" in text, "secret": any(x in text for x in _SECRETS),
+        "keyed": any(x in lowered for x in _KEYS),
+        "long": digit and max(map(len, text.split()), default=0) >= 32,
+        "ipv6": "::" in text or text.count(":") >= 7,
         "iban": digit and _IBAN.search(text) is not None,
         "ip": digit, "card": digit, "ssn": digit, "phone": digit,
         "name": not _NAME_WORDS.isdisjoint(_LETTERS.findall(text)),
@@ -140,6 +161,23 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         digits = re.sub(r"\D", "", found)
         if kind == "email":
             out.append((start, end, kind, found.lower()))
+        elif kind == "keyed":
+            if span := _assigned(match):
+                value = text[span[0] : span[1]]
+                inner = find(value)
+                whole = len(inner) == 1 and inner[0][:2] == (0, len(value))
+                out.append((*span, *(inner[0][2:] if whole else ("secret", value))))
+                at = span[1]
+            else:
+                at = start + 1
+        elif kind == "long":
+            if _random(found):
+                out.append((start, end, "secret", found))
+        elif kind == "ipv6":
+            if value := _ipv6(found):
+                out.append((start, end, kind, value))
+            else:
+                at = start + 1
         elif kind == "secret" or kind == "ip":
             out.append((start, end, kind, found))
         elif kind == "iban":
@@ -152,23 +190,60 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 out.append((start, end, kind, digits))
             elif match := re.compile(PATTERNS["phone"]).match(text, start):
                 at = match.end()
-                out.append((start, at, "phone", _national(re.sub(r"\D", "", match[0]))))
+                out.append((start, at, "phone", _national(match[0])))
             else:
                 at = end
         elif kind == "ssn":
             out.append((start, end, kind, digits))
         elif kind == "phone":
             if 8 <= len(digits) <= 15:
-                out.append((start, end, kind, _national(digits)))
+                out.append((start, end, kind, _national(found)))
         else:
             out += _names(match)
             at = out[-1][1] if out and out[-1][1] > start else start + 1
     return out
 
 
-def _national(digits: str) -> str:
-    """A number without its country code, of ten digits at most."""
-    return digits[-10:]
+def _national(found: str) -> str:
+    """A number without its country code, of ten digits at most; one in pairs without its first 0."""
+    digits = re.sub(r"\D", "", found)
+    return digits[-9:] if _PAIRS.search(found) else digits[-10:]
+
+
+def _assigned(match: re.Match) -> tuple[int, int] | None:
+    """Where the value of an assignment stands, if it looks like a secret. Words that also name other
+    things (key, token) and values without quotes need more marks than passwords do."""
+    group = next(k for k in ("double", "single", "bare") if match[k] is not None)
+    value = match[group]
+    digit, letter = any(map(str.isdigit, value)), any(map(str.isalpha, value))
+    if not digit and not letter:
+        return None
+    open_colon = group == "bare" and match["sign"] == ":"
+    if match["word"].lower().endswith(("key", "token")):
+        good = digit and len(value) >= 6 or len(value) >= 16
+        good = good and (not open_colon or digit and letter)
+    else:
+        good = not open_colon or not value.isalpha()
+    return match.span(group) if good else None
+
+
+def _random(found: str) -> bool:
+    """Whether a long string is hexadecimal or changes between kinds of characters as base64 does."""
+    if _HEX.fullmatch(found):
+        return True
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "" for c in found]
+    changes = sum(a != b and bool(a and b) for a, b in zip(kinds, kinds[1:]))
+    return {"d", "u", "l"} <= {*kinds} and 4 * changes >= len(found)
+
+
+def _ipv6(found: str) -> str | None:
+    """The address with all its digits; one of a single group is not taken."""
+    if sum(map(bool, found.split(":"))) < 2 or not _DIGIT.search(found):
+        return None
+    try:
+        return ipaddress.IPv6Address(found).exploded
+    except ValueError:
+        return None
 
 
 def _names(match: re.Match) -> Iterator[tuple[int, int, str, str]]:
@@ -210,16 +285,17 @@ class Draw:
         self.rest, found = divmod(self.rest, n)
         return found
 
-    def like(self, text: str) -> str:
+    def like(self, text: str, letters: str = "abcdefghijklmnopqrstuvwxyz") -> str:
         """Characters of the same kinds."""
         out = []
         for c in text:
             if c.isdigit():
                 out.append("0123456789"[self.of(10)])
             elif c.isascii() and c.isalpha():
-                letters = "abcdefghijklmnopqrstuvwxyz"
-                letter = letters[self.of(26)]
+                letter = letters[self.of(len(letters))]
                 out.append(letter.upper() if c.isupper() else letter)
+            elif c.isalpha():
+                out.append(letters[self.of(len(letters))])
             else:
                 out.append(c)
         return "".join(out)
@@ -236,6 +312,15 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return f"{draw.like(local)}@{'.'.join([*map(other.like, labels), top])}"
     if kind == "ip":
         return ".".join(str(1 + draw.of(223 if k == 0 else 254)) for k in range(4))
+    if kind == "ipv6":
+        groups = []
+        for k, group in enumerate(value.split(":")):
+            # Groups of 0 stay, and so does the first digit, which tells the kind of address.
+            size = 4 if attempt >= 4 else len(group.lstrip("0"))
+            kept = group.lstrip("0")[:1] if k == 0 else ""
+            new = kept + "".join("123456789abcdef"[draw.of(15)] for _ in range(size - len(kept)))
+            groups.append(new[:4].rjust(4, "0") if int(group, 16) else "0000")
+        return ":".join(groups)
     if kind == "card":
         body = value[0] + draw.like(value[1:-1])
         return next(body + c for c in "0123456789" if luhn(body + c))
@@ -245,8 +330,11 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "ssn":
         return f"9{draw.like(value[1:])}"
     if kind == "secret":
-        prefix = re.match(r"AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|AIza", value)[0]
-        return prefix + draw.like(value[len(prefix):])
+        prefix = re.match(r"(?:AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|AIza|eyJ)?", value)[0]
+        prefix = prefix if len(value) >= len(prefix) + 8 else ""
+        # Short values have few others of their form; later attempts are longer.
+        rest = value[len(prefix):] + "a0" * (attempt // 4)
+        return prefix + (draw.like(rest, "abcdef") if _HEX.fullmatch(value) else draw.like(rest))
     if kind == "phone":
         # No number begins with 0 where the original does not.
         first = value[:1] if value[:1] == "0" else "123456789"[draw.of(9)]
@@ -274,6 +362,13 @@ def written_as(found: str, kind: str, value: str, other: str) -> str:
     if kind == "email":
         same = [b.upper() if a.isupper() else b for a, b in zip(found, other)]
         return "".join(same) + other[len(found):]
+    if kind == "ipv6":
+        if "::" in found:
+            new = ipaddress.IPv6Address(other).compressed
+        else:
+            pairs = zip(found.split(":"), other.split(":"))
+            new = ":".join(b if len(a) == 4 else b.lstrip("0") or "0" for a, b in pairs)
+        return new.upper() if found.upper() == found and found.lower() != found else new
     if kind == "family" or kind.startswith("given"):
         return other.upper() if found.isupper() and len(found) > 1 else other[:1].upper() + other[1:]
     return other
