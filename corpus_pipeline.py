@@ -3,7 +3,8 @@
 1. quality rules: failing lines leave the text, documents that fail as a whole go;
 2. n-gram Jaccard join (five words, 0.8): of each group the document with the smallest id stays;
 3. benchmark decontamination: documents that overlap with a benchmark item go;
-4. mixing: documents are sampled so that sources, languages and topics meet their targets;
+4. mixing: documents with a stated share of all tokens are sampled so that sources, languages and
+   topics meet their targets as far as there is text;
 5. sharding: each document gets its shard and its slot.
 """
 
@@ -14,6 +15,8 @@ from reelstat.llm.common import table
 from reelstat.session import written
 
 N_SHARDS = 40
+#: Share of the tokens that mixing keeps.
+KEPT = 0.6
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +32,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    return mixing.mix(docs, budget=KEPT)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import itertools
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from reelstat.llm import mixing
 
 
@@ -97,3 +98,39 @@ def test_edges(frame):
 def test_main_path_runs_no_python(docs):
     plan = mixing.mixed(docs("a b c", "d"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_budget_is_met_without_probabilities_over_1(frame, cells):
+    rng = np.random.default_rng(4)
+    table = {k: int(rng.integers(50, 500)) for k in itertools.product("abcd", ["en", "de"], ["x", "y", "z"])}
+    table["d", "de", "z"] = 1
+    goals = [{"a": 4.0, "b": 1.0, "c": 1.0, "d": 2.0}, {"en": 0.6, "de": 0.4}, {"x": 0.2, "y": 0.3, "z": 0.5}]
+    for share in (0.3, 0.45, 1.0, 2.0):
+        budget = share * sum(table.values())
+        rows = mixing.rake(cells(table), targets(frame, goals), rounds=200, budget=budget).collect()
+        found = {(r[0], r[1], r[2]): r[4] for r in rows}
+        assert all(0 <= x <= 1 for x in found.values())
+        kept = sum(table[k] * x for k, x in found.items())
+        assert kept == pytest.approx(min(budget, sum(table.values())))
+        for d, goal in enumerate(goals):
+            held = {v: sum(t for k, t in table.items() if k[d] == v) for v in goal}
+            wanted = mixing._bounded(goal, held, kept)
+            for value in goal:
+                got = sum(table[k] * x for k, x in found.items() if k[d] == value)
+                assert got == pytest.approx(wanted[value], rel=1e-5), (share, value)
+        # Below 1 a factor is the product of one for each source, language and topic.
+        if share == 0.3:
+            for s, t in itertools.combinations("abcd", 2):
+                both = [found[s, "en", "x"], found[t, "de", "x"], found[s, "de", "x"], found[t, "en", "x"]]
+                if max(both) < 1:
+                    assert both[0] * both[1] == pytest.approx(both[2] * both[3])
+
+
+def test_a_rare_cell_does_not_decide_how_much_the_pipeline_keeps(spark, docs):
+    table = docs(*["one two three four five"] * 900, *["mail me@x.org now"] * 3, "licensed under x")
+    expected = mixing.mixed(table, budget=corpus_pipeline.KEPT).selectExpr(
+        "sum(n_tokens * probability) / sum(n_tokens)", "max(probability)"
+    ).first()
+    assert expected[0] == pytest.approx(corpus_pipeline.KEPT) and expected[1] == 1.0
+    stage = dict(corpus_pipeline.STAGES)["mixing sources to target weights"]
+    assert 0.5 < stage(spark, table, "").count() / 904 < 0.7
