@@ -20,14 +20,41 @@ from reelstat.llm.common import SPACE, map_arrow, text_bytes, windows_of, words_
 
 SYMBOLS = b"#*$%&|<>"
 
+#: Phrases between word boundaries, notices of licence and copyright with the name that they give.
 BOILERPLATE = re.compile(
-    rb"all rights reserved|licensed under|released under the|is licensed|terms of (?:use|service)"
-    rb"|privacy policy|cookie policy|use of cookies|accept (?:all )?cookies|copyright (?:\(c\)|\xc2\xa9|\d)"
-    rb"|sign (?:in|up)|log ?in|subscribe (?:now|to)|share (?:on|this)|read more|click here"
-    rb"|skip to (?:main )?content|back to top|javascript (?:is|must)",
+    rb"(?<![\w\x80-\xff])(?:all rights reserved"
+    rb"|(?:(?:this|the)(?: [\w-]+){0,3} (?:is|are) )?(?:licensed|released|distributed) under "
+    rb"(?:(?:[^.]|\.\d){0,80}?\b(?:licen[cs]e|l?gpl|public domain)(?:,? (?:version |v)?\d[\d.]*)?"
+    rb"|cc[ -](?:by|0)[\w-]*(?: \d[\d.]*)?)"
+    rb"|licensed under|released under the|is licensed|terms of (?:use|service)"
+    rb"|privacy policy|cookie policy|use of cookies|accept (?:all )?cookies"
+    rb"|copyright (?:\(c\)|\xc2\xa9|\d{4})[^.]{0,60}"
+    rb"|sign (?:in|up)|log ?in|subscribe (?:now|to)|read more|click here"
+    rb"|share (?:on(?: (?:facebook|twitter|x|linkedin|whatsapp|reddit|pinterest))?"
+    rb"|this(?: (?:page|post|article|story|link))?)"
+    rb"|skip to (?:main )?content|back to top|javascript (?:is|must))(?![\w\x80-\xff])",
+)
+_WORDS = re.compile(rb"[\w\x80-\xff]+")
+#: Words that go with such phrases and do not make prose of them.
+FILLERS = frozenset(
+    b"please to our the a here now or and your you for of by with this about account newsletter today "
+    b"continue enabled be required".split()
 )
 NAVIGATION = re.compile(rb"\s(?:\||\xc2\xbb|\xe2\x80\xba|\xc2\xb7|>|/)\s")
-SENTENCE_END = re.compile(rb"(?:[.!?:;]|\xe2\x80\xa6|\xe3\x80\x82)[\"')\]]*(?:\s|$)|\xc2\xbb\s*$")
+#: Sentence ends of scripts that put a space after them, of those that do not, and closing marks.
+_ENDS = "… । ॥ ؟ ۔ ؛ ։ ። ፧ ။ ។ ། ‼ ⁇ ⁈ ⁉"
+_WIDE_ENDS = "。 ． ｡ ！ ？ ： ；"
+_CLOSERS = "» › ” ’ “ ‘ « ‹ ″ ） 」 』 】 》 〉 ］ ＂ ＇"
+
+
+def _any_of(marks: str) -> bytes:
+    return b"|".join(re.escape(x.encode()) for x in marks.split())
+
+
+SENTENCE_END = re.compile(
+    rb"(?:[.!?:;]|" + _any_of(_ENDS) + rb")(?:[\"')\]}*_]|" + _any_of(_CLOSERS) + rb")*"
+    rb"(?:\s|\xc2\xa0|$)|" + _any_of(_WIDE_ENDS) + rb"|\xc2\xbb\s*$"
+)
 
 
 @dataclass(frozen=True)
@@ -43,8 +70,10 @@ class LineRules:
     long_line: int = 12
     #: Share of words that end in an exclamation mark.
     max_shouted: float = 0.5
-    #: A line with a boilerplate phrase fails up to this many words.
+    #: A line of boilerplate phrases and little else fails up to this many words.
     max_boilerplate_words: int = 30
+    #: Words besides the phrases and their fillers, per word of the phrases.
+    max_besides: float = 0.5
     #: A line needs the end of a sentence somewhere, unless it starts the text and has fewer words.
     heading: int = 12
     #: A document is rejected when it keeps a smaller share of its word characters.
@@ -57,12 +86,20 @@ class LineRules:
 DEFAULT = LineRules()
 
 
+def _besides(lowered: bytes) -> float:
+    """Words outside the phrases of boilerplate for each word in them."""
+    inside = sum(len(_WORDS.findall(m[0])) for m in BOILERPLATE.finditer(lowered))
+    rest = _WORDS.findall(BOILERPLATE.sub(b" ", lowered))
+    return sum(w not in FILLERS for w in rest) / max(inside, 1)
+
+
 def line_fails(line: bytes, words: list[bytes], first: bool, rules: LineRules) -> str | None:
     """The rule that a line with words fails, or None."""
     n = len(words)
     lowered = line.lower()
     if n <= rules.max_boilerplate_words and BOILERPLATE.search(lowered):
-        return "boilerplate"
+        if _besides(lowered) <= rules.max_besides:
+            return "boilerplate"
     separators = len(NAVIGATION.findall(b" " + line + b" "))
     if separators >= 3 and separators > rules.max_separators * n:
         return "navigation"

@@ -80,3 +80,37 @@ def test_a_very_long_text(docs):
     long = " ".join(f"word{i}" for i in range(300_000)) + "."
     row = quality.judged(docs(long)).first()
     assert (row["n_words"], row["kept"]) == (300_000, True)
+
+
+def fails(line):
+    return quality.line_fails(line.encode(), line.encode().split(), False, quality.DEFAULT)
+
+
+def test_sentence_ends_of_all_scripts_and_closing_quotes():
+    body = "one two three four five six seven eight nine ten eleven twelve"
+    for start, end in [
+        ("“", ".”"), ("‘", "!’"), ("„", ".“"), ("»", ".«"), ("", "।"), ("", "؟"), ("", "！"), ("「", "？」"),
+        ("", "。"), ("", "…”"), ("", "۔"), ("(", ".)"), ("«", " !»"),
+    ]:
+        assert fails(f"{start}{body}{end}") is None, end
+        assert quality.judge(f"{start}{body}{end}".encode())["kept"]
+    assert fails(f"“{body}”") == "punctuation"
+
+
+def test_ordinary_phrases_are_no_boilerplate():
+    for line in (
+        "The design in question was never built.", "The catalog in the hall is old.",
+        "She spent the day cataloging books.", "And is erer. Ereaes oftheshare onstor.",
+        "Every visitor must sign in at the desk before going upstairs.",
+        "He was released under the condition that he left the town.",
+        "They read more books in winter than in summer.",
+    ):
+        assert fails(line) is None, line
+    for line in (
+        "All rights reserved.", "Licensed under CC BY-NC 4.0.", "Released under the MIT License.",
+        "This work is licensed under the GNU General Public License, version 3.",
+        "Licensed under the Apache License, Version 2.0.", "Please log in to continue.", "Read more »",
+        "Copyright 2024 The Example Authors. All rights reserved.", "Sign up for our newsletter today!",
+        "Share on Facebook", "Privacy policy and terms of use.",
+    ):
+        assert fails(line) == "boilerplate", line
