@@ -15,6 +15,7 @@ column are read, so further columns do not matter.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,10 @@ from reelstat.llm.common import BASE, map_arrow, mix, text_bytes, words_of
 #: distance of three tokens or more, and most irregular ones.
 MASKS = ("111101111", "1110111011", "11011011011", "110010101101")
 
+#: Further masks for items of fewer than ``SHORT`` tokens, in which a replaced word leaves little.
+SHORT_MASKS = ("1111", "11011", "1101011")
+SHORT = 20
+
 #: Bytes of benchmark text that one block holds about.
 BLOCK_BYTES = 16 << 20
 
@@ -40,10 +45,28 @@ _FILTER_BITS = 22
 @dataclass(frozen=True)
 class Overlap:
     """What counts as a leak: a stretch of aligned tokens, scored +1 for an equal token and
-    ``-penalty`` for a different one, with so many equal tokens (an item's length, if smaller)."""
+    ``-penalty`` for a different one, with so many equal tokens (an item's length, if smaller).
+
+    With ``share``, that share of the item's tokens is enough where it is less than ``min_equal``, but
+    no fewer than ``min_evidence`` tokens; an item of fewer tokens leaks only as a whole and into a
+    document of which it makes half at least."""
 
     min_equal: int = 12
     penalty: float = 2.0
+    share: float | None = None
+    min_evidence: int = 6
+
+    def needed(self, item: int, document: int) -> int:
+        """Equal tokens that an item and a document of so many tokens need."""
+        if self.share is None:
+            return min(self.min_equal, item)
+        if item < self.min_evidence:
+            return item if 2 * item >= document else item + 1
+        return min(self.min_equal, max(math.ceil(self.share * item), self.min_evidence))
+
+
+#: The rule of the operators: with this penalty a passage with every third word replaced counts whole.
+LEAK = Overlap(penalty=1.0, share=0.6)
 
 
 def tokens_of(data: bytes) -> np.ndarray:
@@ -72,7 +95,8 @@ class Index:
         self.masks: list[str] = []
         hashes, items, places = [], [], []
         for n, tokens in enumerate(self.tokens):
-            fitted = {m[: len(tokens)].rstrip("0") for m in masks} - {""}
+            own = masks + SHORT_MASKS if len(tokens) < SHORT else masks
+            fitted = {m[: len(tokens)].rstrip("0") for m in own} - {""}
             for mask in fitted:
                 if mask not in self.masks:
                     self.masks.append(mask)
@@ -118,17 +142,20 @@ class Index:
             equal = item[low:high] == tokens[low + offset : high + offset]
             start, end = best_stretch(equal, rule.penalty)
             count = int(equal[start:end].sum())
-            if count >= min(rule.min_equal, len(item)) and count > best.get(n, (0,))[0]:
+            if count >= rule.needed(len(item), len(tokens)) and count > best.get(n, (0,))[0]:
                 best[n] = (count, end - start, low + offset + start, low + start)
         return best
 
 
 def best_stretch(equal: np.ndarray, penalty: float) -> tuple[int, int]:
-    """Start and end of the stretch with the highest score, the first of equal ones."""
+    """Start and end of the stretch with the highest score, the first of equal ones, as long as it
+    can be with that score."""
     sums = np.concatenate(([0.0], np.cumsum(np.where(equal, 1.0, -penalty))))
     lowest = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - lowest))
-    return int(np.argmin(sums[: end + 1])), end
+    scores = sums - lowest
+    end = int(np.argmax(scores))
+    start = int(np.argmin(sums[: end + 1]))
+    return start, int(np.flatnonzero((scores == scores[end]) & (lowest == sums[start]))[-1])
 
 
 MATCHES = "n_equal long, n_compared long, doc_start long, item_start long"
@@ -136,7 +163,7 @@ MATCHES = "n_equal long, n_compared long, doc_start long, item_start long"
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    item_column: str = "item_id", item_text: str = "text", rule: Overlap = Overlap(),
+    item_column: str = "item_id", item_text: str = "text", rule: Overlap = LEAK,
     masks: tuple[str, ...] = MASKS, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row for each document and item that overlap: ids, counts and starts in tokens."""

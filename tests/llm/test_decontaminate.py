@@ -83,3 +83,35 @@ def test_edges(frame):
     long = " ".join(noise(200_000) + ITEM)
     docs, items = tables(frame, [long], [" ".join(ITEM)])
     assert decontaminate.contaminated(docs, items).first()["doc_start"] == 200_000
+
+
+def test_every_distance_of_substitution_is_found(frame):
+    texts, wanted = [], []
+    for n in (8, 12, 15, 20, 59):
+        words = [f"i{n}x{k}" for k in range(n)]
+        for step in range(3, 13):
+            for phase in range(step):
+                changed = [w if k % step != phase else "other" for k, w in enumerate(words)]
+                if sum(w != "other" for w in changed) < max(6, 0.6 * n):
+                    continue
+                texts.append(noise(30) + changed + noise(30))
+                wanted.append(n)
+    items = [" ".join(f"i{n}x{k}" for k in range(n)) for n in (8, 12, 15, 20, 59)]
+    docs, items = tables(frame, [" ".join(x) for x in texts], items)
+    rows = decontaminate.contaminated(docs, items).collect()
+    assert len(texts) > 300 and sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+
+
+def test_short_items_tolerate_a_replaced_word_and_four_of_fifteen(frame):
+    short, item = [f"s{k}" for k in range(10)], ITEM[:15]
+    texts = [noise(20) + short[:k] + ["x"] + short[k + 1 :] + noise(20) for k in range(10)]
+    texts += [noise(20) + [w if k not in (2, 5, 9, 12) else "x" for k, w in enumerate(item)] + noise(20)]
+    docs, items = tables(frame, [" ".join(x) for x in texts], [" ".join(short), " ".join(item)])
+    assert sorted(r["doc_id"] for r in decontaminate.contaminated(docs, items).collect()) == list(range(11))
+
+
+def test_items_of_a_few_tokens_take_no_document_that_merely_holds_them(frame):
+    texts = ["so it is the end of a long and clean document", "It is.", "is it clean or is it not"]
+    docs, items = tables(frame, texts, ["it is", "the", "clean"])
+    rows = decontaminate.contaminated(docs, items).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in rows] == [(1, 0)]
