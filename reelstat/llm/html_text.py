@@ -2,7 +2,9 @@
 
 A tree builder adds the tags that authors leave out, visibility rules (elements, attributes and the
 page's own style sheets) take out what is not shown, and a renderer keeps blocks apart, marks list
-items and aligns the cells of tables. Nothing visible is dropped.
+items and aligns the cells of tables. Style sheets count as on a screen of ``SCREEN`` pixels, by
+importance, layer, specificity and order; of their rules those with simple selectors (a tag, classes
+and ids) are read, and at-rules whose condition is not known are not applied.
 
 Defined results: a null or empty page gives an empty text; broken markup is read as a browser would,
 unknown tags are inline; deep nesting needs no recursion; a null id is kept; equal rows give equal
@@ -29,14 +31,15 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_STYLE_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_STYLE_MARK = re.compile(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'|[{};]", re.S)
+_LENGTH = re.compile(r"\(\s*(min|max)-width\s*:\s*([\d.]+)(px|em|rem)\s*\)$")
 _SELECTOR = re.compile(r"([a-z][a-z0-9]*|\*)?((?:[.#][\w-]+)*)$")
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = {"script", "style", "textarea", "title", "noframes", "iframe", "xmp"}
 NEVER = set(
     "script style template head title meta link noscript noframes iframe object audio video canvas "
-    "svg math datalist param source track area base".split()
+    "annotation annotation-xml datalist param source track area base".split()
 )
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset "
@@ -58,6 +61,10 @@ _IMPLIED = {
     **{x: (SECTIONS | {"caption", "colgroup"}, {"table"}) for x in SECTIONS},
 }
 
+#: Width of the screen for which style sheets are read.
+SCREEN = 1280
+#: What can hold or be text in a drawing.
+_DRAWN = {"svg", "g", "a", "switch", "text", "foreignobject"}
 #: Columns of a table are padded up to this width.
 WIDEST = 80
 
@@ -157,7 +164,8 @@ def parse(page: str) -> tuple[Node, list[str]]:
             inner = page[at : end.start()]
             at = end.end()
             if tag == "style":
-                sheets.append(inner)
+                media = node.attributes.get("media", "")
+                sheets.append(f"@media {media} {{{inner}}}" if media else inner)
             elif tag in ("textarea", "title"):
                 node.children.append(html.unescape(inner))
             else:
@@ -172,9 +180,9 @@ class Rules:
     """What the style sheets hide or show: simple selectors of a tag, classes and an id."""
 
     def __init__(self, sheets: list[str]):
-        self.rules: list[tuple[str, set[str], str, dict[str, str]]] = []
+        self.rules: list[tuple[str, set[str], set[str], tuple, dict[str, tuple[bool, str]]]] = []
         for sheet in sheets:
-            for selectors, body in _STYLE_RULE.findall(re.sub(r"/\*.*?(?:\*/|\Z)", "", sheet, flags=re.S)):
+            for selectors, body, layered in style_rules(sheet):
                 declared = declarations(body)
                 if not declared:
                     continue
@@ -182,36 +190,117 @@ class Rules:
                     match = _SELECTOR.match(selector.strip())
                     if match and selector.strip():
                         marks = re.findall(r"[.#][\w-]+", match[2])
-                        self.rules.append((
-                            (match[1] or "*"), {x[1:] for x in marks if x[0] == "."},
-                            next((x[1:] for x in marks if x[0] == "#"), ""), declared,
-                        ))
+                        classes = {x[1:] for x in marks if x[0] == "."}
+                        names = {x[1:] for x in marks if x[0] == "#"}
+                        tag = match[1] or "*"
+                        n = sum(x[0] == "#" for x in marks)
+                        weight = (layered, (n, len(marks) - n, tag != "*"))
+                        self.rules.append((tag, classes, names, weight, declared))
 
     def of(self, node: Node) -> dict[str, str]:
-        found: dict[str, str] = {}
+        found: dict[str, tuple[tuple, str]] = {}
+
+        def declare(declared: dict[str, tuple[bool, str]], inline: bool, layered: bool, specific: tuple) -> None:
+            for name, (important, value) in declared.items():
+                # Layers give way to what is outside them, except where they are important.
+                key = (important, inline, layered == important, specific)
+                if name not in found or key >= found[name][0]:
+                    found[name] = (key, value)
+
         if "hidden" in node.attributes and node.attributes["hidden"] != "until-found":
-            found["display"] = "none"
+            declare({"display": (False, "none")}, False, True, (-1, 0, 0))
         if self.rules:
             classes = set(node.attributes.get("class", "").split())
-            for tag, wanted, name, declared in self.rules:
-                if tag in ("*", node.tag) and wanted <= classes and (
-                    not name or name == node.attributes.get("id")
-                ):
-                    found |= declared
+            own = {node.attributes["id"]} if "id" in node.attributes else set()
+            for tag, wanted, names, (layered, specific), declared in self.rules:
+                if tag in ("*", node.tag.removeprefix("svg:")) and wanted <= classes and names <= own:
+                    declare(declared, False, layered, specific)
         if "style" in node.attributes:
-            found |= declarations(node.attributes["style"])
-        return found
+            declare(declarations(node.attributes["style"]), True, False, (0, 0, 0))
+        return {name: value for name, (_, value) in found.items()}
+
+
+def style_rules(sheet: str) -> list[tuple[str, str, bool]]:
+    """Selectors, body and whether in a layer, of the rules that apply on a screen."""
+    sheet = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->", " ", sheet, flags=re.S)
+    out: list[tuple[str, str, bool]] = []
+    # Open blocks: selectors (None for an at-rule), what of the body is read, applied, in a layer.
+    open_: list[tuple[str | None, list[str], bool, bool]] = []
+    at = 0
+    for mark in _STYLE_MARK.finditer(sheet):
+        if mark[0][0] in "\"'":
+            continue
+        part, at = sheet[at : mark.start()], mark.end()
+        if mark[0] == "{":
+            prelude = part.strip()
+            applied, layered = (open_[-1][2], open_[-1][3]) if open_ else (True, False)
+            if prelude.startswith("@"):
+                name, _, condition = prelude[1:].partition(" ")
+                name, bracket, rest = name.lower().partition("(")
+                known = name in ("layer", "supports") and not condition.lower().startswith("not")
+                applied = applied and (known or name == "media" and applies(bracket + rest + " " + condition))
+                open_.append((None, [], applied, layered or name == "layer"))
+            else:
+                # Selectors inside a rule are relative to it and not read.
+                inside = any(x[0] is not None for x in open_)
+                open_.append((prelude, [], applied and not inside, layered))
+        elif mark[0] == ";":
+            if open_:
+                open_[-1][1].append(part)
+        elif open_:
+            selectors, body, applied, layered = open_.pop()
+            if selectors is not None and applied:
+                out.append((selectors, ";".join([*body, part]), layered))
+    return out
+
 
+def applies(media: str) -> bool:
+    """Whether a list of media queries holds for a screen; unknown conditions do not."""
+    for query in media.lower().split(","):
+        words = re.match(r"\s*(not\s+|only\s+)?(.*?)\s*$", query, re.S)
+        terms = [_holds(x.strip()) for x in re.split(r"\s+and\s+", words[2])]
+        if None not in terms and all(terms) != (words[1] or "").startswith("not"):
+            return True
+    return False
 
-def declarations(body: str) -> dict[str, str]:
-    """Of a style only what decides whether something is shown."""
-    found = {}
+
+def _holds(term: str) -> bool | None:
+    if term in ("", "all", "screen"):
+        return True
+    if length := _LENGTH.match(term):
+        width = float(length[2].strip(".") or 0) * (1 if length[3] == "px" else 16)
+        return SCREEN >= width if length[1] == "min" else SCREEN <= width
+    return None if "(" in term else False
+
+
+def declarations(body: str) -> dict[str, tuple[bool, str]]:
+    """Of a style only what decides whether something is shown, with its importance."""
+    found: dict[str, tuple[bool, str]] = {}
     for name, value in re.findall(r"([\w-]+)\s*:\s*([^;]+)", body.lower()):
         if name in ("display", "visibility"):
-            found[name] = value.replace("!important", "").strip()
+            value, mark, _ = value.partition("!")
+            if mark or not found.get(name, (False,))[0]:
+                found[name] = (bool(mark), value.strip())
     return found
 
 
+def _drawn(node: Node) -> list[Node | str]:
+    """What of a drawing is text: its text elements, with the groups that hold them."""
+    out: list[Node | str] = []
+    for x in node.children:
+        if not isinstance(x, Node) or x.tag not in _DRAWN or x.attributes.get("display") == "none":
+            continue
+        if x.tag in ("text", "foreignobject"):
+            if x.attributes.get("visibility") in ("hidden", "collapse"):
+                continue
+        elif x.tag != "svg":
+            group = Node(f"svg:{x.tag}", x.attributes)
+            group.children = x.children
+            x = group
+        out += [x, " "]
+    return out
+
+
 def width_of(text: str) -> int:
     if text.isascii():
         return len(text)
@@ -403,6 +492,8 @@ def render(root: Node, rules: Rules) -> str:
                 children = [x for x in children if isinstance(x, Node) and x.tag == "summary"][:1]
             elif tag == "select":
                 children = _selected(node)
+            elif tag == "svg" or tag.startswith("svg:"):
+                children = _drawn(node)
             work.append((node, True, shown, block))
             work.extend((child, False, shown, pre) for child in reversed(children))
             continue

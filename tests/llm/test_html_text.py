@@ -84,3 +84,37 @@ def test_edges(frame):
     found = sorted((str(r["page_id"]), r["text"], r["n_words"]) for r in extract(pages).collect())
     assert found == [("1", "a", 1), ("1", "a", 1), ("2", "", 0), ("None", "", 0)]
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("sheet, shown", [
+    ("@media print { .main { display:none } }", True),
+    ("@media screen and (max-width: 600px) { .main { display:none } }", True),
+    ("@media (min-width: 600px) { .main { display:none } }", False),
+    ("@media print { p { color: red } .main { display:none } } .main { color: red }", True),
+    ("@media all { @supports (display: grid) { .main { display:none } } }", False),
+    ("@media not print { .main { display:none } }", False),
+    ("@media (prefers-color-scheme: dark) { .main { display:none } }", True),
+    ("@import url('x{}'); @font-face { src: 'a;}' } .main { display: none }", False),
+    (".main { display: block !important } .main { display: none }", True),
+    ("#m { display: block } .main { display: none } p { display: none }", True),
+    ("#m { display: block } p { display: none !important }", False),
+    (".main { display: block } @layer a { #m { display: none } }", True),
+    ("p { display: block } .main { display: none } .main { display: block }", True),
+])
+def test_style_sheets_count_as_on_a_screen(sheet, shown):
+    found = visible_text(f"<style>{sheet}</style><p id=m class=main>text</p>end")
+    assert found.split() == (["text", "end"] if shown else ["end"])
+
+
+def test_media_of_a_style_element_and_inline_style():
+    page = "<style media=print>p{display:none}</style><style>i{display:none!important}</style>"
+    assert visible_text(page + "<p>a</p><i style='display:inline'>b</i>c").split() == ["a", "c"]
+
+
+def test_formulas_and_the_text_of_drawings():
+    page = (
+        "a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> <svg><title>t</title><desc>d</desc>"
+        "<defs><text>no</text></defs><g><text>one</text><text>two <tspan>three</tspan></text></g>loose"
+        "<g style='display:none'><text>no</text></g><path d='M0'/></svg> b"
+    )
+    assert visible_text(page).split() == ["a", "x=2", "one", "two", "three", "b"]
