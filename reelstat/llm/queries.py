@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat.llm import (
-    decontaminate, html_text, jaccard, lm, mixing, quality, repeats, shards, surrogates, toxicity,
+    decontaminate, html_text, jaccard, lm, minmax, mixing, quality, repeats, shards, surrogates,
+    toxicity,
 )
 from reelstat.llm.common import table
 
@@ -74,6 +75,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op11_min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), n=5, percent=85)
+
+
 def _rake_sql(rounds: int = 40, power: float = 0.7) -> str:
     """The raking of ``op1_mix_sources``, each round written out."""
     goals = " ".join(
@@ -121,6 +126,37 @@ FROM docs d JOIN scaled p ON d.s = p.source AND d.l = p.lang AND d.topic = p.top
 """
 
 
+def _links_sql(n: int, percent: int, more: str = "") -> str:
+    """Components of documents by comparing all pairs that share an n-gram."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+           WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+           WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i + {n} - 1], ' '))
+         END) AS s FROM words
+),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS gram FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+smallest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, n_shingles, component_id{more} FROM (
+  SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+  FROM sets LEFT JOIN smallest ON doc_id = a
+)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_html_text": op2_html_text,
@@ -132,6 +168,10 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_hmm_scores": op9_hmm_scores,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_min_max_near_duplicates": op11_min_max_near_duplicates,
 }
 
-ORACLES: dict[str, str] = {"op1_mix_sources": _rake_sql()}
+ORACLES: dict[str, str] = {
+    "op1_mix_sources": _rake_sql(),
+    "op11_min_max_near_duplicates": _links_sql(5, 85, ", component_id = doc_id AS kept"),
+}
