@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat.llm import (
-    decontaminate, html_text, jaccard, lm, minmax, mixing, quality, repeats, shards, surrogates,
-    toxicity,
+    decontaminate, html_text, jaccard, lm, minmax, mixing, quality, repair, repeats, shards,
+    surrogates, toxicity, whitening,
 )
 from reelstat.llm.common import table
 
@@ -79,6 +79,15 @@ def op11_min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), n=5, percent=85)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.repair(turns, live=F.col("live"))
+
+
+def op13_shifted_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def _rake_sql(rounds: int = 40, power: float = 0.7) -> str:
     """The raking of ``op1_mix_sources``, each round written out."""
     goals = " ".join(
@@ -169,6 +178,8 @@ QUERIES: dict[str, Query] = {
     "op9_hmm_scores": op9_hmm_scores,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_min_max_near_duplicates": op11_min_max_near_duplicates,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_shifted_cholesky_whitening": op13_shifted_cholesky_whitening,
 }
 
 ORACLES: dict[str, str] = {
