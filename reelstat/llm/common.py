@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelstat.session import fresh_dir
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 SPACE = np.zeros(256, dtype=bool)
@@ -146,6 +148,13 @@ def gram_hashes(data: bytes, length: int) -> np.ndarray:
         size, step = 2 * size, np.uint64(int(step) ** 2 % (1 << 64))
 
 
+def written_by(df: DataFrame, name: str, column: str) -> DataFrame:
+    """The rows, written to the shared folder with a folder for each value, and read back."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def forget(spark: SparkSession, *tables: DataFrame) -> None:
     """Deletes the files of tables that ``written`` made, and lets Spark drop the shuffle files that
     nothing refers to any more."""

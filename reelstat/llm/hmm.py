@@ -37,6 +37,20 @@ class Counts:
     def none(states: int, symbols: int) -> Counts:
         return Counts(np.zeros(states), np.zeros((states, states)), np.zeros((symbols, states)))
 
+    def __add__(self, other: Counts) -> Counts:
+        return Counts(
+            self.start + other.start, self.move + other.move, self.emit + other.emit,
+            self.log + other.log,
+        )
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate((self.start, self.move.ravel(), self.emit.ravel(), [self.log]))
+
+    @staticmethod
+    def of_flat(flat: np.ndarray, states: int, symbols: int) -> Counts:
+        start, move, emit, log = np.split(flat, np.cumsum([states, states**2, symbols * states]))
+        return Counts(start, move.reshape(states, states), emit.reshape(symbols, states), float(log[0]))
+
 
 def estimate(counts: Counts, smoothing: float = 0.1) -> Model:
     """The model that the counts give. Rare symbols lean on the whole corpus."""
@@ -192,12 +206,11 @@ def expected_counts(model: Model, sequences: list[np.ndarray]) -> Counts:
     return out
 
 
-def first_guess(sequences: list[np.ndarray], states: int, symbols: int, seed: int) -> Model:
-    """Emissions of sequences dealt at random to the states, which are slow to change."""
+def first_guess(counts: np.ndarray, states: int, seed: int) -> Model:
+    """Emissions that differ at random around those of the whole corpus, in states that last."""
     rng = np.random.default_rng(seed)
-    counts = Counts.none(states, symbols)
-    for sequence in sequences:
-        np.add.at(counts.emit, (sequence, rng.integers(states)), 1.0)
-    counts.start += 1.0
-    counts.move += 1.0 + np.eye(states) * 20 * states
-    return estimate(counts)
+    emit = (counts[:, None] + 1e-3) * rng.gamma(2.0, size=(len(counts), states))
+    move = 1.0 + np.eye(states) * states
+    return Model(
+        np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
+    )

@@ -2,14 +2,17 @@
 
 A word is emitted in two steps: a latent state emits a symbol, which is a frequent word, the end of
 the text, or a class of words that end alike; a class then emits its word by how often the corpus has
-it. Symbols and classes are of a fixed number, so the model is small at any size of the corpus, while
-the counts of all words stay a distributed table. Words are told apart by 64-bit hashes.
+it. There are as many symbols as the square root of the training tokens, and more classes with them,
+so the model grows with the corpus, while the counts of all words stay a distributed table. Words are
+told apart by 64-bit hashes.
 
 1. Words of the training texts are counted; each task adds up its own first.
 2. The frequent ones (a bounded number) are sent to the executors, and every text becomes a sequence
    of symbols. The other words of each text are joined with the table of counts.
-3. Expected counts of starts, transitions and emissions are added up over all training texts, once a
-   round; the starting values come from a bounded sample.
+3. Expected counts of starts, transitions and emissions are added up over all training texts, fold by
+   fold: once a fold is counted its new counts replace its old ones, and the model is estimated again
+   from all folds. No text is counted on the driver; training begins with seeded random emissions
+   around the corpus's own, and ends when a pass over all folds gains little.
 4. The scaled forward recursion gives the exact probability of every whole text's symbols.
 
 Defined results: a null text is an empty one, which is a single end; a null id is held out or not by
@@ -19,6 +22,7 @@ training texts all words are unknown; only id and text are read, so further colu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.llm import hmm
-from reelstat.llm.common import fold, map_arrow, mix, signed, text_bytes, words_of
+from reelstat.llm.common import fold, map_arrow, mix, signed, text_bytes, words_of, written_by
 from reelstat.session import written
 
 
@@ -37,57 +41,56 @@ class Shape:
     """Sizes of the model."""
 
     states: int = 6
-    #: Words with a symbol of their own.
-    words: int = 8192
-    #: Classes of the other words, by their last two bytes.
-    classes: int = 256
-    #: Words whose counts are sent to the executors, at most.
+    #: Words with a symbol of their own, for each square root of the training tokens.
+    words_per_root: float = 1.0
+    #: Words with a symbol for each class of the others, which is told by their last two bytes.
+    words_per_class: int = 32
+    #: Words whose counts are sent to the executors, at most, unless more have symbols.
     head: int = 1 << 18
-    #: Documents that the starting values come from, and rounds over them.
-    sample: int = 2000
-    sample_rounds: int = 12
-    #: Rounds over all training texts.
-    rounds: int = 2
+    #: Parts of the training texts after each of which the model is estimated anew, passes over them
+    #: at most, and the gain of a pass below which training ends, as a share of the log likelihood.
+    folds: int = 8
+    passes: int = 4
+    tolerance: float = 1e-4
     seed: int = 7
 
-    @property
-    def end(self) -> int:
-        return self.words + self.classes
+    def words(self, tokens: int) -> int:
+        return math.ceil(self.words_per_root * math.sqrt(tokens))
 
-    @property
-    def symbols(self) -> int:
-        return self.words + self.classes + 1
 
-
-def hashed(data: bytes, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of a text's words, case folded in ASCII, and their classes."""
+def hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a text's words, case folded in ASCII, and their last two bytes."""
     data = data.lower()
     _, ends, hashes = words_of(data)
-    codes = np.frombuffer(b" " + data, dtype=np.uint8).astype(np.uint64)
-    last = codes[ends] * np.uint64(256) + codes[ends - 1] if len(ends) else ends.astype(np.uint64)
-    return hashes, (mix(last) % np.uint64(classes)).astype(np.int64)
+    codes = np.frombuffer(b" " + data, dtype=np.uint8).astype(np.int32)
+    last = codes[ends] * 256 + codes[ends - 1] if len(ends) else ends.astype(np.int32)
+    return hashes, last
+
+
+def class_of(last: np.ndarray, classes: int) -> np.ndarray:
+    return (mix(last.astype(np.uint64)) % np.uint64(classes)).astype(np.int64)
 
 
-def count_words(docs: DataFrame, shape: Shape) -> DataFrame:
-    """(word, class, n) of the words in a binary column ``data``."""
+def count_words(docs: DataFrame) -> DataFrame:
+    """(word, last, n) of the words in a binary column ``data``; ``last`` are their last two bytes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [hashed(x.as_py(), shape.classes) for x in batch.column(0)]
+            found = [hashed(x.as_py()) for x in batch.column(0)]
             hashes = np.concatenate([x[0] for x in found] or [np.zeros(0, np.uint64)])
-            classes = np.concatenate([x[1] for x in found] or [np.zeros(0, np.int64)])
+            last = np.concatenate([x[1] for x in found] or [np.zeros(0, np.int32)])
             words, first, n = np.unique(hashes, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(words)), pa.array(classes[first].astype(np.int32)), pa.array(n)],
-                ["word", "class", "n"],
+                [pa.array(signed(words)), pa.array(last[first].astype(np.int32)), pa.array(n)],
+                ["word", "last", "n"],
             )
 
-    counted = docs.select("data").mapInArrow(rows, "word long, class int, n long")
-    return counted.groupBy("word").agg(F.min("class").alias("class"), F.sum("n").alias("n"))
+    counted = docs.select("data").mapInArrow(rows, "word long, last int, n long")
+    return counted.groupBy("word").agg(F.min("last").alias("last"), F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, classes and counts of the words above the lowest count that at most ``limit`` words
+    """Hashes, last bytes and counts of the words above the lowest count that at most ``limit`` words
     reach, by falling count. Counts are graded in steps of a sixteenth of a power of two."""
     grade = F.floor(F.log2("n") * 16)
     sizes = sorted(
@@ -102,61 +105,62 @@ def most_frequent(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray
         lowest, total = value, total + words
     if lowest is None:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    head = counts.filter(grade >= lowest).select("word", "class", "n").toArrow()
-    words, classes, n = (head.column(k).to_numpy() for k in range(3))
+    head = counts.filter(grade >= lowest).select("word", "last", "n").toArrow()
+    words, last, n = (head.column(k).to_numpy() for k in range(3))
     order = np.lexsort((words, -n))
-    return words[order].view(np.uint64), classes[order].astype(np.int64), n[order]
+    return words[order].view(np.uint64), last[order].astype(np.int64), n[order]
 
 
 class Lexicon:
     """The frequent words and what scoring needs of the others."""
 
-    def __init__(self, head, class_sums: list[tuple[int, int, int]], texts: int, shape: Shape):
-        words, classes, n = head
-        self.shape = shape
-        #: Sums over classes are over all words, those with symbols are taken out again.
-        total, distinct = np.zeros(shape.classes), np.zeros(shape.classes)
-        for k, sum_n, rows in class_sums:
-            total[k], distinct[k] = sum_n, rows
-        self.tokens = int(total.sum()) + texts
-        self.distinct = int(distinct.sum()) + (texts > 0)
+    def __init__(self, head, last_sums: list[tuple[int, int, int]], texts: int, shape: Shape):
+        words, last, n = head
+        self.tokens = sum(x[1] for x in last_sums) + texts
+        self.distinct = sum(x[2] for x in last_sums) + (texts > 0)
         self.end_count = texts
-        top = slice(0, shape.words)
+        self.own = min(shape.words(self.tokens), len(words))
+        self.classes = max(self.own // shape.words_per_class, 1)
+        self.end = self.own + self.classes
+        self.kind = np.uint16 if self.end < 1 << 16 else np.uint32
+        #: Sums over classes are over all words, those with symbols are taken out again.
+        total, distinct = np.zeros(self.classes), np.zeros(self.classes)
+        if last_sums:
+            ends, sums, rows = (np.array(x) for x in zip(*last_sums))
+            of = class_of(ends, self.classes)
+            np.add.at(total, of, sums)
+            np.add.at(distinct, of, rows)
+        classes = class_of(last, self.classes)
+        top = slice(0, self.own)
         np.subtract.at(total, classes[top], n[top])
         np.subtract.at(distinct, classes[top], 1)
         self.class_log = np.log10(total + 0.5 * (distinct + 1))
-        symbols = shape.words + classes
-        symbols[top] = np.arange(len(symbols[top]))
+        #: How often the training texts have each symbol.
+        self.counts = np.concatenate((n[top], total, [texts])).astype(np.float64)
+        symbols = self.own + classes
+        symbols[top] = np.arange(self.own)
         order = np.argsort(words)
-        self.words, self.symbols = words[order], symbols[order].astype(np.uint16)
+        self.words, self.symbols = words[order], symbols[order].astype(self.kind)
         self.logs = np.log10(n[order] + 0.5)
-        self.first = np.searchsorted(self.words >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64))
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of words among the frequent ones, and whether they are there."""
         if not len(self.words):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        cells = (hashes >> np.uint64(44)).astype(np.int64)
-        at, stop = self.first[cells], self.first[cells + 1]
-        for _ in range(int((np.diff(self.first)).max())):
-            ahead = (at < stop) & (self.words[np.minimum(at, len(self.words) - 1)] < hashes)
-            if not ahead.any():
-                break
-            at = at + ahead
-        at = np.minimum(at, len(self.words) - 1)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         return at, self.words[at] == hashes
 
     def encode(self, data: bytes) -> dict:
         """A text's symbols, the parts of its logs that are known here, and its other words."""
-        shape = self.shape
-        hashes, classes = hashed(data, shape.classes)
-        symbols = np.empty(len(hashes) + 1, dtype=np.uint16)
-        symbols[-1] = shape.end
+        hashes, last = hashed(data)
+        symbols = np.empty(len(hashes) + 1, dtype=self.kind)
+        symbols[-1] = self.end
         at, there = self.find(hashes)
-        symbols[:-1] = np.where(there, self.symbols[at] if len(self.words) else 0, shape.words + classes)
+        symbols[:-1][there] = self.symbols[at[there]]
+        symbols[:-1][~there] = self.own + class_of(last[~there], self.classes)
         logs = self.logs[at[there]]
-        in_class = (symbols[:-1] >= shape.words)
-        of_class = (symbols[:-1][in_class] - shape.words).astype(np.int64)
+        in_class = symbols[:-1] >= self.own
+        of_class = symbols[:-1][in_class].astype(np.int64) - self.own
         other, times = np.unique(hashes[~there], return_counts=True)
         return {
             "n_tokens": len(hashes) + 1,
@@ -193,11 +197,11 @@ def encode(docs: DataFrame, lexicon, id_kind: str) -> DataFrame:
     )
 
 
-def sequences_of(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_py(), dtype=np.uint16).astype(np.int64) for x in column]
+def sequences_of(column: pa.Array, kind: type = np.uint16) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_py(), dtype=kind).astype(np.int64) for x in column]
 
 
-def train_round(texts: DataFrame, model: hmm.Model) -> hmm.Counts:
+def train_round(texts: DataFrame, model: hmm.Model, kind: type = np.uint16) -> hmm.Counts:
     """Expected counts over all texts: each task adds up its own, then they are added by cell."""
     states, symbols = len(model.start), len(model.emit)
     shared = texts.sparkSession.sparkContext.broadcast(model)
@@ -206,33 +210,35 @@ def train_round(texts: DataFrame, model: hmm.Model) -> hmm.Counts:
         total = hmm.Counts.none(states, symbols)
         for batch in batches:
             if batch.num_rows:
-                found = hmm.expected_counts(shared.value, sequences_of(batch.column(0)))
-                total.start += found.start
-                total.move += found.move
-                total.emit += found.emit
-                total.log += found.log
-        flat = np.concatenate((total.start, total.move.ravel(), total.emit.ravel(), [total.log]))
+                total += hmm.expected_counts(shared.value, sequences_of(batch.column(0), kind))
+        flat = total.flat()
         used = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used])], ["cell", "n"])
 
     sums = texts.select("symbols").mapInArrow(rows, "cell long, n double")
     found = sums.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a row for each parameter
-    flat = np.zeros(states + states**2 + symbols * states + 1)
+    shared.destroy()
+    flat = np.zeros(hmm.Counts.none(states, symbols).flat().size)
     flat[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    start, move, emit, log = np.split(flat, np.cumsum([states, states**2, symbols * states]))
-    return hmm.Counts(start, move.reshape(states, states), emit.reshape(symbols, states), float(log[0]))
-
-
-def train(texts: DataFrame, shape: Shape) -> hmm.Model:
-    """A model of the symbols of all ``texts``."""
-    sample = texts.select("symbols").orderBy(F.xxhash64("symbols"), "symbols").limit(shape.sample)
-    sequences = sequences_of(sample.toArrow().column(0))
-    model = hmm.first_guess(sequences, shape.states, shape.symbols, shape.seed)
-    for _ in range(shape.sample_rounds if sequences else 0):
-        model = hmm.estimate(hmm.expected_counts(model, sequences))
-    for _ in range(shape.rounds if sequences else 0):
-        model = hmm.estimate(train_round(texts, model))
-    return model
+    return hmm.Counts.of_flat(flat, states, symbols)
+
+
+def train(
+    texts: DataFrame, counts: np.ndarray, shape: Shape, kind: type = np.uint16
+) -> tuple[hmm.Model, list[float]]:
+    """A model of the symbols of all ``texts`` (fold, symbols), and the log likelihood that each pass
+    found. ``counts`` tells how often the texts have each symbol."""
+    model = hmm.first_guess(counts, shape.states, shape.seed)
+    by_fold: dict[int, hmm.Counts] = {}
+    passes: list[float] = []
+    while len(passes) < shape.passes and counts.any():
+        for fold in range(shape.folds):
+            by_fold[fold] = train_round(texts.filter(F.col("fold") == fold), model, kind)
+            model = hmm.estimate(sum(by_fold.values(), hmm.Counts.none(*model.emit.shape[::-1])))
+        passes.append(sum(x.log for x in by_fold.values()))
+        if len(passes) > 1 and passes[-1] - passes[-2] < shape.tolerance * abs(passes[-2]):
+            break
+    return model, passes
 
 
 def scores(
@@ -251,15 +257,19 @@ def scores(
         text_bytes(text_column).alias("data"),
     )
     learned = rows.filter(~F.col("held_out"))
-    counts = written(count_words(learned, shape), "lm-words")
-    sums = counts.groupBy("class").agg(F.sum("n"), F.count("*")).collect()  # a row for each class
-    lexicon = Lexicon(
-        most_frequent(counts, shape.head), [tuple(r) for r in sums], learned.count(), shape
-    )
+    counts = written(count_words(learned), "lm-words")
+    # A row for each pair of last bytes.
+    sums = [tuple(r) for r in counts.groupBy("last").agg(F.sum("n"), F.count("*")).collect()]
+    n_texts = learned.count()
+    head = max(shape.head, shape.words(sum(x[1] for x in sums) + n_texts))
+    lexicon = Lexicon(most_frequent(counts, head), sums, n_texts, shape)
     shared = spark.sparkContext.broadcast(lexicon)
     encoded = encode(rows, shared, kind).withColumn("row", F.monotonically_increasing_id())
-    texts = written(encoded, "lm-texts")
-    model = spark.sparkContext.broadcast(train(texts.filter(~F.col("held_out")), shape))
+    # Texts that are not learned from are a part of their own.
+    fold = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("symbols"), shape.folds))
+    texts = written_by(encoded.withColumn("fold", fold.cast("int")), "lm-texts", "fold")
+    model, _ = train(texts.filter("fold >= 0"), lexicon.counts, shape, lexicon.kind)
+    model = spark.sparkContext.broadcast(model)
 
     other = texts.select("row", F.explode(F.arrays_zip("other", "times")).alias("x")).select(
         "row", F.col("x.other").alias("word"), F.col("x.times").alias("times")
@@ -279,8 +289,10 @@ def scores(
         (F.col("class_log") + F.col("other_log")).alias("word_log"), "symbols",
     )
 
+    symbol_kind = lexicon.kind
+
     def forward(batch: pa.RecordBatch) -> dict:
-        logs = hmm.log_likelihoods(model.value, sequences_of(batch.column(7))) / np.log(10)
+        logs = hmm.log_likelihoods(model.value, sequences_of(batch.column(7), symbol_kind)) / np.log(10)
         columns = {name: batch.column(k) for k, name in enumerate(batch.schema.names[:6])}
         return columns | {"score": pa.array(logs + batch.column(6).to_numpy())}
 

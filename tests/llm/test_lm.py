@@ -8,7 +8,7 @@ import pytest
 
 from reelstat.llm import hmm, lm
 
-SMALL = lm.Shape(states=3, words=40, classes=8, head=60, sample=50, sample_rounds=4, rounds=2)
+SMALL = lm.Shape(states=3, words_per_root=0.6, words_per_class=5, head=60, folds=3, passes=6)
 
 
 def table_of(frame, seed=1, n=120):
@@ -91,6 +91,38 @@ def test_a_round_over_partitions_equals_one_over_all_and_gains(spark, frame):
     assert better.log > whole.log - 1e-3
 
 
+def test_each_pass_over_partitions_gains(frame):
+    model, rng = models(5, 4, 30)
+    rows = []
+    for i in range(300):
+        state, own = 0, []
+        for _ in range(int(rng.integers(5, 40))):
+            state = rng.choice(4, p=0.8 * np.eye(4)[state] + 0.2 * model.move[state])
+            own.append(rng.choice(30, p=model.emit[:, state]))
+        rows.append((i % 3, bytearray(np.array(own, dtype=np.uint16).tobytes())))
+    texts = frame("fold int, symbols binary", rows, 4)
+    counts = np.bincount(np.concatenate([np.frombuffer(x, np.uint16) for _, x in rows]), minlength=30)
+    shape = lm.Shape(states=4, folds=3, passes=8, tolerance=0.0)
+    _, passes = lm.train(texts, counts.astype(float), shape)
+    # Smoothing is part of what is maximised, so the likelihood may fall by a trifle.
+    assert len(passes) >= 5
+    assert all(b > a - 1e-4 * abs(a) for a, b in zip(passes, passes[1:]))
+    assert passes[-1] > passes[0] + 0.002 * abs(passes[0])
+    _, again = lm.train(texts, counts.astype(float), lm.Shape(states=4, folds=3, passes=8, tolerance=0.5))
+    assert len(again) == 2
+
+
+def test_symbols_grow_with_the_corpus():
+    shape = lm.Shape()
+    assert [shape.words(x) for x in (0, 10_000, 100_000_000)] == [0, 100, 10_000]
+    words = np.arange(1, 90_001, dtype=np.uint64)
+    head = (words, np.arange(90_000) % 7, np.full(90_000, 100_000))
+    big = lm.Lexicon(head, [(k, 10**9, 20_000) for k in range(7)], 10, shape)
+    assert big.own == shape.words(7 * 10**9 + 10) and big.kind == np.uint32
+    small = lm.Lexicon(tuple(x[:50] for x in head), [(0, 4 * 10**6, 50)], 10, shape)
+    assert small.own == 50 and small.kind == np.uint16
+
+
 def test_edges(frame):
     rows = [(1, "a b"), (1, "a b"), (None, "A\u000bb"), (3, None), (4, ""), (5, "x" * 100_000 + " a")]
     table = frame("doc_id long, text string, score int", [(*r, 1) for r in rows])
@@ -109,7 +141,7 @@ def test_edges(frame):
 
 
 def test_the_head_is_bounded(frame):
-    counts = frame("word long, class int, n long", [(i, 0, 1 + i) for i in range(1000)])
+    counts = frame("word long, last int, n long", [(i, 0, 1 + i) for i in range(1000)])
     words, _, n = lm.most_frequent(counts, 100)
     assert 50 <= len(words) <= 100 and list(n) == sorted(n, reverse=True) and n[0] == 1000
     assert len(lm.most_frequent(counts.limit(0), 100)[0]) == 0
