@@ -13,6 +13,11 @@ from it varies less than one from k hashes' minima alone.
    verified against the members of other components. A pair of a bucket that is never compared lies
    in one component already, so buckets of any size give all components without all their pairs.
 
+Before a pair is verified its sizes must allow the similarity, and so must bounds of its overlap: two
+sets share no more than either has in common with any other set of a bucket, in all and in each of
+CELLS parts of the n-grams' hashes. These bounds lose no link. They are part of the join on buckets,
+so pairs of a large group that can't be linked are never written or shuffled.
+
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with
 nothing; a text with fewer than n words is one n-gram; rows with a null id link nothing, have a null
 component and are kept; rows with the same id share a component, whatever their texts; an empty table
@@ -30,9 +35,12 @@ from pyspark.sql import functions as F
 
 from reelstat.llm.common import BASE, map_arrow, mix, signed, text_bytes
 from reelstat.llm.components import components
-from reelstat.llm.jaccard import set_key, shingles_of
+from reelstat.llm.jaccard import needed, set_key, shingles_of
 from reelstat.session import removed, written
 
+#: Parts of the n-grams in which common ones are counted.
+CELLS = 32
+
 #: n-grams that are hashed together; their hashes stay in a core's cache.
 TOGETHER = 1 << 16
 
@@ -128,9 +136,53 @@ def whole_sets(
     return map_arrow(joined, rows, "key long, own array<long>").dropDuplicates(["key"])
 
 
-def _alike(percent: int) -> Column:
-    """Sizes n and m with which two sets can be similar enough."""
-    return 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+def profiles(sets: DataFrame) -> DataFrame:
+    """(key, n, shared, cells): how many n-grams each set has, how many of them another set has too,
+    and how many of these by their first bits."""
+    grams = sets.select("key", F.explode("own").alias("gram"))
+    # An n-gram of one set tells that set by itself, so no join is needed.
+    alone = grams.groupBy("gram").agg(F.count("*").alias("sets"), F.min("key").alias("key")).filter(
+        "sets = 1"
+    ).groupBy("key").agg(F.collect_list("gram").alias("alone"))
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        sizes, cells = [], []
+        for own, alone in zip(batch.column(1), batch.column(2)):
+            sizes.append(len(own))
+            cells.append(_parts(own.values) - (_parts(alone.values) if alone.is_valid else 0))
+        return {
+            "key": batch.column(0), "n": pa.array(sizes, pa.int64()),
+            "shared": pa.array([int(x.sum()) for x in cells], pa.int64()),
+            "cells": pa.array(cells, pa.list_(pa.int64())),
+        }
+
+    return map_arrow(
+        sets.join(alone, "key", "left").select("key", "own", "alone"), rows,
+        "key long, n long, shared long, cells array<long>",
+    )
+
+
+def _parts(grams: pa.Array) -> np.ndarray:
+    bits = np.uint64(64 - CELLS.bit_length() + 1)
+    return np.bincount(
+        (grams.to_numpy().view(np.uint64) >> bits).view(np.int64), minlength=CELLS
+    )
+
+
+def _possible(percent: int) -> Column:
+    """Whether the sets (n, shared, cells) and (m, also, parts) can be similar enough."""
+    least = needed(F.col("n"), F.col("m"), percent)
+    common = F.aggregate(
+        F.zip_with("cells", "parts", lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda a, b: a + b
+    )
+    return (
+        (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+        & (F.least("shared", "also") >= least) & (common >= least)
+    )
+
+
+def _other(table: DataFrame) -> DataFrame:
+    return table.withColumnsRenamed({"n": "m", "shared": "also", "cells": "parts"})
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -163,7 +215,7 @@ def near_duplicates(
     hubs = entries.groupBy("bucket").agg(
         F.min(F.struct("doc_id", "key", "n")).alias("hub"), F.count("*").alias("members")
     ).filter("members > 1").select(
-        "bucket", F.col("hub.key").alias("hub"), F.col("hub.n").alias("m")
+        "bucket", F.col("hub.key").alias("hub"), F.col("hub.n").alias("hub_n")
     )
     members = written(entries.join(hubs, "bucket"), "minmax-members")
     sets = written(
@@ -171,42 +223,44 @@ def near_duplicates(
                    id_column, text_column, n),
         "minmax-sets",
     )
+    profile = written(profiles(sets), "minmax-profiles")
 
     # Each member against the smallest document of its bucket.
-    first = written(
-        members.filter((F.col("key") != F.col("hub")) & _alike(percent))
-        .select(F.col("key").alias("x"), F.col("hub").alias("y")).distinct(),
-        "minmax-pairs",
+    alike = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
+    to_hub = members.filter((F.col("key") != F.col("hub")) & alike).select(
+        F.col("key").alias("x"), F.col("hub").alias("y")
+    ).distinct()
+    to_hub = to_hub.join(profile.withColumnRenamed("key", "x"), "x").join(
+        _other(profile).withColumnRenamed("key", "y"), "y"
     )
+    first = written(to_hub.filter(_possible(percent)).select("x", "y"), "minmax-pairs")
     links = written(_named(verified(first, sets, percent), names).unionAll(_same_id(rows, names)), "minmax-links")
     groups = written(components(links), "minmax-components")
 
     # Pairs that share a bucket but no component yet.
     component = F.coalesce("component", "doc_id").alias("component")
     placed = written(
-        members.join(groups, F.col("doc_id") == F.col("node"), "left")
-        .select("bucket", "key", "n", component),
+        members.join(groups, F.col("doc_id") == F.col("node"), "left").select("bucket", "key", component),
         "minmax-placed",
     )
     largest = placed.groupBy("bucket", "component").agg(F.count("*").alias("size")).groupBy("bucket").agg(
         F.max(F.struct("size", "component")).alias("most"), F.count("*").alias("parts")
     ).filter("parts > 1").select("bucket", F.col("most.component").alias("most"))
-    inside = placed.join(largest, "bucket")
-    outside = inside.filter(F.col("component") != F.col("most")).select(
-        "bucket", F.col("key").alias("other"), F.col("n").alias("m"),
-        F.col("component").alias("apart"),
+    inside = written(placed.join(largest, "bucket").join(profile, "key"), "minmax-open")
+    outside = _other(inside.filter(F.col("component") != F.col("most"))).select(
+        "bucket", F.col("key").alias("other"), F.col("component").alias("apart"), "m", "also", "parts",
     )
     # Two members outside the largest component meet twice; one of the rows is enough.
     once = (F.col("component") == F.col("most")) | (F.col("key") < F.col("other"))
     second = inside.join(outside, "bucket").filter(
-        (F.col("component") != F.col("apart")) & once & _alike(percent)
+        (F.col("component") != F.col("apart")) & once & _possible(percent)
     ).select(F.least("key", "other").alias("x"), F.greatest("key", "other").alias("y")).distinct()
     tried = first.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     second = written(second.join(tried, ["x", "y"], "left_anti"), "minmax-pairs")
     if not second.isEmpty():
         more = written(_named(verified(second, sets, percent), names), "minmax-links")
         groups = written(components(links.unionAll(more)), "minmax-components")
-    for table in (members, sets, first, second, placed):
+    for table in (members, sets, profile, first, placed, inside, second):
         removed(table)
 
     component = names.join(groups, F.col("rep") == F.col("node"), "left").select(
