@@ -258,6 +258,25 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     return out.withColumnsRenamed({f"__{name}": name for name in ADDED})
 
 
+def draws(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+    source_column: str = "source", lang_column: str = "lang", topic: Column | None = None, **options,
+) -> DataFrame:
+    """As ``mixed``, without the texts, which are read once: (id, source, lang, topic, n_tokens,
+    weight, probability, sampled)."""
+    slim = written(
+        docs.select(
+            F.col(id_column).alias(id_column), F.col(source_column).alias("source"),
+            F.col(lang_column).alias("lang"),
+            (topic if topic is not None else topic_of(text_column)).alias("topic"),
+            n_tokens(text_column).alias("n_tokens"),
+        ),
+        "mix-documents",
+    )
+    out = drawn(slim, id_column=id_column, topic=F.col("topic"), tokens=F.col("n_tokens"), **options)
+    return out.drop(*ADDED).withColumnsRenamed({f"__{name}": name for name in ADDED})
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The sampled documents, with the columns of ``docs``."""
     return drawn(docs, **options).filter("__sampled").select(*docs.columns)
@@ -267,7 +286,7 @@ def drawn(
     docs: DataFrame, targets: Mapping[str, DataFrame] | None = None, power: float = 0.7,
     id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
     lang_column: str = "lang", topic: Column | None = None, seed: str = "mix", rounds: int = 60,
-    budget: float | None = None,
+    budget: float | None = None, tokens: Column | None = None,
 ) -> DataFrame:
     """The documents with the added columns, whose names begin with two underscores.
 
@@ -278,7 +297,7 @@ def drawn(
     value = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(NONE))
     keyed = docs.withColumns({
         "__topic": F.coalesce(topic if topic is not None else topic_of(text_column), F.lit(NONE)),
-        "__n_tokens": n_tokens(text_column), "__source": value(source_column),
+        "__n_tokens": tokens if tokens is not None else n_tokens(text_column), "__source": value(source_column),
         "__lang": value(lang_column),
     })
     by = [F.col(f"__{name}").alias(name) for name in ("source", "lang", "topic")]

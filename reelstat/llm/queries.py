@@ -18,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the weight of its cell, its probability and the draw."""
-    out = mixing.mixed(table(spark, sf_dir, "documents"))
+    out = mixing.draws(table(spark, sf_dir, "documents"))
     return out.select(
         "doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"),
         F.round("probability", 6).alias("probability"), "sampled",

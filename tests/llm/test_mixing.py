@@ -134,3 +134,15 @@ def test_a_rare_cell_does_not_decide_how_much_the_pipeline_keeps(spark, docs):
     assert expected[0] == pytest.approx(corpus_pipeline.KEPT) and expected[1] == 1.0
     stage = dict(corpus_pipeline.STAGES)["mixing sources to target weights"]
     assert 0.5 < stage(spark, table, "").count() / 904 < 0.7
+
+
+def test_draws_equal_the_documents_with_their_texts(docs):
+    table = docs(*["one two three four"] * 30, *["mail me@x.org now"] * 6, None, "", "w " * 300_000)
+    table = table.withColumn("n_tokens", table.doc_id * 0)
+    names = ["doc_id", "source", "lang", *mixing.ADDED]
+    for options in ({}, {"power": 0.0}, {"budget": 0.5}):
+        whole = mixing.mixed(table, **options).select(*names).collect()
+        slim = mixing.draws(table, **options)
+        assert sorted(slim.columns) == sorted(names)
+        assert sorted(slim.select(*names).collect()) == sorted(whole)
+    assert mixing.draws(table.limit(0)).count() == 0
