@@ -205,10 +205,23 @@ def ingested(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
 def incremental_landing(spark, sf_dir):
     """The table after two runs, and rows appended by another writer."""
     table, _, _ = ingested(spark, sf_dir)
-    sinks.append_curated(testbed.curated(spark, sf_dir).filter(F.col("year") == 1997), table)
+    sinks.append_rows(testbed.curated(spark, sf_dir).filter(F.col("year") == 1997), table)
     return without_zone(spark.table(table))
 
 
+@query(CUR + "SELECT *, CAST(0 AS BIGINT) AS n_left FROM cur")
+def incremental_relanding(spark, sf_dir):
+    """Two drops under the same file names, the second of which lands when the first has been read
+    and deleted, and the files left after that."""
+    zone, checkpoint, table = fresh_dir(spark, "drop"), fresh_dir(spark, "progress"), f"{fresh_database(spark)}.curated"
+    docs = landed(spark, sf_dir)
+    for keep in [lambda video: ~since_of(video), since_of]:
+        testbed.land_as(docs.withColumn("videos", F.filter("videos", keep)), zone, 4)
+        ingest_landing(spark, zone, table, checkpoint, delete=True)
+    left = sources.landing_manifest(spark, zone).agg(F.count("*").alias("n_left"))
+    return without_zone(spark.table(table)).crossJoin(F.broadcast(left))
+
+
 @query("SELECT CAST(0 AS BIGINT) AS n_left, 2 * count(*) AS n_archived FROM customer")
 def incremental_cleanup(spark, sf_dir):
     """Documents that two runs leave in the landing zone, and those they put into the archive."""

@@ -1,5 +1,6 @@
 """Writers for documents, files and tables."""
 
+from reelstat.sinks.batches import append_rows
 from reelstat.sinks.files import write_csv, write_documents
 from reelstat.sinks.tables import (
     append_curated, append_table, create_curated, overwrite_partitions, reload_curated,
@@ -7,6 +8,6 @@ from reelstat.sinks.tables import (
 )
 
 __all__ = [
-    "append_curated", "append_table", "create_curated", "overwrite_partitions", "reload_curated",
+    "append_curated", "append_rows", "append_table", "create_curated", "overwrite_partitions", "reload_curated",
     "replace_table", "write_csv", "write_documents",
 ]

@@ -7,6 +7,8 @@ own format.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,53 +59,22 @@ def append_curated(curated: DataFrame, table: str) -> None:
     clustered(curated).write.insertInto(table)
 
 
-def add_files(rows: DataFrame, table: str, staged: str, mark: str) -> None:
-    """Adds rows to a Parquet table of the session catalog in files whose names begin with ``mark``.
-
-    The rows are written to the folder ``staged`` first. Files that an earlier attempt with the same
-    mark has added go before the new ones come, so the step can be repeated.
-    """
-    spark = rows.sparkSession
-    rows.write.mode("overwrite").partitionBy(*schemas.PARTITION_FIELDS).parquet(staged)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    source, target = path(staged), path(_location(spark, table))
-    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    source = system.makeQualified(source)
-    found, listing = [], system.listFiles(source, True)
-    while listing.hasNext():
-        file = listing.next().getPath()
-        if not file.getName().startswith(("_", ".")):
-            found.append(file)
-    folders = {}
-    for file in found:
-        relative = source.toUri().relativize(file.getParent().toUri()).getPath().strip("/")
-        folders.setdefault(relative, []).append(file)
-    for relative, files in folders.items():
-        folder = path(target, relative) if relative else target
-        system.mkdirs(folder)
-        for old in system.listStatus(folder):
-            if old.getPath().getName().startswith(mark):
-                system.delete(old.getPath(), False)
-        for number, file in enumerate(sorted(files, key=lambda x: x.getName())):
-            new = path(folder, f"{mark}-{number:05d}.parquet")
-            if not system.rename(file, new):
-                raise OSError(f"{file} could not be moved to {new}")
-    if found:
-        spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
-    delete_path(spark, staged)
-
-
 def overwrite_partitions(curated: DataFrame, table: str) -> None:
     """Replaces the partitions that occur in the rows and keeps the others."""
-    conf = curated.sparkSession.conf
-    before = conf.get(OVERWRITE_CONF)
-    # A writer option does not reach an insert into a session catalog table.
-    conf.set(OVERWRITE_CONF, "dynamic")
-    try:
+    with overwriting(curated.sparkSession, "dynamic"):
         clustered(curated).write.insertInto(table, overwrite=True)
+
+
+@contextmanager
+def overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """What an overwrite takes away: all partitions below the given ones, or those of the rows. A
+    writer option does not reach an insert into a session catalog table."""
+    before = spark.conf.get(OVERWRITE_CONF)
+    spark.conf.set(OVERWRITE_CONF, mode)
+    try:
+        yield
     finally:
-        conf.set(OVERWRITE_CONF, before)
+        spark.conf.set(OVERWRITE_CONF, before)
 
 
 def reload_curated(curated: DataFrame, table: str) -> None:

@@ -52,11 +52,11 @@ def of_channels(df: DataFrame, names: list[str], column: str = "channelName") ->
     return df.filter(F.col(column).isin(names))
 
 
-def landing_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and time of every landed file. File contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length", "modificationTime")
-    )
+def landing_manifest(
+    spark: SparkSession, path: str | list[str], with_uri: bool = False
+) -> DataFrame:
+    """Path, size and time of every landed file. File contents are not read. ``with_uri`` adds the
+    path as other readers give it in ``_metadata.file_path``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    columns = [*(F.col(x) for x in ("path", "length", "modificationTime"))]
+    return files.select(*columns, *([F.col("_metadata.file_path").alias("uri")] if with_uri else []))

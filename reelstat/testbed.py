@@ -103,6 +103,21 @@ def landing(spark: SparkSession, sf_dir: str, silent: bool = False) -> str:
     return _landed[key]
 
 
+def land_as(docs: DataFrame, zone: str, files: int) -> None:
+    """Lands documents under fixed names, as a job does that writes the same keys every day."""
+    spark = docs.sparkSession
+    staged = fresh_dir(spark, "staged")
+    docs.repartition(files, "channelName").write.option("ignoreNullFields", "false").json(staged)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(zone).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(zone))
+    written = sorted(str(x.getPath()) for x in system.listStatus(path(staged)) if "part-" in str(x.getPath()))
+    for number, name in enumerate(written):
+        target = path(f"{zone}/channels_{number}_raw_data.json")
+        system.delete(target, False)
+        system.rename(path(name), target)
+
+
 _stored: dict[tuple[str, str], str] = {}
 
 

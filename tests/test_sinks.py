@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from reelstat import schemas, sinks, sources, testbed
 from reelstat.plans import reports
-from reelstat.streaming import ingest_landing
+from reelstat.streaming import incremental, ingest_landing
 
 
 @pytest.fixture
@@ -246,13 +246,35 @@ def test_each_file_once(spark, zone):
     assert run(spark, zone).count() == 3
 
 
-def test_a_rewritten_path_is_not_read_again(spark, zone):
+def test_a_file_that_lands_again_is_read_again(spark, zone):
     land_file(zone["landing"], "1.json", "a", ["1"])
-    run(spark, zone)
-    land_file(zone["landing"], "1.json", "a", ["1", "2", "3"])
-    assert run(spark, zone).count() == 1
-    land_file(zone["landing"], "1b.json", "a", ["1", "2", "3"])
+    assert run(spark, zone, delete=True).count() == 1
+    land_file(zone["landing"], "1.json", "a", ["2", "3"])
+    rows = run(spark, zone, delete=True)
+    assert sorted(r.viewCount for r in rows.collect()) == [1, 2, 3]
+    assert not list(Path(zone["landing"]).rglob("*.json"))
+    land_file(zone["landing"], "1.json", "a", ["4"])
     assert run(spark, zone).count() == 4
+    assert run(spark, zone).count() == 4
+
+
+def test_a_change_that_length_and_time_do_not_tell(spark, zone):
+    land_file(zone["landing"], "1.json", "a", ["1"])
+    stat = os.stat(Path(zone["landing"], "1.json"))
+    run(spark, zone)
+    land_file(zone["landing"], "1.json", "a", ["2"])
+    os.utime(Path(zone["landing"], "1.json"), ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert sorted(r.viewCount for r in run(spark, zone).collect()) == [1, 2]
+    assert run(spark, zone, delete=True).count() == 2
+    assert not list(Path(zone["landing"]).rglob("*.json"))
+
+
+def test_names_with_signs_of_patterns_and_files_without_lines(spark, zone):
+    land_file(zone["landing"] + "/a b/{c}", "[1]*?.json", "a", ["1"])
+    Path(zone["landing"], "empty.json").write_text("")
+    assert run(spark, zone, archive=zone["archive"]).count() == 1
+    assert [p.name for p in Path(zone["landing"]).rglob("*.json")] == ["empty.json"]
+    assert sources.read_landing(spark, zone["archive"]).count() == 1
 
 
 def test_small_batches_give_the_same_rows(spark, zone):
@@ -267,27 +289,60 @@ def test_committed_files_move_to_the_archive(spark, zone):
         land_file(zone["landing"], f"{i}.json", "a", ["1"])
         rows = run(spark, zone, archive=zone["archive"])
     assert rows.count() == 3
-    assert sorted(p.name for p in Path(zone["archive"]).rglob("*.json")) == ["0.json", "1.json", "2.json"]
+    docs = sources.read_landing(spark, zone["archive"], schemas.landing(["channelName"], []))
+    assert docs.count() == 3
     assert not list(Path(zone["landing"]).rglob("*.json"))
 
 
-def test_nested_files_keep_their_place_in_the_archive(spark, zone):
-    land_file(zone["landing"] + "/a b/c", "1.json", "a", ["1"])
-    run(spark, zone, archive=zone["archive"])
-    assert Path(zone["archive"], "a b", "c", "1.json").exists()
-
-
-def test_a_repeated_batch_replaces_what_it_had_added(spark, zone):
+def test_a_batch_that_failed_before_its_commit_is_replaced(spark, zone, monkeypatch):
     land_file(zone["landing"], "1.json", "a", ["1", "2"])
     land_file(zone["landing"], "2.json", "b", [None])
     assert run(spark, zone).count() == 3
-    sinks.append_curated(spark.table(zone["table"]).filter("channelName = 'a'"), zone["table"])
+    sinks.append_rows(spark.table(zone["table"]).filter("channelName = 'a'"), zone["table"])
+    assert spark.table(zone["table"]).count() == 5
+    land_file(zone["landing"], "3.json", "c", ["7"])
+
+    written = incremental.overwrite_batch
+
+    def fail(*args):
+        written(*args)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "overwrite_batch", fail)
+        with pytest.raises(OSError):
+            run(spark, zone)
+    # Written, but not seen; and the next attempt has other months.
     assert spark.table(zone["table"]).count() == 5
-    for kind in ("commits", "offsets"):  # as if the run had died before its commit
-        for file in Path(zone["checkpoint"], kind).glob("*0*"):
-            if kind == "commits":
-                file.unlink()
-    assert run(spark, zone).count() == 5
+    assert spark.table(zone["table"] + "_batches").count() == 6
+    doc = {"channelName": "c", "subscribers": "1", "totalVideos": "1", "videos": [
+        {"title": "t", "publishedAt": "2023-05-02T03:04:05Z", "viewCount": "8"}]}
+    Path(zone["landing"], "3.json").write_text(json.dumps(doc) + "\n")
+    rows = run(spark, zone)
+    assert rows.count() == 6 and spark.table(zone["table"] + "_batches").count() == 6
+    assert [r.viewCount for r in rows.filter("channelName = 'c'").collect()] == [8]
+
+
+def test_files_that_change_while_they_are_read(spark, zone, monkeypatch):
+    land_file(zone["landing"], "1.json", "a", ["1"])
+    original, calls = incremental._checksums, []
+
+    def change(session, paths):
+        if not calls:
+            land_file(zone["landing"], "1.json", "a", ["1", "2"])
+        calls.append(paths)
+        return original(session, paths)
+
+    monkeypatch.setattr(incremental, "_checksums", change)
+    assert sorted(r.viewCount for r in run(spark, zone).collect()) == [1, 2]
+    monkeypatch.undo()
+    assert run(spark, zone).count() == 2
+
+
+def test_a_table_is_not_taken_for_a_view(spark, zone):
+    sinks.create_curated(spark, zone["table"])
+    with pytest.raises(ValueError):
+        run(spark, zone)
 
 
 def test_rows_without_a_date_are_added(spark, zone):
