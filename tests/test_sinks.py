@@ -258,7 +258,8 @@ def test_a_file_that_lands_again_is_read_again(spark, zone):
     assert run(spark, zone).count() == 4
 
 
-def test_a_change_that_length_and_time_do_not_tell(spark, zone):
+def test_a_change_that_length_and_time_do_not_tell(spark, zone, monkeypatch):
+    monkeypatch.setattr(incremental, "TICK", 600_000)
     land_file(zone["landing"], "1.json", "a", ["1"])
     stat = os.stat(Path(zone["landing"], "1.json"))
     run(spark, zone)
