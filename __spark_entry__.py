@@ -11,7 +11,7 @@ from collections.abc import Callable
 from datetime import datetime
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,12 +24,13 @@ from reelstat.functions import (
 )
 from reelstat.operators import assemble_documents as assemble_documents_of
 from reelstat.operators import (
-    chunk_ids, expand_nested, explode_videos, flatten_pages, positions,
+    chunk_ids, expand_nested, explode_videos, flatten_chain, flatten_pages, positions,
 )
-from reelstat.plans import explore, reports
+from reelstat.plans import explore, reports, states
 from reelstat.plans.curate import curate
+from reelstat.plans.rules import Rule, visible
 from reelstat.session import fresh_database, fresh_dir, written
-from reelstat.streaming import ingest_landing
+from reelstat.streaming import committed, ingest_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,6 +223,93 @@ def incremental_relanding(spark, sf_dir):
     return without_zone(spark.table(table)).crossJoin(F.broadcast(left))
 
 
+BY_CHANNEL = """
+SELECT c_name AS "channelName", CAST(trunc(c_acctbal) AS INTEGER) AS subscribers, count(o_orderkey) AS n
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name, c_acctbal
+"""
+
+
+@query(f"""
+SELECT 'document' AS reason, count(*) AS n, CAST(sum(n) AS BIGINT) AS n_videos
+FROM ({BY_CHANNEL}) WHERE subscribers % 10 NOT IN (3, 5, 7) OR subscribers < 0
+UNION ALL SELECT CASE subscribers % 10 WHEN 3 THEN 'malformed' WHEN 5 THEN 'no channel name'
+                 ELSE 'wrong type' END, count(*), 0
+FROM ({BY_CHANNEL}) WHERE subscribers % 10 IN (3, 5, 7) AND subscribers >= 0 GROUP BY 1
+""")
+def quarantine_lines(spark, sf_dir):
+    """Landed lines, many of which are cut off, have a wrong type or no name, through ingestion: the
+    documents, and the others by what is wrong with them."""
+    zone, checkpoint, bad = (fresh_dir(spark, name) for name in ["drop", "progress", "quarantine"])
+    table = f"{fresh_database(spark)}.curated"
+    last = F.col("subscribers").cast("int") % 10
+    docs = landed(spark, sf_dir, schemas.landing(["channelName", "subscribers", "totalVideos"]))
+    docs = docs.withColumn("channelName", F.when(last == 5, None).otherwise(F.col("channelName")))
+    line = F.to_json(F.struct(*docs.columns))
+    broken = F.when(last == 3, F.expr("left(line, length(line) - 2)")).when(
+        last == 7, F.regexp_replace("line", '"videos":.*', '"videos":7}')
+    ).otherwise(F.col("line"))
+    docs.withColumn("line", line).select(broken.alias("value")).write.text(zone)
+    ingest_landing(spark, zone, table, checkpoint, delete=True, quarantine=bad)
+    good = documents_of_channels(spark, sf_dir, last).join(
+        spark.table(table).groupBy("channelName").agg(F.count("*").alias("n")), "channelName", "left"
+    )
+    reasons = spark.read.parquet(bad).groupBy("reason").agg(
+        F.count("*").alias("n"), F.lit(0).cast("bigint").alias("n_videos")
+    )
+    return good.agg(F.lit("document").alias("reason"), F.count("*").alias("n"), F.sum("n").alias("n_videos")).unionByName(reasons)
+
+
+def documents_of_channels(spark: SparkSession, sf_dir: str, last: Column) -> DataFrame:
+    """Names of the channels whose landed lines are right."""
+    docs = landed(spark, sf_dir, schemas.landing(["channelName", "subscribers"], []))
+    return docs.filter(~last.isin(3, 5, 7)).select("channelName").distinct()
+
+
+@query("""
+SELECT c_name AS "channelName", n_name AS country, count(o_orderkey) AS n_videos
+FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN orders ON c_custkey = o_custkey
+GROUP BY c_custkey, c_name, n_name
+UNION ALL SELECT c_name, NULL, count(o_orderkey)
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name
+""")
+def unknown_fields(spark, sf_dir):
+    """Two drops, the second with a field that the schema does not name."""
+    zone = fresh_dir(spark, "drop")
+    docs = testbed.documents(spark, sf_dir)
+    sinks.write_documents(docs, zone)
+    customers, nations = (testbed.table(spark, sf_dir, name) for name in ["customer", "nation"])
+    named = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    country = named.select(F.col("c_name").alias("channelName"), F.struct(F.col("n_name").alias("name")).alias("country"))
+    sinks.write_documents(docs.join(country, "channelName"), zone)
+    read = sources.landing_with_rest(spark, zone, schemas.landing(["channelName"], ["videoId"]))
+    place = F.try_variant_get("rest", "$.country.name", "string")
+    return read.groupBy("channelName", place.alias("country")).agg(F.sum(F.size("videos")).alias("n_videos"))
+
+
+@query("""
+SELECT c_name AS "channelName",
+       CASE WHEN c_custkey % 3 = 0 THEN 'third' WHEN c_custkey % 2 = 0 THEN 'second' ELSE 'first' END AS landing,
+       count(o_orderkey) AS n_videos, CAST(0 AS BIGINT) AS n_stale
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name
+""")
+def document_versions(spark, sf_dir):
+    """Three landings under the channels' names, compacted, and the documents out of date after that."""
+    path, schema = fresh_dir(spark, "versions"), schemas.landing(["channelName", "playlistId"], ["videoId"])
+    docs = testbed.documents(spark, sf_dir)
+    number = F.substring("channelName", 10, 9).cast("int")
+    for version, (name, kept) in enumerate([("first", F.lit(True)), ("second", number % 2 == 0), ("third", number % 3 == 0)]):
+        videos = F.transform("videos", lambda v: F.struct(v["videoId"].alias("videoId")))
+        chosen = docs.filter(kept).select("channelName", F.lit(name).alias("playlistId"), videos.alias("videos"))
+        sinks.land_version(chosen, path, "channelName", version)
+    sinks.compact_versions(spark, path, schema, "channelName")
+    rows = spark.read.parquet(path).select("channelName", "version").distinct().groupBy("channelName").agg(
+        F.count("*") - 1).toDF("channelName", "n_stale")
+    current = sinks.current_documents(spark, path, schema, "channelName")
+    return current.groupBy("channelName", F.col("playlistId").alias("landing")).agg(
+        F.sum(F.size("videos")).alias("n_videos")
+    ).join(rows, "channelName")
+
+
 @query("SELECT CAST(0 AS BIGINT) AS n_left, 2 * count(*) AS n_archived FROM customer")
 def incremental_cleanup(spark, sf_dir):
     """Documents that two runs leave in the landing zone, and those they put into the archive."""
@@ -315,6 +403,14 @@ def report_tables(spark, sf_dir):
     sinks.create_curated(spark, f"{database}.curated")
     sinks.append_curated(testbed.curated(spark, sf_dir), f"{database}.curated")
     names = reports.write_reports(spark.table(f"{database}.curated"), f"{database}.")
+    return side_by_side(spark, names)
+
+
+REPORT_NAMES = ["channel_subscribers", "video_count", "video_trend", "most_viewed_videos"]
+
+
+def side_by_side(spark: SparkSession, names: dict[str, str]) -> DataFrame:
+    """The four report tables, by channel."""
     count = F.col("monthlyVideosPublished")
     trend = spark.table(names["video_trend"]).groupBy("channelName").agg(
         F.count("*").alias("n_months"), F.sum(count).alias("n_in_months"),
@@ -331,6 +427,67 @@ def report_tables(spark, sf_dir):
     )
 
 
+def by_year(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
+    """Three landings by years, each ingested and the reports brought up to date after it. Returns
+    the table, the prefix of the reports and the last batch."""
+    database, zone, checkpoint = fresh_database(spark), fresh_dir(spark, "drop"), fresh_dir(spark, "progress")
+    table, prefix = f"{database}.curated", f"{database}.kept_"
+    docs, last = landed(spark, sf_dir), -1
+    year = lambda v: F.substring(v["publishedAt"], 1, 4).cast("int")
+    for low, high in [(0, 1996), (1997, 1999), (2000, 9999)]:
+        part = F.filter("videos", lambda v: year(v).between(low, high))  # noqa: B023
+        sinks.write_documents(docs.withColumn("videos", part), zone)
+        ingest_landing(spark, zone, table, checkpoint, delete=True)
+        last = committed(spark, checkpoint)
+        states.update_reports(spark, table, last, prefix)
+    return table, prefix, last
+
+
+@query(_ORACLES["report_tables"])
+def reports_by_batch(spark, sf_dir):
+    """The report tables after three batches, from states that take up one batch at a time."""
+    _, prefix, _ = by_year(spark, sf_dir)
+    return side_by_side(spark, {name: f"{prefix}{name}" for name in REPORT_NAMES})
+
+
+@query(CUR + """
+SELECT field, value, n FROM (
+  SELECT 'channelName' AS field, "channelName" AS value, count(*) AS n FROM cur
+  WHERE starts_with("channelName", 'Customer#0000001') GROUP BY 2
+  UNION ALL SELECT 'video_title', video_title, count(*) FROM cur GROUP BY 2
+)
+""")
+def filter_dictionary(spark, sf_dir):
+    """Values to choose from, out of a table that takes up batch after batch."""
+    table, prefix, last = by_year(spark, sf_dir)
+    state = states.values_of("channelName", "video_title")
+    for until in range(last + 1):
+        name = states.advance(spark, state, table, until, prefix)
+    return states.choices(spark.table(name), "channelName", explore.FILTER_SEARCH_ROWS, "Customer#0000001").select(
+        F.lit("channelName").alias("field"), "value", "n"
+    ).unionAll(states.choices(spark.table(name), "video_title", explore.FILTER_ROWS).select(
+        F.lit("video_title").alias("field"), "value", "n"))
+
+
+@query(CUR + """
+SELECT "year", "month", count(*) AS n, max("viewCount") AS "maxViews", CAST(1 AS BIGINT) AS n_files
+FROM cur GROUP BY 1, 2
+""")
+def compact_small_files(spark, sf_dir):
+    """Ten appends, one for each last digit of the day, and then one file a month."""
+    table = f"{fresh_database(spark)}.curated"
+    rows = testbed.curated(spark, sf_dir)
+    sinks.create_curated(spark, table)
+    for day in range(10):
+        sinks.append_curated(rows.filter(F.dayofmonth("publishedAt") % 10 == day), table)
+    sinks.compact_table(spark, table)
+    meta = F.col("_metadata.file_path")
+    return spark.table(table).withColumn("file", meta).groupBy("year", "month").agg(
+        F.count("*").alias("n"), F.max("viewCount").alias("maxViews"),
+        F.count_distinct("file").alias("n_files"),
+    )
+
+
 @query(CUR + 'SELECT "year", count(*) AS n FROM cur GROUP BY 1')
 def sink_truncate_reload(spark, sf_dir):
     table = f"{fresh_database(spark)}.curated"
@@ -699,6 +856,26 @@ def flatten_id_pages(spark, sf_dir):
     return flatten_pages(pages, "channelName", "page", "items")
 
 
+@query("""
+SELECT o_orderpriority AS "channelName", CAST(o_orderkey AS VARCHAR) AS "videoId",
+       row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS position
+FROM orders
+""")
+def flatten_token_chain(spark, sf_dir):
+    """The same ids out of responses that have no page number, only tokens."""
+    item = F.struct(F.struct(F.col("o_orderkey").cast("string").alias("videoId")).alias("contentDetails"))
+    pages = order_pages(spark, sf_dir, item)
+    token = lambda page: F.md5(F.concat_ws("-", "channelName", page.cast("string")))
+    own = Window.partitionBy("channelName").orderBy("page")
+    after, before = F.lead("page").over(own), F.lag("page").over(own)
+    responses = pages.withColumns({"after": after, "before": before}).select(
+        "channelName", F.when(F.col("before").isNotNull(), token(F.col("page"))).alias("pageToken"),
+        response(F.col("items"), nextPageToken=F.when(F.col("after").isNotNull(), token(F.col("after")))),
+    )
+    listed = sources.ids_from_playlist_pages(responses, with_token=True)
+    return flatten_chain(listed, "channelName", "pageToken", "nextPageToken", "videoIds")
+
+
 @query("""
 SELECT o_orderpriority AS "channelName", CAST(o_orderkey AS VARCHAR) AS "videoId",
        row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS position
@@ -982,6 +1159,29 @@ def row_level_filter(spark, sf_dir):
     return explore.row_level_filter(customers, rules, "ASIA", {"c_nationkey": "nation"})
 
 
+@query("""
+SELECT role, c_custkey, c_nationkey, c_mktsegment FROM customer, (VALUES ('clerk'), ('buyer'), ('admin')) r(role)
+WHERE (role = 'admin' OR c_acctbal > 0)
+  AND (role <> 'clerk' OR ((c_nationkey < 5 OR c_mktsegment = 'BUILDING') AND c_custkey % 2 = 0))
+  AND (role <> 'buyer' OR c_mktsegment IN ('BUILDING', 'MACHINERY'))
+""")
+def row_level_rules(spark, sf_dir):
+    """Rules on several columns, as three roles see the customers."""
+    rows = testbed.table(spark, sf_dir, "customer")
+    rules = [
+        Rule("c_acctbal > 0", frozenset({"admin"}), base=True),
+        Rule("c_nationkey < 5", frozenset({"clerk"}), group="where"),
+        Rule("c_mktsegment = 'BUILDING'", frozenset({"clerk"}), group="where"),
+        Rule("c_custkey % 2 = 0", frozenset({"clerk"}), group="which"),
+        Rule("c_mktsegment IN ('BUILDING', 'MACHINERY')", frozenset({"buyer"})),
+    ]
+    seen = None
+    for role in ["clerk", "buyer", "admin"]:
+        own = visible(rows, rules, [role]).select(F.lit(role).alias("role"), "c_custkey", "c_nationkey", "c_mktsegment")
+        seen = own if seen is None else seen.unionAll(own)
+    return seen
+
+
 @query("""
 SELECT c_name AS "channelName", CAST(o_orderkey AS VARCHAR) AS "videos_videoId",
        o_orderpriority AS videos_title

@@ -61,6 +61,7 @@ def _parser() -> argparse.ArgumentParser:
     cleaning = job.add_mutually_exclusive_group()
     cleaning.add_argument("--archive")
     cleaning.add_argument("--delete", action="store_true")
+    job.add_argument("--quarantine", help="folder for lines that are no documents")
     job.add_argument("--wide", action="store_true")
     return parser
 

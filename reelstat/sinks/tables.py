@@ -112,19 +112,19 @@ def replace_table(df: DataFrame, table: str) -> None:
     if not spark.catalog.tableExists(table):
         df.write.format("parquet").saveAsTable(table)
         return
-    old = _location(spark, table)
+    old = location_of(spark, table)
     new = f"{old.rpartition('/')[0]}/{table.rpartition('.')[2]}-{uuid.uuid4().hex}"
     try:
         df.write.parquet(new)
         _switch(spark, df, table, new)
     except Exception:
-        if _location(spark, table) != new:
+        if location_of(spark, table) != new:
             delete_path(spark, new)
         raise
     delete_path(spark, old)
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def location_of(spark: SparkSession, table: str) -> str:
     rows = spark.sql("DESCRIBE EXTENDED IDENTIFIER(:name)", args={"name": table}).collect()
     return next(r["data_type"] for r in rows if r["col_name"] == "Location").rstrip("/")
 

@@ -35,13 +35,17 @@ def channels_from_responses(df: DataFrame, response: str = "response") -> DataFr
     )
 
 
-def ids_from_playlist_pages(df: DataFrame, response: str = "response") -> DataFrame:
-    """The ids each page lists, in page order, and whether another page follows."""
+def ids_from_playlist_pages(
+    df: DataFrame, response: str = "response", with_token: bool = False
+) -> DataFrame:
+    """The ids each page lists, in page order, and whether another page follows; ``with_token`` adds
+    the token of that page."""
     parsed, kept = _parsed(df, response, schemas.PLAYLIST_RESPONSE)
     return parsed.select(
         *kept,
         F.col("_response.items.contentDetails.videoId").alias("videoIds"),
         F.col("_response.nextPageToken").isNotNull().alias("hasNext"),
+        *([F.col("_response.nextPageToken").alias("nextPageToken")] if with_token else []),
     )
 
 

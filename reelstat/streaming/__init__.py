@@ -1,5 +1,5 @@
 """Incremental ingestion."""
 
-from reelstat.streaming.incremental import ingest_landing
+from reelstat.streaming.incremental import committed, ingest_landing
 
-__all__ = ["ingest_landing"]
+__all__ = ["committed", "ingest_landing"]

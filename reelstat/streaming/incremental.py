@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reelstat import schemas
 from reelstat.plans.curate import curate
 from reelstat.sinks.batches import create_batches, overwrite_batch, show_batches
+from reelstat.sources.checked import checked_landing, documents_of, quarantined
 from reelstat.sources.landing import landing_manifest, read_landing
 
 #: What tells a version of a landed file.
@@ -33,6 +34,7 @@ def ingest_landing(
     delete: bool = False,
     files_per_batch: int = 100_000,
     wide: bool = False,
+    quarantine: str | None = None,
 ) -> int:
     """Curates the files that landed since the last run; returns how many batches that took.
 
@@ -44,7 +46,8 @@ def ingest_landing(
     The log tells files by path, length, time and, where the time may be too coarse, checksum: a file
     that lands again under its old name is read again. With ``archive``, the documents of each batch
     are copied there; with it or with ``delete``, the files that the log holds leave the landing zone,
-    but not those that have changed since. Files without a byte are no versions and stay.
+    but not those that have changed since. With ``quarantine``, lines that are no documents go there
+    with their file and what is wrong with them, batch by batch as well. Files without a byte are no versions and stay.
     """
     if archive and f"{archive.rstrip('/')}/".startswith(f"{landing.rstrip('/')}/"):
         raise ValueError("the archive would be read as part of the landing zone")
@@ -54,7 +57,7 @@ def ingest_landing(
     number = first = _last_batch(spark, log) + 1
     show_batches(spark, table, number - 1)
     while files := _unread(spark, landing, log).orderBy("modified", "path").limit(files_per_batch).collect():
-        read = _batch(spark, files, table, number, archive, wide)
+        read = _batch(spark, files, table, number, archive, wide, quarantine)
         # One file, so the batch is in the log at once or not at all.
         read.coalesce(1).write.mode("overwrite").parquet(f"{log}/batch={number}")
         show_batches(spark, table, number)
@@ -69,6 +72,11 @@ def file_log(spark: SparkSession, log: str) -> DataFrame:
     return spark.read.schema(f"{LOG_SCHEMA}, batch BIGINT").parquet(log)
 
 
+def committed(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch that is committed, -1 before the first."""
+    return _last_batch(spark, f"{checkpoint.rstrip('/')}/log")
+
+
 def _last_batch(spark: SparkSession, log: str) -> int:
     last = file_log(spark, log).agg(F.max("batch")).first()[0]
     return -1 if last is None else last
@@ -113,7 +121,8 @@ def _checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _batch(
-    spark: SparkSession, files: list, table: str, number: int, archive: str | None, wide: bool
+    spark: SparkSession, files: list, table: str, number: int, archive: str | None, wide: bool,
+    quarantine: str | None,
 ) -> DataFrame:
     """Writes the rows of the files, and returns what the log is to hold of them."""
     paths = [row["path"] for row in files]
@@ -121,7 +130,13 @@ def _batch(
     for _ in range(ATTEMPTS):
         wanted = {tuple(row[name] for name in IDENTITY) for row in files}
         read_at = int(time.time() * 1000)
-        docs = read_landing(spark, plain, schemas.landing_for_curate())
+        if quarantine:
+            lines = checked_landing(spark, plain, schemas.landing_for_curate())
+            bad = quarantined(lines)
+            bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch={number}")
+            docs = documents_of(lines)
+        else:
+            docs = read_landing(spark, plain, schemas.landing_for_curate())
         overwrite_batch(curate(docs, wide), table, number)
         if archive:
             spark.read.text(plain).write.mode("overwrite").text(f"{archive.rstrip('/')}/batch={number}")
