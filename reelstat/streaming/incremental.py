@@ -62,6 +62,8 @@ def ingest_landing(
         read.coalesce(1).write.mode("overwrite").parquet(f"{log}/batch={number}")
         show_batches(spark, table, number)
         number += 1
+        if len(files) < files_per_batch:
+            break
     if archive or delete:
         _delete_read(spark, landing, log)
     return number - first
