@@ -10,11 +10,15 @@ that all documents agree on. That is used twice:
    prefix. Candidates meet in the buckets of these n-grams, pass length, positional and suffix
    filters, and are verified once a pair on their whole sets.
 
-Equal sets form one class from the start. Links are found in two steps, neither of which makes all
-pairs of a group: first every member of a bucket is compared with the bucket's most connected set;
+Equal sets form one class from the start. Components are found in two steps, neither of which makes
+all pairs of a group: first every member of a bucket is compared with the bucket's most connected set;
 then, in buckets that still hold several components, members outside the largest one are compared
 with members of other components. A pair that is never compared lies within one component already.
 
+All links lie within the components, so the join itself is done there: the sets of a component are
+dealt into blocks of bounded size, and each pair of blocks meets in one task, which counts the common
+n-grams of all its pairs by matrix products. A task gives the links of its sets, as sums or as pairs.
+
 Defined results: null and empty texts, and texts without words, have an empty set and are linked
 with nothing; a text with fewer than n words is one n-gram; rows with a null id have a null component
 and link nothing; rows with the same id and text are one document, and rows with the same id but
@@ -31,7 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reelstat.llm.common import forget, map_arrow, mix, signed, text_bytes, windows_of, words_of
+from reelstat.llm.blocks import linked_in_blocks
 from reelstat.llm.components import components
+from reelstat.operators.joins import match
 from reelstat.session import written
 
 #: How many times the longest prefix is counted first. Texts of which more than this share is found
@@ -204,11 +210,40 @@ def _named(links: DataFrame, classes: DataFrame) -> DataFrame:
 
 def jaccard_components(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", n: int = 4,
-    percent: int = 85,
+    percent: int = 85, links: bool = False,
 ) -> DataFrame:
     """One row for each row of ``docs``: (id, n_shingles, component_id), where the component is the
-    smallest id that links of at least ``percent`` / 100 similarity reach."""
+    smallest id that links of at least ``percent`` / 100 similarity reach. With ``links`` also
+    n_links: how many other documents have a link with it."""
+    return _joined(docs, id_column, text_column, n, percent, "counts" if links else None)
+
+
+def jaccard_links(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", n: int = 4,
+    percent: int = 85,
+) -> DataFrame:
+    """All links between different sets, once each: (a, b, common), with the smallest ids that have
+    these sets and the n-grams they share. Documents with equal sets are told by ``jaccard_classes``."""
+    return _joined(docs, id_column, text_column, n, percent, "pairs")
+
+
+def jaccard_classes(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", n: int = 4,
+    percent: int = 85,
+) -> DataFrame:
+    """(id, class_id) of the rows with a set: the smallest id that has the same one."""
+    found = sketches(docs, id_column, text_column, n, percent).filter("key IS NOT NULL")
+    smallest = found.groupBy("key").agg(F.min("doc_id").alias("class_id"))
+    return match(found.select("doc_id", "key"), smallest, ["key"]).select(
+        F.col("doc_id").alias(id_column), "class_id"
+    )
+
+
+def _joined(
+    docs: DataFrame, id_column: str, text_column: str, n: int, percent: int, links: str | None
+) -> DataFrame:
     spark = docs.sparkSession
+    wanted_links = links
     found = written(sketches(docs, id_column, text_column, n, percent), "jaccard-sketches")
     rows = written(found.select("doc_id", "n", "key"), "jaccard-rows")
     named = found.filter("doc_id IS NOT NULL AND key IS NOT NULL")
@@ -268,6 +303,18 @@ def jaccard_components(
         more = written(_named(_verified(second, sets, percent), slim), "jaccard-links")
         groups = written(components(links.unionAll(more)), "jaccard-components")
 
+    copies = rows.filter("doc_id IS NOT NULL AND key IS NOT NULL").distinct().groupBy("key").agg(
+        F.count("*").alias("copies")
+    )
+    if wanted_links:
+        together = sets.join(groups, F.col("doc_id") == F.col("node")).join(copies, "key").select(
+            "component", "key", "doc_id", "n", "own", "copies"
+        )
+        together = written(together, "jaccard-together")
+        found_links = linked_in_blocks(together, percent, pairs=wanted_links == "pairs")
+        if wanted_links == "pairs":
+            return found_links
+        found_links = written(found_links, "jaccard-counts")
     forget(spark, sets, prefix, members, first, second)
     component = names.join(
         groups, F.col("rep") == F.col("node"), "left"
@@ -275,9 +322,15 @@ def jaccard_components(
     out = rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
     out = out.join(component, "key", "left")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select(
-        F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), own.alias("component_id")
-    )
+    columns = [F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), own.alias("component_id")]
+    if wanted_links:
+        # Other documents with the same set, and all with a linked one.
+        counts = copies.join(found_links, "key", "left").select(
+            "key", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+        )
+        out = out.join(counts, "key", "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select(*columns)
 
 
 def drop_near_duplicates(

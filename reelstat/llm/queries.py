@@ -72,7 +72,7 @@ def op9_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, percent=85, links=True)
 
 
 def op11_min_max_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,8 +160,10 @@ links AS (
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 smallest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
 SELECT doc_id, n_shingles, component_id{more} FROM (
-  SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+  SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
+         coalesce(n, 0) AS n_links
   FROM sets LEFT JOIN smallest ON doc_id = a
+  LEFT JOIN (SELECT a AS linked, count(*) AS n FROM links GROUP BY a) ON doc_id = linked
 )
 """
 
@@ -184,5 +186,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": _rake_sql(),
+    "op10_ngram_jaccard_join": _links_sql(4, 85, ", n_links"),
     "op11_min_max_near_duplicates": _links_sql(5, 85, ", component_id = doc_id AS kept"),
 }

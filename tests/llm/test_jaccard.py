@@ -1,8 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from reelstat.llm import jaccard
+from reelstat.llm import blocks, jaccard
 from reelstat.llm.components import components
 
 
@@ -48,6 +49,43 @@ def variants(seed, groups, copies, length):
     return dict(enumerate(texts))
 
 
+def all_links(texts, n, percent):
+    """{(smaller id, larger id)} by comparing all pairs."""
+    sets = {}
+    for i, text in texts.items():
+        words = "".join(c.lower() if c.isascii() else c for c in text or "").split()
+        sets[i] = {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} or ({tuple(words)} - {()})
+    return {
+        (i, j): len(sets[i] & sets[j]) for i in texts for j in texts
+        if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])
+    }
+
+
+@pytest.mark.parametrize("block", [1 << 18, 300, 50])
+def test_all_links_equal_brute_force(frame, monkeypatch, block):
+    monkeypatch.setattr(blocks, "BLOCK", block)
+    monkeypatch.setattr(blocks, "ROWS", 7)
+    monkeypatch.setattr(blocks, "COLUMNS", 64)
+    texts = variants(3, 12, 25, (20, 90))
+    table = frame("doc_id long, text string", list(texts.items()))
+    table = table.withColumns({"n_links": F.lit("own"), "n_shingles": F.lit("x"), "component_id": F.lit(0)})
+    wanted = all_links(texts, 4, 80)
+    counts = {r[0]: r["n_links"] for r in jaccard.jaccard_components(table, percent=80, links=True).collect()}
+    assert counts == {i: sum(i in pair for pair in wanted) for i in texts}
+    if block == 50:
+        classes = {r[0]: r[1] for r in jaccard.jaccard_classes(table, percent=80).collect()}
+        found = {(r["a"], r["b"]): r["common"] for r in jaccard.jaccard_links(table, percent=80).collect()}
+        assert found == {k: v for k, v in wanted.items() if classes[k[0]] == k[0] and classes[k[1]] == k[1] and classes[k[0]] != classes[k[1]]}
+        assert all(classes[i] == classes[j] or tuple(sorted((classes[i], classes[j]))) in found for i, j in wanted)
+
+
+def test_links_of_a_very_long_text(frame):
+    long_text = " ".join(f"v{i % 9000}x{i % 7}" for i in range(40_000))
+    rows = [(0, long_text), (1, long_text + " more words"), (2, "v1x1 v2x2 v3x3 v4x4"), (None, long_text), (3, None)]
+    found = jaccard.jaccard_components(frame("doc_id long, text string", rows), links=True).collect()
+    assert {r[0]: (r[2], r["n_links"]) for r in found} == {0: (0, 1), 1: (0, 1), 2: (2, 0), None: (None, 0), 3: (3, 0)}
+
+
 @pytest.mark.parametrize(
     ("n", "percent", "length"), [(4, 85, (3, 60)), (5, 80, (20, 200)), (1, 60, (4, 30))]
 )
