@@ -41,6 +41,9 @@ PUNCTUATION = bytes(
 )
 _FILTER_BITS = 22
 
+#: Hits of a mask in a text that are listed one by one, and cells of texts that are compared at once.
+HITS, CELLS = 1 << 18, 1 << 20
+
 
 @dataclass(frozen=True)
 class Overlap:
@@ -115,7 +118,8 @@ class Index:
 
     def diagonals(self, tokens: np.ndarray) -> np.ndarray:
         """The distinct (item, offset) on which the text shares a seed with an item."""
-        found = []
+        found: list[np.ndarray] = []
+        marked: dict[int, np.ndarray] = {}
         for salt, mask in enumerate(self.masks):
             seeds = seeds_of(tokens, mask, salt)
             at = np.flatnonzero(self.filter[(seeds >> np.uint64(64 - _FILTER_BITS)).view(np.int64)])
@@ -123,30 +127,89 @@ class Index:
                 continue
             first = np.searchsorted(self.seeds, seeds[at], "left")
             n = np.searchsorted(self.seeds, seeds[at], "right") - first
+            if n.sum() > HITS:
+                # Repeated seeds on both sides: mark offsets instead of listing every hit.
+                self._mark(tokens, seeds[at], at, marked)
+                continue
             hits = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             found.append(
                 np.stack((self.items[hits], np.repeat(at, n) - self.places[hits]), axis=1)
             )
+        for item, offsets in marked.items():
+            hit = np.flatnonzero(offsets) - len(self.tokens[item])
+            found.append(np.stack((np.full(len(hit), item), hit), axis=1))
         if not found:
             return np.zeros((0, 2), dtype=np.int64)
         return np.unique(np.concatenate(found), axis=0)
 
+    def _mark(self, tokens: np.ndarray, seeds: np.ndarray, at: np.ndarray, marked: dict[int, np.ndarray]) -> None:
+        """Marks the offsets at which the text shares one of the seeds with an item: one step for
+        each different seed and its place in an item, however often the text has it."""
+        order = np.argsort(seeds, kind="stable")
+        values, begin = np.unique(seeds[order], return_index=True)
+        for value, places in zip(values, np.split(at[order], begin[1:])):
+            low, high = np.searchsorted(self.seeds, value, "left"), np.searchsorted(self.seeds, value, "right")
+            for k in range(low, high):
+                item = int(self.items[k])
+                if item not in marked:
+                    marked[item] = np.zeros(len(self.tokens[item]) + len(tokens), dtype=bool)
+                marked[item][places - self.places[k] + len(self.tokens[item])] = True
+
     def matches(self, data: bytes, rule: Overlap) -> dict[int, tuple[int, int, int, int]]:
         """By item number the best verified stretch: equal tokens, length, start in the document
         and start in the item, in tokens. The first of equal ones wins."""
         tokens = tokens_of(data)
+        found = self.diagonals(tokens)
         best: dict[int, tuple[int, int, int, int]] = {}
-        for n, offset in self.diagonals(tokens):
+        items, begin = np.unique(found[:, 0], return_index=True)
+        for n, offsets in zip(items.tolist(), np.split(found[:, 1], begin[1:]) if len(items) else ()):
             item = self.tokens[n]
-            low, high = max(0, -offset), min(len(item), len(tokens) - offset)
-            equal = item[low:high] == tokens[low + offset : high + offset]
-            start, end = best_stretch(equal, rule.penalty)
-            count = int(equal[start:end].sum())
-            if count >= rule.needed(len(item), len(tokens)) and count > best.get(n, (0,))[0]:
+            count, offset = _best_offset(item, tokens, offsets, rule.penalty)
+            if count >= rule.needed(len(item), len(tokens)):
+                low, high = max(0, -offset), min(len(item), len(tokens) - offset)
+                equal = item[low:high] == tokens[low + offset : high + offset]
+                start, end = best_stretch(equal, rule.penalty)
                 best[n] = (count, end - start, low + offset + start, low + start)
         return best
 
 
+def _best_offset(item: np.ndarray, tokens: np.ndarray, offsets: np.ndarray, penalty: float) -> tuple[int, int]:
+    """Of the offsets, which rise, the first whose best stretch has the most equal tokens."""
+    most, where = 0, 0
+    step = max(CELLS // len(item), 1)
+    inside = np.arange(len(item))
+    for k in range(0, len(offsets), step):
+        own = offsets[k : k + step]
+        at = own[:, None] + inside[None, :]
+        outside = (at < 0) | (at >= len(tokens))
+        equal = (tokens[np.where(outside, 0, at)] == item[None, :]) & ~outside
+        counts = _counts(equal, outside, penalty)
+        first = int(counts.argmax())
+        if counts[first] > most:
+            most, where = int(counts[first]), int(own[first])
+        if most == len(item):
+            break
+    return most, where
+
+
+def _counts(equal: np.ndarray, outside: np.ndarray, penalty: float) -> np.ndarray:
+    """For each row the equal tokens of its best stretch, none of which reaches outside."""
+    score = np.where(equal, 1.0, np.where(outside, -float(equal.shape[1] * (1 + penalty) + 1), -penalty))
+    zero = np.zeros((len(equal), 1))
+    sums = np.concatenate((zero, np.cumsum(score, axis=1)), axis=1)
+    lowest = np.minimum.accumulate(sums, axis=1)
+    rises = sums - lowest
+    end = rises.argmax(axis=1)
+    rows = np.arange(len(equal))
+    start_sum = lowest[rows, end]
+    start = (sums == start_sum[:, None]).argmax(axis=1)
+    # The last end with the same score and start, as in ``best_stretch``.
+    same = (rises == rises[rows, end][:, None]) & (lowest == start_sum[:, None])
+    last = same.shape[1] - 1 - same[:, ::-1].argmax(axis=1)
+    seen = np.concatenate((np.zeros((len(equal), 1), np.int64), np.cumsum(equal, axis=1)), axis=1)
+    return seen[rows, last] - seen[rows, start]
+
+
 def best_stretch(equal: np.ndarray, penalty: float) -> tuple[int, int]:
     """Start and end of the stretch with the highest score, the first of equal ones, as long as it
     can be with that score."""
