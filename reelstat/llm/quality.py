@@ -20,6 +20,29 @@ from reelstat.llm.common import SPACE, map_arrow, text_bytes, windows_of, words_
 
 SYMBOLS = b"#*$%&|<>"
 
+#: The same kinds of phrases in German, French and Spanish.
+PHRASES = (
+    "alle rechte vorbehalten", "datenschutz", "datenschutzerklärung", "datenschutzrichtlinie",
+    "impressum", "nutzungsbedingungen", "allgemeine geschäftsbedingungen", "agb",
+    "cookies akzeptieren", "alle cookies akzeptieren", "cookie-richtlinie", "verwendung von cookies",
+    "hier klicken", "klicken sie hier", "klick hier", "mehr lesen", "mehr erfahren", "weiterlesen",
+    "jetzt anmelden", "anmelden", "einloggen", "registrieren", "newsletter abonnieren",
+    "jetzt abonnieren", "teilen auf", "nach oben", "zum seitenanfang", "zum inhalt springen",
+    "lizenziert unter", "veröffentlicht unter", "unter der lizenz",
+    "tous droits réservés", "mentions légales", "politique de confidentialité",
+    "politique de cookies", "politique relative aux cookies", "conditions d'utilisation",
+    "conditions générales", "conditions générales d'utilisation", "accepter les cookies",
+    "accepter tous les cookies", "cliquez ici", "lire la suite", "en savoir plus", "se connecter",
+    "connectez-vous", "s'inscrire", "inscrivez-vous", "s'abonner", "abonnez-vous", "partager sur",
+    "retour en haut", "haut de page", "aller au contenu", "sous licence", "publié sous",
+    "todos los derechos reservados", "política de privacidad", "política de cookies", "aviso legal",
+    "términos de uso", "términos de servicio", "términos y condiciones", "aceptar cookies",
+    "aceptar las cookies", "aceptar todas las cookies", "haga clic aquí", "haz clic aquí",
+    "leer más", "ver más", "saber más", "iniciar sesión", "inicia sesión", "regístrate",
+    "registrarse", "suscríbete", "suscribirse", "compartir en", "volver arriba", "ir al contenido",
+    "saltar al contenido", "bajo licencia", "bajo la licencia", "publicado bajo",
+)
+
 #: Phrases between word boundaries, notices of licence and copyright with the name that they give.
 BOILERPLATE = re.compile(
     rb"(?<![\w\x80-\xff])(?:all rights reserved"
@@ -32,13 +55,19 @@ BOILERPLATE = re.compile(
     rb"|sign (?:in|up)|log ?in|subscribe (?:now|to)|read more|click here"
     rb"|share (?:on(?: (?:facebook|twitter|x|linkedin|whatsapp|reddit|pinterest))?"
     rb"|this(?: (?:page|post|article|story|link))?)"
-    rb"|skip to (?:main )?content|back to top|javascript (?:is|must))(?![\w\x80-\xff])",
+    rb"|skip to (?:main )?content|back to top|javascript (?:is|must)|"
+    + b"|".join(re.escape(x.encode()) for x in sorted(PHRASES, key=len, reverse=True))
+    + rb")(?![\w\x80-\xff])",
 )
 _WORDS = re.compile(rb"[\w\x80-\xff]+")
 #: Words that go with such phrases and do not make prose of them.
 FILLERS = frozenset(
     b"please to our the a here now or and your you for of by with this about account newsletter today "
     b"continue enabled be required".split()
+    + "bitte hier sie zu um zur zum der die das den und oder ihr ihre jetzt auf unter mit für diese "
+    "diesen seite facebook twitter veuillez pour le la les de du des et ou votre vos maintenant sur "
+    "cette ce page notre por favor para el los las del y o su tu ahora en esta este página nuestro "
+    "nuestra".encode().split()
 )
 NAVIGATION = re.compile(rb"\s(?:\||\xc2\xbb|\xe2\x80\xba|\xc2\xb7|>|/)\s")
 #: Sentence ends of scripts that put a space after them, of those that do not, and closing marks.

@@ -4,6 +4,8 @@ from collections import Counter
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import pytest
+
 from reelstat.llm import quality
 
 PROSE = "The quick brown fox jumps over the lazy dog while seven wizards watch from afar."
@@ -114,3 +116,25 @@ def test_ordinary_phrases_are_no_boilerplate():
         "Share on Facebook", "Privacy policy and terms of use.",
     ):
         assert fails(line) == "boilerplate", line
+
+
+@pytest.mark.parametrize("line", [
+    "Alle Rechte vorbehalten. Datenschutz. Impressum.", "Bitte hier klicken.", "Weiterlesen!",
+    "Jetzt anmelden oder registrieren.", "Tous droits réservés.", "Cliquez ici pour lire la suite.",
+    "Mentions légales. Politique de confidentialité.", "S'abonner.", "Haga clic aquí.",
+    "Todos los derechos reservados. Aviso legal.", "Iniciar sesión o registrarse.", "Click here.",
+])
+def test_boilerplate_of_four_languages_fails(line):
+    data = line.encode()
+    assert quality.line_fails(data, data.split(), False, quality.DEFAULT) == "boilerplate"
+
+
+@pytest.mark.parametrize("line", [
+    "Der Datenschutz war im Parlament lange umstritten, und niemand wollte nachgeben.",
+    "Sie konnte sich nicht anmelden, weil der Rechner am Morgen ausgefallen war.",
+    "La conexión falló antes de iniciar sesión en el sistema del hospital.",
+    "Il voulait en savoir plus sur la vie des oiseaux de la montagne.",
+])
+def test_prose_with_such_words_passes(line):
+    data = line.encode()
+    assert quality.line_fails(data, data.split(), False, quality.DEFAULT) is None
