@@ -2,8 +2,10 @@
 
 One bigram model learns from toxic documents, one from ordinary ones. Both back off to how many
 contexts a word follows within the class, and that to how many it follows in both classes together;
-expressions that are rare in both together weigh alike in both. A document's score comes from the difference of its
-length-normalised log-likelihoods, set against labels by logistic regression.
+expressions that are rare in both together weigh alike in both, and so do those whose split between
+the classes chance explains: both models then use the counts of the two classes together, so ordinary
+words add nothing to the comparison. A document's score is the difference of its length-normalised
+log-likelihoods, turned into a probability by a logistic regression on that one number.
 
 The models are fitted on a sample of labelled documents that is bounded (``Fit``), counts included;
 scoring reads every document whole. Tokens are lower case in ASCII, punctuation is space.
@@ -43,8 +45,11 @@ class Fit:
 
 #: Bytes of a rare word that count as its stem.
 STEM = 5
-#: Log ratios up to here are taken for chance in the measure of strong evidence.
-CHANCE = 3.0
+#: Likelihood ratio (G squared) from which a split between the classes is not taken for chance, about
+#: one in a thousand by chance.
+CHANCE = 10.8
+#: Gaps below about this are all alike to the regression.
+EVEN = 1e-3
 
 
 def tokens_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -92,27 +97,37 @@ class Models:
         size = len(self.words) + len(self.stems) + 1
         left[context == 0] = size  # the start of a text
         cells, at = np.unique(left * size + right, return_inverse=True)
-        counts = np.stack([np.bincount(at, counts[:, k], len(cells)) for k in (0, 1)], 1)
+        seen = counts
+        counts = _by_class(at, counts, len(cells))
         left, right = cells // size, cells % size
 
-        seen = counts > 0
-        once, twice = (counts == 1).sum(), (counts == 2).sum()
+        both = counts.sum(axis=1, keepdims=True)
+        share = counts.sum(axis=0) / both.sum()
+        once, twice = (both == 1).sum(), (both == 2).sum()
         discount = once / (once + 2 * twice) if once else 0.5
+        # Words that the classes use differently, and pairs that differ beyond what their words do.
+        of_word = _by_class(right, counts, size)
+        telling = beyond_chance(of_word)
+        split = np.where(telling[:, None], of_word / np.maximum(of_word.sum(axis=1, keepdims=True), 1), share)
+        telling_pairs = beyond_chance(counts)[:, None]
+        counts = np.where(telling_pairs, counts, both * split[right])
+        less = np.where(telling_pairs, discount, discount * counts / both)
+
         # In how many contexts a word follows, by class and in both together.
-        follows = np.stack([np.bincount(right, seen[:, k], size) for k in (0, 1)], 1)
         pooled = np.bincount(right, minlength=size).astype(float)
         shared = np.maximum(pooled - discount, 0) / pooled.sum()
         shared += discount * (pooled > 0).sum() / pooled.sum() / size
-        sums = np.maximum(follows.sum(axis=0), 1)
-        held = np.maximum(follows - discount, 0) / sums
+        own = _by_class(right, _by_class(at, seen, len(cells)) > 0, size)
+        follows = np.where(telling[:, None], own, pooled[:, None] * share)
+        held = np.maximum(follows - np.where(telling[:, None], discount, discount * share), 0)
+        held /= np.maximum(follows.sum(axis=0), 1e-9)
         lower = held + (1 - held.sum(axis=0)) * shared[:, None]
 
-        total = np.stack([np.bincount(left, counts[:, k], size + 1) for k in (0, 1)], 1)
-        kept = (counts.sum(axis=1) >= rare)[:, None] * np.maximum(counts - discount, 0)
-        kept /= np.maximum(total[left], 1)
-        weight = 1 - np.stack([np.bincount(left, kept[:, k], size + 1) for k in (0, 1)], 1)
+        total = _by_class(left, counts, size + 1)
+        often = both[:, 0] >= rare
+        kept = often[:, None] * np.maximum(counts - less, 0) / np.maximum(total[left], 1e-9)
+        weight = np.maximum(1 - _by_class(left, kept, size + 1), 1e-9)
         logs = np.log(kept + weight[left] * lower[right])
-        often = counts.sum(axis=1) >= rare
         self.size, self.pairs = size, cells[often]
         self.pair_logs = logs[often].astype(np.float32)
         self.word_logs = np.log(lower).astype(np.float32)
@@ -138,20 +153,25 @@ class Models:
         return np.where(there[:, None], self.pair_logs[at], backed_off)
 
     def features(self, data: bytes) -> tuple[float, ...]:
-        """Mean logs by the ordinary and the toxic model; the gap between them, up to one; the logs
-        of what of it lies beyond chance, by the length and by its root, in which chance grows."""
+        """Mean logs by the ordinary and the toxic model, and the log of how much larger the second is."""
         words, stems = tokens_of(data)
-        n = len(words)
-        if not n:
-            return 0.0, 0.0, 0.0, *_beyond(0.0, 1)
-        logs = self.logs(words, stems).astype(np.float64)
-        ordinary, toxic = logs.mean(axis=0)
-        strong = np.maximum(logs[:, 1] - logs[:, 0] - CHANCE, 0).sum()
-        return ordinary, toxic, float(np.clip(toxic - ordinary, -1, 1)), *_beyond(strong, n)
+        if not len(words):
+            return 0.0, 0.0, float(np.log(EVEN))
+        ordinary, toxic = self.logs(words, stems).astype(np.float64).mean(axis=0)
+        return ordinary, toxic, float(np.log(max(toxic - ordinary, 0.0) + EVEN))
+
 
+def _by_class(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sums of both columns by place."""
+    return np.stack([np.bincount(at, values[:, k], size) for k in (0, 1)], 1)
 
-def _beyond(strong: float, n: int) -> tuple[float, float]:
-    return float(np.log(strong / n + 1e-3)), float(np.log(strong / np.sqrt(n) + 1e-2))
+
+def beyond_chance(counts: np.ndarray, least: float = CHANCE) -> np.ndarray:
+    """Rows whose split between two classes differs from that of all rows beyond chance."""
+    share = counts.sum(axis=0) / max(counts.sum(), 1)
+    expected = counts.sum(axis=1, keepdims=True) * share
+    ratio = np.divide(counts, expected, out=np.ones(counts.shape), where=counts > 0)
+    return 2 * (counts * np.log(ratio)).sum(axis=1) >= least
 
 
 def _often(values: np.ndarray, weight: np.ndarray, least: int) -> np.ndarray:
@@ -247,19 +267,17 @@ def fit(docs: DataFrame, labels: DataFrame, bounds: Fit = Fit()) -> tuple[Models
 
     def measure(batch: pa.RecordBatch) -> dict:
         found = np.array([shared.value.features(x.as_py()) for x in batch.column(1)])
-        return {"toxic": batch.column(0)} | {
-            k: pa.array(found[:, 2 + i]) for i, k in enumerate(("gap", "strong", "root"))
-        }
+        return {"toxic": batch.column(0), "gap": pa.array(found[:, 2])}
 
     rows = map_arrow(
         sample.filter("calibrate").select("toxic", "data"), measure,
-        "toxic int, gap double, strong double, root double",
+        "toxic int, gap double",
     ).toArrow()
-    y, *x = (rows.column(k).to_numpy().astype(float) for k in range(4))
+    y, x = (rows.column(k).to_numpy().astype(float) for k in range(2))
     # Classes were sampled apart; weights give them back their frequencies.
     share = [total[k] / max((y == k).sum(), 1) for k in (0, 1)]
     weight = np.where(y == 1, share[1], share[0])
-    return models, logistic(np.column_stack(x), y, weight / weight.mean())
+    return models, logistic(x[:, None], y, weight / weight.mean())
 
 
 def scores(
@@ -283,12 +301,12 @@ def scores(
 
     def score(batch: pa.RecordBatch) -> dict:
         if shared.value is None:
-            found = np.zeros((batch.num_rows, 5))
+            found = np.zeros((batch.num_rows, 3))
             values = np.zeros(batch.num_rows)
         else:
             models, b = shared.value
             found = np.array([models.features(x.as_py()) for x in batch.column(2)])
-            values = 1 / (1 + np.exp(-np.clip(found[:, 2:] @ b[:3] + b[3], -30, 30)))
+            values = 1 / (1 + np.exp(-np.clip(found[:, 2] * b[0] + b[1], -30, 30)))
         return {
             "doc_id": batch.column(0), "held_out": batch.column(1), "score": pa.array(values),
             "predicted": pa.array((values >= threshold).astype(np.int32)),
