@@ -49,7 +49,7 @@ STEM = 5
 #: one in a thousand by chance.
 CHANCE = 10.8
 #: Gaps below about this are all alike to the regression.
-EVEN = 1e-3
+EVEN = 2e-2
 
 
 def tokens_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
