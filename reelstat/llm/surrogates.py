@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from reelstat.llm.common import map_arrow
 from reelstat.session import written
 
-ATTEMPTS = 64
+#: Rounds that may settle nothing before a job gives up. Forms get longer with the attempts, so only a
+#: type whose values are used up altogether comes to that.
+IDLE = 64
 
 _WORD = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 #: Titles and the gender they tell, in several languages; fixed values.
@@ -47,6 +49,22 @@ GIVEN = {
     "m": "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Paul Peter Hans Karl Stefan Wolfgang Jürgen Pierre Jean Michel François Louis Carlos José Juan Luis Miguel Antonio Иван Сергей Алексей Дмитрий Γιώργος Νίκος".split(),
     "f": "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Anna Emma Julia Petra Sabine Ursula Monika Marie Claire Sophie Camille Isabelle Carmen María Lucía Elena Ana Анна Мария Ольга Елена Μαρία Ελένη".split(),
 }
+#: Labels and closings that a name follows; fixed values.
+LABELS = [
+    "Name", "Full name", "Contact", "Author", "Signed", "Attn", "Applicant", "Patient", "Kontakt",
+    "Ansprechpartner", "Ansprechpartnerin", "Unterzeichnet", "Nom", "Auteur", "Signé", "Nombre",
+    "Contacto", "Autor", "Firmado",
+]
+CLOSINGS = [
+    "Regards", "Kind regards", "Best regards", "Sincerely", "Yours sincerely", "Best wishes",
+    "Mit freundlichen Grüßen", "Viele Grüße", "Cordialement", "Bien à vous", "Saludos",
+    "Un saludo", "Atentamente",
+]
+#: Words before a date of birth; fixed values.
+BORN = [
+    "born", "born on", "date of birth", "dob", "geboren", "geboren am", "geb.", "geburtsdatum", "né le",
+    "née le", "date de naissance", "nacido el", "nacida el", "fecha de nacimiento",
+]
 #: Syllables that surrogate names are made of, by script, and endings of given names by gender.
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga go ha he ka ko la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se si so ta te ti to va ve vi wa za zo".split(),
@@ -74,6 +92,8 @@ PATTERNS = {
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
     "ipv6": r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:]|\.\d)",
+    "dob": r"(?i:\b(?:" + "|".join(re.escape(x) for x in sorted(BORN, key=len, reverse=True))
+           + r"))\s{0,2}:?\s{1,2}(?P<date>\d{1,2}(?P<mark>[./-])\d{1,2}(?P=mark)(?:19|20)\d\d|(?:19|20)\d\d-\d\d-\d\d)(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)"
@@ -83,7 +103,8 @@ PATTERNS = {
              r"|(?<![\w+])\+\d{8,14}(?!\d)",
     "name": r"\b(?P<title>" + "|".join(x for v in TITLES.values() for x in v) + r")\b\.?\s(?P<titled>"
             + _WORD + r"(?:\s" + _WORD + r")?)|\b(?P<given>" + "|".join(x for v in GIVEN.values() for x in v)
-            + r")\s(?P<family>" + _WORD + r")\b",
+            + r")\s(?P<family>" + _WORD + r")\b|(?:\b(?:" + "|".join(LABELS) + r")\s?:[ \t]?|\b(?:"
+            + "|".join(CLOSINGS) + r"),?\s{1,3})(?P<labelled>" + _WORD + r"(?:[ \t]" + _WORD + r"){1,2})",
 }
 _FIRST = {k: r"(?=[\d(+])" for k in ("ip", "card", "ssn", "phone")}
 _DIGIT, _IBAN, _LETTERS = re.compile(r"\d"), re.compile(r"[A-Z]{2}\d\d"), re.compile(r"[^\W\d_]+")
@@ -92,6 +113,8 @@ _KEYS = ("token", "key", "secret", "passw", "passphrase", "pwd")
 _HEX = re.compile(r"[0-9a-fA-F]{32,}")
 _PAIRS = re.compile(r"(?:[ .-]\d\d){4}$")
 _NAME_WORDS = frozenset(x for v in [*TITLES.values(), *GIVEN.values()] for x in v) | {"г", "н", "жа"}
+_NAME_WORDS |= {x.split()[-1] for x in LABELS + CLOSINGS}
+_BORN = re.compile("|".join(re.escape(x) for x in BORN), re.IGNORECASE)
 
 
 _COMPILED: dict[tuple[str, ...], re.Pattern] = {}
@@ -114,6 +137,7 @@ def _possible(text: str) -> tuple[str, ...]:
         "long": digit and max(map(len, text.split()), default=0) >= 32,
         "ipv6": "::" in text or text.count(":") >= 7,
         "iban": digit and _IBAN.search(text) is not None,
+        "dob": digit and _BORN.search(text) is not None,
         "ip": digit, "card": digit, "ssn": digit, "phone": digit,
         "name": not _NAME_WORDS.isdisjoint(_LETTERS.findall(text)),
     }
@@ -178,6 +202,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 out.append((start, end, kind, value))
             else:
                 at = start + 1
+        elif kind == "dob":
+            out.append((*match.span("date"), kind, match["date"]))
         elif kind == "secret" or kind == "ip":
             out.append((start, end, kind, found))
         elif kind == "iban":
@@ -254,6 +280,12 @@ def _names(match: re.Match) -> Iterator[tuple[int, int, str, str]]:
             return out
         words = [(match.start("given"), match["given"]), (match.start("family"), match["family"])]
         gender = _GIVEN[match["given"]]
+    elif match["labelled"] is not None:
+        words = [(match.start("labelled") + x.start(), x[0]) for x in re.finditer(_WORD, match["labelled"])]
+        capital = [x for x in words if x[1][0].isupper()]
+        if len(capital) < 2 or words[: len(capital)] != capital:
+            return out
+        words, gender = capital, _GIVEN.get(capital[0][1], "n")
     else:
         words = [(match.start("titled") + x.start(), x[0]) for x in re.finditer(_WORD, match["titled"])]
         words = [words[0]] + [x for x in words[1:] if x[1][0].isupper()]
@@ -309,9 +341,12 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         *labels, top = domain.split(".")
         # A domain has the same surrogate in all addresses.
         other = Draw(key, "domain", domain, 0)
-        return f"{draw.like(local)}@{'.'.join([*map(other.like, labels), top])}"
+        new = draw.like(local) + draw.like("a0" * (attempt // 4))
+        return f"{new}@{'.'.join([*map(other.like, labels), top])}"
     if kind == "ip":
-        return ".".join(str(1 + draw.of(223 if k == 0 else 254)) for k in range(4))
+        return _address(value, draw, attempt)
+    if kind == "dob":
+        return _date(value, draw)
     if kind == "ipv6":
         groups = []
         for k, group in enumerate(value.split(":")):
@@ -319,7 +354,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
             size = 4 if attempt >= 4 else len(group.lstrip("0"))
             kept = group.lstrip("0")[:1] if k == 0 else ""
             new = kept + "".join("123456789abcdef"[draw.of(15)] for _ in range(size - len(kept)))
-            groups.append(new[:4].rjust(4, "0") if int(group, 16) else "0000")
+            open_group = int(group, 16) or attempt >= 16 and k >= 4
+            groups.append(new[:4].rjust(4, "0") if open_group else "0000")
         return ":".join(groups)
     if kind == "card":
         body = value[0] + draw.like(value[1:-1])
@@ -343,11 +379,41 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     part = "s" if kind == "family" else kind[-1]
     syllables, endings = SYLLABLES[script], ENDINGS[script][part]
     word = "".join(syllables[draw.of(len(syllables))] for _ in range(3 if part == "s" else 2))
-    if attempt >= 4:  # more names where the short ones are taken
-        word += syllables[draw.of(len(syllables))]
+    # More names where the shorter ones are taken.
+    word += "".join(syllables[draw.of(len(syllables))] for _ in range(attempt // 4))
     return word + endings[draw.of(len(endings))]
 
 
+#: Private, local and shared ranges, by their first numbers; fixed values.
+_RANGES = [(10,), (127,), (169, 254), (192, 168), *((172, k) for k in range(16, 32)), *((100, k) for k in range(64, 128))]
+
+
+def _range_of(numbers: tuple[int, ...]) -> tuple[int, ...] | None:
+    return next((x for x in _RANGES if numbers[: len(x)] == x), None)
+
+
+def _address(value: str, draw: Draw, attempt: int) -> str:
+    """An address of the same kind: one of a private range stays in it, in the widest one if it is
+    nearly used up, and others lie in none."""
+    own = _range_of(tuple(map(int, value.split("."))))
+    if own is None:
+        while True:
+            numbers = tuple(1 + draw.of(223 if k == 0 else 254) for k in range(4))
+            if _range_of(numbers) is None:
+                return ".".join(map(str, numbers))
+            draw = Draw(b"again", "ip", f"{numbers}", attempt)
+    if attempt >= 16:
+        own = (10,)
+    return ".".join(map(str, [*own, *(1 + draw.of(254) for _ in range(4 - len(own)))]))
+
+
+def _date(value: str, draw: Draw) -> str:
+    """A date in the same form. Days are no later than the 12th, so it is one in either order."""
+    parts = [f"{1930 + draw.of(80)}" if len(x) == 4 else f"{1 + draw.of(9 if len(x) == 1 else 12):0{len(x)}d}" for x in re.findall(r"\d+", value)]
+    marks = re.findall(r"\D", value)
+    return parts[0] + marks[0] + parts[1] + marks[1] + parts[2]
+
+
 def written_as(found: str, kind: str, value: str, other: str) -> str:
     """A surrogate in the form in which the original stood: separators, prefix, case."""
     if kind in ("card", "ssn", "iban", "phone"):
@@ -418,9 +484,10 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
 
     schema = "kind string, value string, attempt int, other string"
     originals = written(found.select("kind", "value").distinct(), "pii-entities")
-    settled = None
+    settled = None  # a union of what each round has written
     trying = originals.withColumn("attempt", F.lit(0))
-    for _ in range(ATTEMPTS):
+    idle = 0
+    while idle < IDLE:
         now = written(map_arrow(trying.select("kind", "value", "attempt"), rows, schema), "pii-trials")
         taken = originals.select("kind", F.col("value").alias("other"))
         free = now.join(taken, ["kind", "other"], "left_anti")
@@ -429,14 +496,16 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
         # Of several with the same surrogate the smallest keeps it.
         first = free.groupBy("kind", "other").agg(F.min("value").alias("value"))
         good = free.join(first, ["kind", "other", "value"]).select("kind", "value", "attempt", "other")
-        settled = written(good if settled is None else settled.unionAll(good), "pii-settled")
-        trying = now.join(settled.select("kind", "value"), ["kind", "value"], "left_anti").select(
+        good = written(good, "pii-settled")
+        settled = good if settled is None else settled.unionAll(good)
+        idle = idle + 1 if good.isEmpty() else 0
+        trying = now.join(good.select("kind", "value"), ["kind", "value"], "left_anti").select(
             "kind", "value", (F.col("attempt") + 1).alias("attempt")
         )
         trying = written(trying, "pii-open")
         if trying.isEmpty():
             return settled
-    raise ValueError(f"no free surrogates after {ATTEMPTS} attempts")
+    raise ValueError("all values of a type are in use")
 
 
 def anonymize(

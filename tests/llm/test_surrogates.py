@@ -1,3 +1,4 @@
+import ipaddress
 import re
 
 import pytest
@@ -75,8 +76,8 @@ def test_collisions_are_settled(frame, monkeypatch):
     assert len(set(others)) == 12
     assert not set(others) & {f"v{i}" for i in range(12)}
     full = frame("kind string, value string", [("t", f"v{i}") for i in range(40)])
-    with pytest.raises(ValueError, match="no free surrogates"):
-        monkeypatch.setattr(surrogates, "ATTEMPTS", 3)
+    with pytest.raises(ValueError, match="in use"):
+        monkeypatch.setattr(surrogates, "IDLE", 3)
         surrogates.assign(full, KEY)
 
 
@@ -146,3 +147,43 @@ def test_short_secrets_find_free_surrogates(frame):
     rows = surrogates.assign(found, KEY).collect()
     others = {r["other"] for r in rows}
     assert len(others) == len(rows) == 10 and not others & {f"{i}---" for i in range(10)}
+
+
+def test_more_names_than_short_forms(spark, monkeypatch):
+    # Two syllables and an ending: a handful of names in all, for many more entities.
+    monkeypatch.setitem(surrogates.SYLLABLES, "latin", ["ba", "do"])
+    monkeypatch.setitem(surrogates.ENDINGS, "latin", {k: ["n"] for k in "mfns"})
+    rows = [("given_n", f"name{i}") for i in range(300)] + [("family", f"other{i}") for i in range(40)]
+    found = surrogates.assign(spark.createDataFrame(rows, "kind string, value string"), b"k").collect()
+    assert {(r["kind"], r["value"]) for r in found} == set(rows) and len(found) == len(rows)
+    assert len({(r["kind"], r["other"]) for r in found}) == len(rows)
+    assert {r["other"] for r in found}.isdisjoint({v for _, v in rows})
+    assert max(r["attempt"] for r in found) > 20
+
+
+def test_addresses_of_one_letter(spark):
+    rows = [("email", f"{c}@x.org") for c in "abcdefghijklmnopqrstuvwxyz"] + [("email", f"{c}@y.org") for c in "abcdefghijklmnop"]
+    found = surrogates.assign(spark.createDataFrame(rows, "kind string, value string"), b"k").collect()
+    assert len({r["other"] for r in found}) == len(rows)
+
+
+@pytest.mark.parametrize("address", ["10.1.2.3", "192.168.0.7", "172.20.1.1", "127.0.0.1", "169.254.8.8", "100.70.1.1", "8.8.8.8", "172.40.1.1"])
+def test_addresses_stay_in_their_range(address):
+    own = ipaddress.ip_address(address)
+    for attempt in range(12):
+        other = ipaddress.ip_address(surrogates.surrogate(b"key", "ip", address, attempt))
+        assert other.is_private == own.is_private and other.is_loopback == own.is_loopback and other != own
+
+
+@pytest.mark.parametrize(("text", "kinds"), [
+    ("Name: Aisha Khan wrote this.", ["given_n", "family"]), ("Kind regards,\nAisha Khan", ["given_n", "family"]),
+    ("Ansprechpartner: Andrea Maria Müller", ["given_n", "given_n", "family"]), ("Name: not given", []),
+    ("Born on 12.03.1980 in Rome", ["dob"]), ("geboren am 1.2.1999", ["dob"]), ("DOB: 1980-03-12", ["dob"]),
+    ("Née le 01/02/1964", ["dob"]), ("Published on 12.03.1980", []),
+])
+def test_labelled_names_and_dates_of_birth(text, kinds):
+    assert [x[2] for x in surrogates.find(text)] == kinds
+    new, n = surrogates.rewrite(text, b"key", {})
+    assert n == len(kinds) and (new != text) == bool(kinds)
+    if kinds == ["dob"]:
+        assert [c.isdigit() for c in new] == [c.isdigit() for c in text]
