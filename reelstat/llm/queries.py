@@ -168,6 +168,33 @@ SELECT doc_id, n_shingles, component_id{more} FROM (
 """
 
 
+def _repeats_sql(length: int) -> str:
+    """Bytes of strings that also start earlier, by grouping every string of the corpus."""
+    return f"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (SELECT doc_id, unnest(list_transform(
+              range(0, CAST(length(h) // 2 AS BIGINT) - {length - 1}),
+              lambda p: {{'p': p, 'string': hash(substr(h, 2 * p + 1, {2 * length}))}}), recursive := true)
+            FROM texts),
+again AS (SELECT doc_id, p FROM strings
+          QUALIFY row_number() OVER (PARTITION BY string ORDER BY doc_id, p) > 1),
+marked AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {length}
+                             THEN 0 ELSE 1 END AS fresh FROM again),
+runs AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked),
+spans AS (SELECT doc_id, run, min(p) AS a, max(p) + {length} AS b FROM runs GROUP BY doc_id, run),
+pieces AS (SELECT s.doc_id, a, b,
+                  substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY s.doc_id ORDER BY a), 0) + 1,
+                         2 * (a - coalesce(lag(b) OVER (PARTITION BY s.doc_id ORDER BY a), 0))) AS piece
+           FROM spans s JOIN texts t ON s.doc_id = t.doc_id),
+kept AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed, max(b) AS last,
+                string_agg(piece, '' ORDER BY a) AS head FROM pieces GROUP BY doc_id)
+SELECT t.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_html_text": op2_html_text,
@@ -186,6 +213,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": _rake_sql(),
+    "op3_suffix_array_dedup": _repeats_sql(100),
     "op10_ngram_jaccard_join": _links_sql(4, 85, ", n_links"),
     "op11_min_max_near_duplicates": _links_sql(5, 85, ", component_id = doc_id AS kept"),
 }
