@@ -101,11 +101,10 @@ def time_shift(
 def ctas_limited(query: DataFrame, table: str, requested: int) -> None:
     """Saves a query's first rows as a table: ``EDITOR_ROWS`` from an editor, ``MAX_ROWS`` at most.
 
-    The rows are taken on the driver, which reads partitions until it has them, and no task gets
-    the rows of all others.
+    Every task stops at that many rows of its own, and one task writes those that are kept; none
+    pass the driver.
     """
-    rows = query.take(allowed(requested))
-    replace_table(query.sparkSession.createDataFrame(rows, query.schema), table)
+    replace_table(query.limit(allowed(requested)), table)
 
 
 def drill_to_detail(detail: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:

@@ -117,6 +117,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def removed(df: DataFrame) -> None:
     """Deletes the files of a table that ``written`` made; nothing may read it any more."""
     for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:

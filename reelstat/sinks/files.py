@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions.names import safe_name
+from reelstat.session import path_exists
 
 
 def write_documents(docs: DataFrame, path: str, by_channel: bool = False) -> None:
@@ -13,11 +14,21 @@ def write_documents(docs: DataFrame, path: str, by_channel: bool = False) -> Non
 
     New names matter: an incremental reader tells files by their path. With ``by_channel`` each
     channel has its folder (``sources.channel_paths`` names it), which suits a small registry of
-    channels, and a rerun replaces the documents of the channels that it writes.
+    channels, and a rerun replaces the documents of the channels that it writes. A channel whose
+    folder another channel has is an error.
     """
     if not by_channel:
         docs.write.mode("append").option("ignoreNullFields", "false").json(path)
         return
+    names = docs.select("channelName", safe_name(F.col("channelName")).alias("channel"))
+    if path_exists(docs.sparkSession, path):
+        there = docs.sparkSession.read.schema("channelName STRING, channel STRING").json(path)
+        names = names.unionByName(there.join(names.select("channel").distinct(), "channel", "left_semi"))
+    clash = names.groupBy("channel").agg(
+        F.min("channelName").alias("a"), F.max("channelName").alias("b")
+    ).filter("a <> b").first()
+    if clash:
+        raise ValueError(f"{clash['a']!r} and {clash['b']!r} have the same folder")
     # Rebalancing brings a channel together but splits one that is too large for a task.
     keyed = docs.withColumn("channel", safe_name(F.col("channelName"))).hint("rebalance", "channel")
     writer = keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -16,6 +16,8 @@ from reelstat import schemas
 from reelstat.session import delete_path
 
 SESSION_CATALOG = "spark_catalog"
+#: Property of a table that names the folder it had before.
+PREVIOUS = "reelstat.previous"
 OVERWRITE_CONF = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -102,7 +104,8 @@ def replace_table(df: DataFrame, table: str) -> None:
     In the session catalog every version has a folder of its own. The rows are written to a new one
     first, then a single statement points the table to it, then the old folder goes: a job that
     fails at any time leaves either the old rows or the new ones, no file is moved, and the rows may
-    come from the table itself. Only where the columns change, the table is dropped and made anew,
+    come from the table itself. The folder before stays until the next replacement, for queries that
+    are still reading it. Only where the columns change, the table is dropped and made anew,
     and a reader can meet a gap. Catalogs with atomic replacement are used as such.
     """
     spark = df.sparkSession
@@ -121,7 +124,17 @@ def replace_table(df: DataFrame, table: str) -> None:
         if location_of(spark, table) != new:
             delete_path(spark, new)
         raise
-    delete_path(spark, old)
+    _keep_one(spark, table, old)
+
+
+def _keep_one(spark: SparkSession, table: str, old: str) -> None:
+    """Notes the folder that was replaced and deletes the one noted before."""
+    name = ".".join(f"`{part}`" for part in table.split("."))
+    known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    place = old.replace("'", r"\'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PREVIOUS}' = '{place}')")
+    if PREVIOUS in known:
+        delete_path(spark, known[PREVIOUS])
 
 
 def location_of(spark: SparkSession, table: str) -> str:

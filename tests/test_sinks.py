@@ -210,6 +210,31 @@ def test_a_rerun_replaces_the_documents_of_its_channels(spark, folder):
     assert sorted(r.channelName for r in chosen.collect()) == sorted(names[:2])
 
 
+def test_channels_with_the_same_folder_are_an_error(spark, folder):
+    path = folder("docs")
+    docs = lambda *names: spark.createDataFrame([(n, "1", "1", "1", "P", []) for n in names], schemas.landing())
+    with pytest.raises(ValueError, match="same folder"):
+        sinks.write_documents(docs("A B", "A_B", "c"), path, by_channel=True)
+    sinks.write_documents(docs("A B", "c"), path, by_channel=True)
+    with pytest.raises(ValueError, match="same folder"):
+        sinks.write_documents(docs("A_B"), path, by_channel=True)
+    sinks.write_documents(docs("A B"), path, by_channel=True)
+    assert sorted(r.channelName for r in sources.read_landing(spark, path).collect()) == ["A B", "c"]
+
+
+def test_the_folder_before_stays_for_readers(spark, database):
+    table = f"{database}.t"
+    sinks.replace_table(spark.range(5), table)
+    open_query = spark.table(table)
+    sinks.replace_table(spark.range(6), table)
+    assert open_query.count() in (5, 6)
+    second = spark.table(table).inputFiles()
+    for n in (7, 8):
+        sinks.replace_table(spark.range(n), table)
+    assert spark.table(table).count() == 8
+    assert not any(os.path.exists(x.removeprefix("file:").replace("///", "/")) for x in second)
+
+
 def test_manifest_lists_files(spark, folder):
     path = folder("docs")
     sinks.write_documents(spark.createDataFrame([("a", "1", "1", "1", "P", [])], schemas.landing()), path)
