@@ -2,8 +2,8 @@
 
 A word is emitted in two steps: a latent state emits a symbol, which is a frequent word, the end of
 the text, or a class of words that end alike; a class then emits its word by how often the corpus has
-it. There are as many symbols as the square root of the training tokens, and more classes with them,
-so the model grows with the corpus, while the counts of all words stay a distributed table. Words are
+it. The number of symbols follows the cube root of the training tokens, and that of the classes follows
+it, so the model grows with the corpus, while the counts of all words stay a distributed table. Words are
 told apart by 64-bit hashes.
 
 1. Words of the training texts are counted; each task adds up its own first.
@@ -41,8 +41,8 @@ class Shape:
     """Sizes of the model."""
 
     states: int = 6
-    #: Words with a symbol of their own, for each square root of the training tokens.
-    words_per_root: float = 1.0
+    #: Words with a symbol of their own, for each cube root of the training tokens.
+    words_per_root: float = 50.0
     #: Words with a symbol for each class of the others, which is told by their last two bytes.
     words_per_class: int = 32
     #: Words whose counts are sent to the executors, at most, unless more have symbols.
@@ -55,7 +55,7 @@ class Shape:
     seed: int = 7
 
     def words(self, tokens: int) -> int:
-        return math.ceil(self.words_per_root * math.sqrt(tokens))
+        return math.ceil(self.words_per_root * math.cbrt(tokens))
 
 
 def hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:

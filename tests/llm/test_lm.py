@@ -8,7 +8,7 @@ import pytest
 
 from reelstat.llm import hmm, lm
 
-SMALL = lm.Shape(states=3, words_per_root=0.6, words_per_class=5, head=60, folds=3, passes=6)
+SMALL = lm.Shape(states=3, words_per_root=3, words_per_class=5, head=60, folds=3, passes=6)
 
 
 def table_of(frame, seed=1, n=120):
@@ -114,11 +114,11 @@ def test_each_pass_over_partitions_gains(frame):
 
 def test_symbols_grow_with_the_corpus():
     shape = lm.Shape()
-    assert [shape.words(x) for x in (0, 10_000, 100_000_000)] == [0, 100, 10_000]
-    words = np.arange(1, 90_001, dtype=np.uint64)
-    head = (words, np.arange(90_000) % 7, np.full(90_000, 100_000))
-    big = lm.Lexicon(head, [(k, 10**9, 20_000) for k in range(7)], 10, shape)
-    assert big.own == shape.words(7 * 10**9 + 10) and big.kind == np.uint32
+    assert [shape.words(x) for x in (0, 1000, 10**9)] == [0, 500, 50_000]
+    words = np.arange(1, 120_001, dtype=np.uint64)
+    head = (words, np.arange(120_000) % 7, np.full(120_000, 100_000))
+    big = lm.Lexicon(head, [(k, 2 * 10**9, 20_000) for k in range(7)], 10, shape)
+    assert big.own == shape.words(14 * 10**9 + 10) and big.kind == np.uint32
     small = lm.Lexicon(tuple(x[:50] for x in head), [(0, 4 * 10**6, 50)], 10, shape)
     assert small.own == 50 and small.kind == np.uint16
 
