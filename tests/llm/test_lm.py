@@ -117,8 +117,8 @@ def test_symbols_grow_with_the_corpus():
     assert [shape.words(x) for x in (0, 1000, 10**9)] == [0, 500, 50_000]
     words = np.arange(1, 120_001, dtype=np.uint64)
     head = (words, np.arange(120_000) % 7, np.full(120_000, 100_000))
-    big = lm.Lexicon(head, [(k, 2 * 10**9, 20_000) for k in range(7)], 10, shape)
-    assert big.own == shape.words(14 * 10**9 + 10) and big.kind == np.uint32
+    big = lm.Lexicon(head, [(k, 19 * 10**8, 20_000) for k in range(7)], 10, shape)
+    assert big.own == shape.words(133 * 10**8 + 10) and big.kind == np.uint32
     small = lm.Lexicon(tuple(x[:50] for x in head), [(0, 4 * 10**6, 50)], 10, shape)
     assert small.own == 50 and small.kind == np.uint16
 
