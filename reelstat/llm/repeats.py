@@ -136,15 +136,17 @@ class Bucket:
         owner, offset = np.concatenate(owner), np.concatenate(offset)
         _, at, times = np.unique(hashes, return_inverse=True, return_counts=True)
         own = np.flatnonzero(times[at] > 1)  # no other suffix is in an interval this deep
-        widest = self.widest = 2 * length + 56
-        suffixes = []
-        for j in own:
-            doc, text, start, left, data = rows[owner[j]]
-            i = int(offset[j])
-            # Every so many bytes a new group begins, so what is compared may end, too.
-            before = -1 if i % (length + 28) == 0 or i + left == 0 else data[i + left - 1]
-            suffixes.append((data[i + left : i + left + widest], doc, text, start + i, before))
-        suffixes.sort()
+        self._set(sorted(suffix_at(rows[owner[j]], int(offset[j]), length) for j in own))
+
+    @classmethod
+    def of_suffixes(cls, suffixes: list[tuple], length: int) -> Bucket:
+        """The same from suffixes in order, as ``suffix_at`` gives them."""
+        bucket = cls.__new__(cls)
+        bucket.length = length
+        bucket._set(suffixes)
+        return bucket
+
+    def _set(self, suffixes: list[tuple]) -> None:
         self.suffixes = suffixes
         self.before = [x[4] for x in suffixes]
         self.prefixes = _common_prefixes([x[0] for x in suffixes])
@@ -192,6 +194,14 @@ class Bucket:
             done.append((first, last, waiting, earliest, byte))
 
 
+def suffix_at(row: tuple, i: int, length: int) -> tuple[bytes, int, int, int, int]:
+    """(bytes, doc, text, start, byte before or -1) of the suffix at place ``i`` of a stretch. Every so
+    many bytes a new group begins, so what is compared may end, too."""
+    doc, text, start, left, data = row
+    before = -1 if i % (length + 28) == 0 or i + left == 0 else data[i + left - 1]
+    return data[i + left : i + left + 2 * length + 56], doc, text, start + i, before
+
+
 def _common_prefixes(suffixes: list[bytes]) -> list[int]:
     """How many bytes each suffix shares with the one before it."""
     if not suffixes:
@@ -302,6 +312,46 @@ class Repeats:
         own = parts.filter("NOT large").select("anchor", "doc", "text", "start", "left", "data")
         return own.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(rows, schema)
 
+    def _split(self, parts: DataFrame, what, schema: str) -> DataFrame:
+        """``what`` of the parts of the large buckets, whose suffixes Spark sorts."""
+        length = self.length
+
+        def suffixes(batch: pa.RecordBatch) -> Iterator[dict]:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                strings = gram_hashes(row[4], length)[row[3] :]
+                found = [suffix_at(row, i, length) for i in range(len(strings))]
+                if found:
+                    columns = dict(zip(("suffix", "doc", "text", "place", "before"), zip(*found)))
+                    yield {"string": signed(strings)} | {k: pa.array(v) for k, v in columns.items()}
+
+        every = map_arrow(
+            parts.filter("large").select("doc", "text", "start", "left", "data"), suffixes,
+            "string long, suffix binary, doc long, text long, place long, before long",
+        )
+        often = every.groupBy("string").agg(F.count("*").alias("times")).filter("times > 1")
+        order = ["string", "suffix", "doc", "text", "place"]
+        placed = every.join(often.select("string"), "string").repartition("string").sortWithinPartitions(*order)
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = [x.split()[0] for x in schema.split(", ")]
+            waiting, string = [], None
+
+            def done():
+                found = list(what(Bucket.of_suffixes(waiting, length))) if waiting else []
+                for k in range(0, len(found), 50_000):
+                    columns = zip(*found[k : k + 50_000])
+                    yield pa.RecordBatch.from_arrays([pa.array(list(x)) for x in columns], names)
+
+            for batch in batches:
+                for row in zip(*(batch.column(k).to_pylist() for k in range(6))):
+                    if row[0] != string:
+                        yield from done()
+                        waiting, string = [], row[0]
+                    waiting.append(row[1:])
+            yield from done()
+
+        return placed.select("string", "suffix", "doc", "text", "place", "before").mapInArrow(rows, schema)
+
     def covers(self) -> DataFrame:
         """(doc, text, start, end): together they hold every byte of a string that also starts
         earlier."""
@@ -337,7 +387,8 @@ class Repeats:
         """(length, group, doc_id, start): the maximal repeats with all their occurrences.
 
         Stretches that several places have in full are a group as well. Buckets beyond
-        ``Limits.bucket`` are left to ``covers``.
+        ``Limits.bucket`` are split by the first ``length`` bytes of their suffixes: an interval of the
+        tree has them in common, so it lies in one part.
         """
         length = self.length
 
@@ -347,10 +398,9 @@ class Repeats:
                 for doc, text, start in places:
                     yield depth, name, doc, text, start
 
-        found = self._buckets(
-            written(self._stretches(), "repeat-stretches"), listed,
-            "length long, group long, doc long, text long, place long",
-        )
+        schema = "length long, group long, doc long, text long, place long"
+        parts = written(self._stretches(), "repeat-stretches")
+        found = self._buckets(parts, listed, schema).unionAll(self._split(parts, listed, schema))
         # Each occurrence stands for those in equal stretches.
         owners = self.kinds.select(
             "anchor", "stretch", F.col("first.doc").alias("doc"), F.col("first.text").alias("text"),

@@ -131,3 +131,50 @@ def test_groups_of_a_corpus(frame):
     for i, text in rows:
         at = text.index(passage)
         assert set(range(at, at + len(passage))) <= covered[i]
+
+
+def test_texts_beyond_the_places_of_an_anchor_equal_brute_force(frame):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 7)))
+    base = " ".join(word() for _ in range(2500))
+    assert len(base) > 3 * 4096
+    texts = [(0, base), (1, base[5000:9000] + base[100:400]), (2, "ab" * 3000), (3, "x" * 9000 + base[:50]), (4, "x" * 4200)]
+    assert result(frame, texts) == brute(texts, LENGTH)
+
+
+def listed_groups(frame, texts, limits):
+    search = repeats.Repeats(frame("doc_id long, text string", texts), "doc_id", "text", LENGTH, limits)
+    found = {}
+    for r in search.groups().collect():
+        found.setdefault((r["group"], r["length"]), set()).add((r["doc_id"], r["start"]))
+    return {(length, frozenset(x)) for (_, length), x in found.items()}
+
+
+def test_split_buckets_give_the_same_groups(frame):
+    texts = [(i, t) for i, t in mixed(5)[:40]]
+    whole = listed_groups(frame, texts, Limits())
+    assert whole == listed_groups(frame, texts, Limits(bucket=1)) == listed_groups(frame, texts, Limits(bucket=3))
+    data = dict(texts)
+    for length, places in whole:
+        parts = {data[i].encode()[start : start + length] for i, start in places}
+        assert len(parts) == 1 and len(next(iter(parts))) == length >= LENGTH and len(places) > 1
+
+
+def test_groups_hold_every_string_that_occurs_twice(frame):
+    texts = [(i, t) for i, t in mixed(6)[:40]]
+    groups = listed_groups(frame, texts, Limits(bucket=2))
+    places = {}
+    for i, text in texts:
+        data = text.encode()
+        for s in range(len(data) - LENGTH + 1):
+            places.setdefault(data[s : s + LENGTH], set()).add((i, s))
+    inside = {}
+    for length, found in groups:
+        for i, start in found:
+            for k in range(start, start + length - LENGTH + 1):
+                inside.setdefault((i, k), []).append((length, found, k - start))
+    for own in places.values():
+        if len(own) > 1:
+            # Some group has all of its occurrences, at one distance from where the group begins.
+            i, s = min(own)
+            assert any(own == {(j, p + k) for j, p in found} for _, found, k in inside.get((i, s), [])), own
