@@ -49,8 +49,8 @@ class Shape:
     head: int = 1 << 18
     #: Parts of the training texts after each of which the model is estimated anew, passes over them
     #: at most, and the gain of a pass below which training ends, as a share of the log likelihood.
-    folds: int = 8
-    passes: int = 4
+    folds: int = 24
+    passes: int = 2
     tolerance: float = 1e-4
     seed: int = 7
 
