@@ -136,7 +136,9 @@ class Bucket:
         owner, offset = np.concatenate(owner), np.concatenate(offset)
         _, at, times = np.unique(hashes, return_inverse=True, return_counts=True)
         own = np.flatnonzero(times[at] > 1)  # no other suffix is in an interval this deep
-        self._set(sorted(suffix_at(rows[owner[j]], int(offset[j]), length) for j in own))
+        self._set(sorted(
+            suffix_at(rows[k], i, length) for k, i in zip(owner[own].tolist(), offset[own].tolist())
+        ))
 
     @classmethod
     def of_suffixes(cls, suffixes: list[tuple], length: int) -> Bucket:
