@@ -14,6 +14,10 @@ CHUNK_SIZE = 50
 # Children are dealt out in the order of a 64-bit hash, cut into so many runs at most.
 CHILD_RUNS = 1 << 20
 
+# From so many children a document, the keys that need several are few enough to list: one in as many
+# children at most.
+LISTED_ITEMS = 1_000
+
 # Pages of a key that one task puts in order; they carry their ids along.
 PAGE_BLOCK = 1 << 14
 
@@ -31,9 +35,46 @@ def assemble_documents(
     as many as ``max_items`` children each need, and one with an empty array for a parent without
     children. So no task has to hold a whole hot key, and the rows look the same at any size. All
     parts but the last hold ``max_items`` children; which children follows from a hash of them, so it
-    is the same after a retry. Exact copies are counted before the shuffle.
+    is the same after a retry.
+
+    Only keys with more than ``max_items`` children are dealt out by that hash; of those, exact copies
+    are counted before the shuffle. The children of all others go to their document in one shuffle,
+    ahead of the aggregation, which would else sort whole scan tasks by key and spill them. That
+    shuffle keeps all partitions the session names: merged by their size as shuffled, they would be too
+    large for memory as rows.
     """
     children = children.filter(F.col(key).isNotNull())
+    if max_items < LISTED_ITEMS:
+        return _in_parts(parents, children, key, array, max_items)
+    counts = children.groupBy(key).agg(F.count("*").alias("_n"))
+    hot = F.broadcast(counts.filter(F.col("_n") > max_items).select(key))
+    fields = [name for name in children.columns if name != key]
+    partitions = int(children.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arrays = (
+        children.join(hot, key, "left_anti")
+        .select(key, F.struct(*fields).alias("_item"))
+        .repartition(partitions, key)
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list("_item")).alias(array))
+    )
+    joined = parents.join(hot, key, "left_anti").join(arrays, key, "left")
+    empty = F.array().cast(joined.schema[array].dataType)
+    whole = joined.select(
+        *parents.columns,
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit(1).cast("bigint").alias("parts"),
+        F.coalesce(array, empty).alias(array),
+    )
+    cut = _in_parts(
+        parents.join(hot, key, "left_semi"), children.join(hot, key, "left_semi"), key, array, max_items
+    )
+    return whole.unionAll(cut)
+
+
+def _in_parts(
+    parents: DataFrame, children: DataFrame, key: str, array: str, max_items: int
+) -> DataFrame:
+    """Documents of keys any of which may be too large for a task."""
     fields = [name for name in children.columns if name != key]
     per_child = children.groupBy(key, *fields).agg(F.count("*").alias("_n"))
     hashed = per_child.withColumn("_hash", F.xxhash64(*fields))

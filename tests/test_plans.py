@@ -1,5 +1,7 @@
 """Physical plans: what reaches the scan, how many shuffles, and what happens to hot keys."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,6 +258,35 @@ def test_copies_of_one_video_are_split_too(spark):
     assert [r.n for r in rows if r.name == "c"] == [0]
 
 
+def test_children_of_small_keys_are_shuffled_once(spark, sf_dir):
+    """No aggregation or sort of whole rows comes before that shuffle, and none deals them out after it."""
+    docs = testbed.documents(spark, sf_dir)
+    docs.collect()
+    text = plan(docs).split("Initial Plan")[0]
+    assert "Window [" not in text
+    moved = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("REPARTITION_BY_NUM" in line for line in moved) == 1
+    below = text[text.index("REPARTITION_BY_NUM"):].splitlines()[1:4]
+    assert not any("Aggregate" in line or "Sort" in line for line in below)
+
+
+def test_hot_and_small_keys_give_the_documents_of_the_long_way(spark):
+    from reelstat.operators import documents
+
+    parents = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d"), (4, "twice"), (None, "e")], "k INT, name STRING")
+    rows = spark.range(6000).selectExpr("CASE WHEN id < 2500 THEN 1 WHEN id < 3500 THEN 2 WHEN id < 4600 THEN 4 WHEN id < 4610 THEN 9 END AS k",
+                                        "CAST(id % 700 AS STRING) AS id")
+    short = assemble_documents(parents, rows, "k", max_items=documents.LISTED_ITEMS)
+    long = documents._in_parts(parents, rows.filter("k IS NOT NULL"), "k", "videos", documents.LISTED_ITEMS)
+    assert short.schema.simpleString() == long.schema.simpleString()
+    assert short.exceptAll(long).isEmpty() and long.exceptAll(short).isEmpty()
+    sizes = Counter((r.name, r.part, r.parts, r.n) for r in short.select("*", F.size("videos").alias("n")).collect())
+    assert sizes == Counter([
+        ("a", 0, 3, 1000), ("a", 1, 3, 1000), ("a", 2, 3, 500), ("b", 0, 1, 1000), ("c", 0, 1, 0), ("e", 0, 1, 0),
+        *[(name, part, 2, n) for name in ("d", "twice") for part, n in ((0, 1000), (1, 100))],
+    ])
+
+
 def test_positions_of_a_hot_key_use_many_tasks(spark):
     rows = spark.range(100_000).select(F.lit("hot").alias("key"), "id")
     numbered = positions(rows, ["key"], "id", block=1_000)
