@@ -45,7 +45,7 @@ def ingest_landing(
 
     The log tells files by path, length, time and, where the time may be too coarse, checksum: a file
     that lands again under its old name is read again. With ``archive``, the documents of each batch
-    are copied there; with it or with ``delete``, the files that the log holds leave the landing zone,
+    are copied there, compressed; with it or with ``delete``, the files that the log holds leave the landing zone,
     but not those that have changed since. With ``quarantine``, lines that are no documents go there
     with their file and what is wrong with them, batch by batch as well. Files without a byte are no versions and stay.
     """
@@ -141,7 +141,9 @@ def _batch(
             docs = read_landing(spark, plain, schemas.landing_for_curate())
         overwrite_batch(curate(docs, wide), table, number)
         if archive:
-            spark.read.text(plain).write.mode("overwrite").text(f"{archive.rstrip('/')}/batch={number}")
+            # One file for each scan task, so none is too large to be read again by one task.
+            lines = spark.read.text(plain).write.mode("overwrite").option("compression", "gzip")
+            lines.text(f"{archive.rstrip('/')}/batch={number}")
         sums = _checksums(spark, paths)
         seen = _listed(spark, plain).join(sums, "path").withColumn("read_at", F.lit(read_at)).collect()
         # As many rows as the batch has files. What has changed meanwhile is read again.

@@ -320,6 +320,17 @@ def test_committed_files_move_to_the_archive(spark, zone):
     assert not list(Path(zone["landing"]).rglob("*.json"))
 
 
+def test_the_archive_holds_all_lines_in_fewer_bytes(spark, zone):
+    land_file(zone["landing"], "1.json", "a", [str(i) for i in range(2_000)])
+    Path(zone["landing"], "2.json").write_text('{"channelName":"\u00e9"}\nno document\n')
+    landed = sorted(r.value for r in spark.read.text(zone["landing"]).collect())
+    n_bytes = sum(p.stat().st_size for p in Path(zone["landing"]).iterdir())
+    run(spark, zone, archive=zone["archive"])
+    kept = spark.read.option("recursiveFileLookup", "true").text(zone["archive"])
+    assert sorted(r.value for r in kept.collect()) == landed
+    assert sum(p.stat().st_size for p in Path(zone["archive"]).rglob("part-*")) < n_bytes / 5
+
+
 def test_a_batch_that_failed_before_its_commit_is_replaced(spark, zone, monkeypatch):
     land_file(zone["landing"], "1.json", "a", ["1", "2"])
     land_file(zone["landing"], "2.json", "b", [None])
