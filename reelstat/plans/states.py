@@ -1,9 +1,10 @@
 """Aggregates kept up to date batch by batch.
 
-A state has a row for each key with values that merge: sums and largest ones. A new batch is reduced
-to such rows and merged with the stored ones, so the curated rows of earlier batches are not read
-again. Every row of a state tells the last batch it covers; the state is replaced as a whole, so it
-moves on with its rows or not at all, and a repeated update adds nothing.
+A state has a row for each key with values that merge: sums and largest ones. Every row of a new batch
+makes such values, which are merged with the stored ones in one aggregation, reduced by each task ahead
+of its only shuffle; the curated rows of earlier batches are not read again. Every row of a state tells
+the last batch it covers; the state is replaced as a whole, so it moves on with its rows or not at all,
+and a repeated update adds nothing.
 """
 
 from __future__ import annotations
@@ -24,19 +25,21 @@ THROUGH = "through"
 
 @dataclass(frozen=True)
 class State:
-    """Keys, and for each value how rows make it and how two of them merge."""
+    """Keys, and for each value what a row adds to it and how they merge."""
 
     name: str
     keys: tuple[str, ...]
     values: dict[str, tuple[Column, Callable[[str], Column]]]
-    #: Gives the rows to be grouped.
+    #: Gives the rows that values are made of.
     rows: Callable[[DataFrame], DataFrame] = lambda curated: curated
 
     def of(self, curated: DataFrame) -> DataFrame:
+        """Keys and values of each row, to be merged."""
         made = [value.alias(name) for name, (value, _) in self.values.items()]
-        return self.rows(curated).groupBy(*self.keys).agg(*made)
+        return self.rows(curated).select(*self.keys, *made)
 
     def merged(self, *parts: DataFrame) -> DataFrame:
+        """One row for each key, out of stored rows and new ones."""
         names = [*self.keys, *self.values]
         union = parts[0].select(*names)
         for part in parts[1:]:
@@ -48,14 +51,14 @@ class State:
 def months() -> State:
     """Titled rows and the largest audience by channel and month."""
     return State("months", ("channelName", "year", "month"), {
-        "monthlyVideosPublished": (F.count("video_title"), F.sum),
-        "subscribers": (F.max("subscribers"), F.max),
+        "monthlyVideosPublished": (F.col("video_title").isNotNull().cast("bigint"), F.sum),
+        "subscribers": (F.col("subscribers"), F.max),
     })
 
 
 def titles() -> State:
     """The largest view count by channel and title."""
-    return State("titles", ("channelName", "video_title"), {"viewCount": (F.max("viewCount"), F.max)})
+    return State("titles", ("channelName", "video_title"), {"viewCount": (F.col("viewCount"), F.max)})
 
 
 def values_of(*columns: str) -> State:
@@ -64,7 +67,7 @@ def values_of(*columns: str) -> State:
         entries = [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns]
         return curated.select(F.inline(F.array(*entries)))
 
-    return State("values", ("field", "value"), {"n": (F.count("*"), F.sum)}, rows)
+    return State("values", ("field", "value"), {"n": (F.lit(1).cast("bigint"), F.sum)}, rows)
 
 
 def advance(spark: SparkSession, state: State, table: str, last: int, prefix: str = "") -> str:
@@ -78,7 +81,7 @@ def advance(spark: SparkSession, state: State, table: str, last: int, prefix: st
         return name
     batches = spark.table(batches_of(table)).filter(F.col("batch").between(begin, last))
     new = state.of(batches)
-    rows = state.merged(known, new) if known is not None else new
+    rows = state.merged(known, new) if known is not None else state.merged(new)
     replace_table(rows.withColumn(THROUGH, F.lit(last).cast("bigint")), name)
     return name
 

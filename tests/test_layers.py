@@ -184,6 +184,29 @@ def test_an_update_reads_new_batches_only(spark, folder, database):
     assert spark.table(f"{database}.state_titles").collect()[0]["through"] == 1
 
 
+def test_a_batch_is_merged_in_one_shuffle(spark):
+    columns = "channelName string, video_title string, viewCount int, subscribers int, year int, month int"
+    first = [("a", "t", 1, 5, 2024, 1), ("a", None, 9, None, 2024, 1), (None, "t", None, 3, None, None)]
+    second = [("a", "t", 4, 2, 2024, 1)] * 1_000 + [("a", None, 2, 7, 2024, 1), ("b", None, None, 1, 2024, 2)]
+    wanted = {
+        "months": [("a", 2024, 1, 1_001, 7), ("b", 2024, 2, 0, 1), (None, None, None, 1, 3)],
+        "titles": [("a", "t", 4), ("a", None, 9), ("b", None, None), (None, "t", None)],
+        "values": [
+            ("channelName", "a", 1_003), ("channelName", "b", 1), ("channelName", None, 1),
+            ("video_title", "t", 1_002), ("video_title", None, 3),
+        ],
+    }
+    for state in (states.months(), states.titles(), states.values_of("channelName", "video_title")):
+        frames = [spark.createDataFrame(rows, columns) for rows in (first, second)]
+        known = state.merged(state.of(frames[0]))
+        assert known._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        stored = spark.createDataFrame(known.collect(), known.schema)
+        found = state.merged(stored, state.of(frames[1]))
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 1 and text.index("Exchange") < text.index("partial_")
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(wanted[state.name], key=str)
+
+
 # ---------------------------------------------------------------- compaction
 
 
